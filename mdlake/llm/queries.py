@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mdlake.llm.common import table
 from mdlake.llm.exact_dedup import exact_dedup
+from mdlake.llm.simhash import near_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,3 +34,8 @@ def query(name: str, sql: str | None = None):
 )
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op8_simhash_near_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"))
