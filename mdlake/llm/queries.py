@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdlake.llm import bpe
+from mdlake.llm import bpe, langid
 from mdlake.llm.common import table
 from mdlake.llm.exact_dedup import exact_dedup
 from mdlake.llm.simhash import near_groups
@@ -55,3 +55,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    profiles = langid.learn_profiles(docs.filter(~langid.held_out()))
+    rows = docs.select("doc_id", "text", langid.held_out().alias("held_out"))
+    return langid.identify(rows, profiles).select("doc_id", "held_out", "lang_pred", "score")
