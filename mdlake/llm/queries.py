@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdlake.llm import bpe, langid
+from mdlake.llm import bpe, decontam, langid
 from mdlake.llm.common import table
 from mdlake.llm.exact_dedup import exact_dedup
 from mdlake.llm.simhash import near_groups
@@ -63,3 +63,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = langid.learn_profiles(docs.filter(~langid.held_out()))
     rows = docs.select("doc_id", "text", langid.held_out().alias("held_out"))
     return langid.identify(rows, profiles).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op9_benchmark_decontamination")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
