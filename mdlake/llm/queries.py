@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdlake.llm import bpe, decontam, langid
-from mdlake.llm.common import table
+from mdlake.llm import bpe, decontam, langid, warc
+from mdlake.llm.common import park, shared_dir, table
 from mdlake.llm.exact_dedup import exact_dedup
 from mdlake.llm.simhash import near_groups
 
@@ -68,3 +69,21 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_benchmark_decontamination")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op7_warc",
+    r"""
+    WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+    g AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS response FROM p)
+    SELECT page_id, octet_length(encode(payload)) AS payload_bytes,
+           array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * (i // 4)::INT, 5))::INT >> (5 * (3 - i % 4))::INT) & 31), 1) FOR i IN range(32)], '') AS payload_digest,
+           CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> response THEN response END AS refers_to
+    FROM g
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    manifest = park(warc.write_archives(table(spark, sf_dir, "pages"), folder), "manifest")
+    return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
