@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdlake.llm import bpe, decontam, langid, warc
+from mdlake.llm import bpe, decontam, langid, license_scan, warc
 from mdlake.llm.common import park, shared_dir, table
 from mdlake.llm.exact_dedup import exact_dedup
 from mdlake.llm.simhash import near_groups
@@ -87,3 +87,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     manifest = park(warc.write_archives(table(spark, sf_dir, "pages"), folder), "manifest")
     return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_license_scan", license_scan.oracle_sql())
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.array_join("sentence_ids", ",").alias("sentence_ids"))
