@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdlake.llm import bpe, decontam, langid, license_scan, warc
+from mdlake.llm import bpe, decontam, langid, license_scan, line_dedup, warc
 from mdlake.llm.common import park, shared_dir, table
 from mdlake.llm.exact_dedup import exact_dedup
 from mdlake.llm.simhash import near_groups
@@ -93,3 +93,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.array_join("sentence_ids", ",").alias("sentence_ids"))
+
+
+@query("op1_line_dedup", line_dedup.ORACLE_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
