@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdlake.llm import bpe, decontam, langid, license_scan, line_dedup, quality, warc
+from mdlake.llm import bpe, chat, decontam, langid, license_scan, line_dedup, quality, warc
 from mdlake.llm.common import park, shared_dir, table
 from mdlake.llm.exact_dedup import exact_dedup
 from mdlake.llm.simhash import near_groups
@@ -105,3 +105,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0").select("doc_id")
     return quality.classify(table(spark, sf_dir, "documents"), trusted)
+
+
+@query("op6_chat_formatting")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.conversations(table(spark, sf_dir, "conversations"))
