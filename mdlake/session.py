@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -38,3 +40,12 @@ def local_session(cpus: int | str = "*", app: str = "mdlake", memory: str = "8g"
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name below the one that driver and executors share; a temporary one only where none is set."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = "file://" + tempfile.mkdtemp(prefix="mdlake-shared-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
