@@ -61,7 +61,7 @@ def seal(spark: SparkSession, root: str, family: str, schema: str, staging: str)
     The rows of a sealed partition are those of its old files and of the staging area; rows that are equal in every
     column are one. Only the partitions that the staging area touches are rewritten.
     """
-    new = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(staging)
+    new = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).parquet(staging)
     touched = new.select(*PARTITION).distinct()
     target = f"{root}/{family}"
     path = spark._jvm.org.apache.hadoop.fs.Path(target)
@@ -79,11 +79,11 @@ def seal(spark: SparkSession, root: str, family: str, schema: str, staging: str)
 def recover(spark: SparkSession, folder: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(rows, report) of open parts that a crash left: rows of readable parts; path, bytes and state of each part.
 
-    A part of no bytes is empty; one whose file doesn't end with the Parquet mark is corrupt and stays where it is.
-    Only the length and the last bytes of a part are looked at before it is read.
+    A part whose file doesn't end with the Parquet mark is corrupt and stays where it is. Parts of no bytes hold
+    nothing and are not listed: Spark's readers pass over them.
     """
     parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.part").option("recursiveFileLookup", True).load(folder)
-    state = F.when(F.col("length") == 0, "empty").when(F.substring("content", -4, 4) == F.lit(bytearray(b"PAR1")), "readable").otherwise("corrupt")
+    state = F.when(F.substring("content", -4, 4) == F.lit(bytearray(b"PAR1")), "readable").otherwise("corrupt")
     report = parts.select("path", F.col("length").alias("bytes"), state.alias("state"))
     rows = spark.read.schema(schema).option("ignoreCorruptFiles", True).option("pathGlobFilter", "*.part").option("recursiveFileLookup", True).parquet(folder)
     return rows, report
