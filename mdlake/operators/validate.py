@@ -146,3 +146,25 @@ def validate_catalog(lineage: DataFrame, readback: DataFrame, counts: DataFrame)
 
 def latest_greeks(greeks: DataFrame) -> DataFrame:
     return latest_state(greeks, "instrument_id", ["mark_iv", "delta"])
+
+
+# Least rows of each family by preset; families that a preset lacks are not checked.
+COUNT_PRESETS = {
+    "smoke": {"instruments": 1, "quotes": 1},
+    "market": {"instruments": 1, "quotes": 10, "trades": 1},
+    "options": {"instruments": 1, "quotes": 10, "option_greeks": 10},
+    "perps": {"instruments": 1, "quotes": 10, "mark_prices": 1, "index_prices": 1, "funding_rate_update": 1},
+}
+
+
+def validate_counts(universes: DataFrame, counts: DataFrame, least: dict[str, int], sample: int | None = None, key: str = "universe_id") -> DataFrame:
+    """Least rows of each family, for all members or for a universe's `sample` around its middle strike.
+
+    universes: key, instrument_id, strike; counts: family, instrument_id, rows (from partition values or a manifest).
+    """
+    ids = universes.select("instrument_id")
+    if sample:
+        ids = sampled_options(universes, sample, key).select(F.explode("sample").alias("instrument_id"))
+    wanted = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(n).alias("least")) for f, n in least.items()])
+    expected = ids.distinct().select("instrument_id", F.inline(wanted))
+    return min_rows(expected.select("family", "instrument_id", "least"), counts)

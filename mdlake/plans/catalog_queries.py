@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mdlake.functions import scalars as S
-from mdlake.operators import custom, sink, validate
+from mdlake.operators import custom, lineage, sink, validate
+from mdlake.plans.plan_queries import SMOOTHED, resolved
 from mdlake.plans.registry import query
-from mdlake.plans.universe_queries import r6
+from mdlake.plans.universe_queries import RESOLVED, r6
 from mdlake.session import scratch
 from mdlake.sources import catalog
 from mdlake.sources import derived as D
@@ -289,3 +290,37 @@ def iv_quantities(spark: SparkSession, sf: str) -> DataFrame:
     rows = D.greeks(spark, sf).filter(S.finite("mark_iv") & (F.col("mark_iv") > 0))
     return rows.select("instrument_id", "seq", F.round(S.normalize_iv("mark_iv"), 6).alias("iv"), F.row_number().over(Window.partitionBy("instrument_id").orderBy("seq")).cast("long").alias("n"))
 
+
+
+def _counts(spark: SparkSession, sf: str) -> DataFrame:
+    each = {"quotes": D.quotes(spark, sf), "option_greeks": D.greeks(spark, sf)}
+    parts = [df.groupBy("instrument_id").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("family"), "instrument_id", "rows") for name, df in each.items()]
+    return parts[0].union(parts[1])
+
+
+_SAMPLED = f"""{_UNI}, n AS (SELECT *, row_number() OVER (PARTITION BY universe_id ORDER BY strike, instrument_id) - 1 AS i, count(*) OVER (PARTITION BY universe_id) AS n FROM u),
+s AS (SELECT *, least(greatest(n // 2 - 3, 0) + 6, n) AS stop FROM n), centred AS (SELECT instrument_id FROM s WHERE n <= 6 OR (i >= stop - 6 AND i < stop)),
+c AS (SELECT 'quotes' AS family, instrument_id, count(*) AS rows FROM quotes_v GROUP BY 2 UNION ALL SELECT 'option_greeks', instrument_id, count(*) FROM greeks_v GROUP BY 2)"""
+_THIN = "SELECT 'min_rows:' || e.family AS rule, p.instrument_id AS key, '10' AS expected, coalesce(rows, 0)::VARCHAR AS actual FROM centred p CROSS JOIN (SELECT unnest(['quotes', 'option_greeks']) AS family) e LEFT JOIN c ON c.family = e.family AND c.instrument_id = p.instrument_id WHERE coalesce(rows, 0) < 10"
+
+
+@query("validate_counts", f"WITH {_SAMPLED} {_THIN}")
+def validate_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return validate.validate_counts(_universes(spark, sf), _counts(spark, sf), {"quotes": 10, "option_greeks": 10}, sample=6)
+
+
+@query(
+    "validate_catalog",
+    f"""WITH RECURSIVE {RESOLVED}, good AS (SELECT * FROM resolved WHERE error IS NULL), {SMOOTHED.format(source="good")}, startup AS (SELECT * FROM st WHERE n = 1), {_SAMPLED}
+    SELECT 'lineage:profile_mode' AS rule, universe_id || ':' || split_part(universe_id, ':', 1) AS key, NULL::VARCHAR AS expected, mode AS actual FROM startup WHERE mode <> 'oi_ranked'
+    UNION ALL SELECT 'lineage:profile_top_n', universe_id || ':' || split_part(universe_id, ':', 1), NULL, NULL FROM startup WHERE mode <> 'oi_ranked'
+    UNION ALL SELECT 'lineage:profile_strikes', universe_id || ':' || split_part(universe_id, ':', 1), NULL, len(string_split(strikes, ','))::VARCHAR FROM startup WHERE len(string_split(strikes, ',')) > 3
+    UNION ALL {_THIN}""",
+)
+def validate_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """Lineage, readback and count checks in one report."""
+    records = lineage.resolution_records(resolved(spark, sf))
+    counts = validate.validate_counts(_universes(spark, sf), _counts(spark, sf), {"quotes": 10, "option_greeks": 10}, sample=6)
+    perps = D.quotes(spark, sf).filter("instrument_id LIKE '%-PERPETUAL.%'").select("instrument_id", F.lit("perp").alias("role"))
+    readback = validate.validate_readback(perps, {"quotes": D.quotes(spark, sf)}, {"quotes": 1})
+    return validate.validate_catalog(lineage.validate_lineage(records, require_refresh=True, profile="oi_ranked", top_n=3), readback, counts)

@@ -4,10 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from mdlake.operators import sink
+from mdlake.operators.lineage import smooth_strikes
 from mdlake.plans.catalog_queries import surface_events
 from mdlake.sources import catalog, derived
 from mdlake.streaming import capture
 from mdlake.streaming.online_metrics import EVENTS, Surface, option_metrics_stream, replay_option_metrics
+from mdlake.streaming.smoothing import RESOLUTIONS, smooth_strikes_stream
 
 SF = "/root/testdata/sf0.001"
 DAY = derived.DAY_NS
@@ -93,3 +95,35 @@ def test_snapshot_polls(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("polls").option("checkpointLocation", f"file://{tmp_path}/cp").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert [(r.identifier, r.instrument_id, r.mark_iv) for r in spark.sql("SELECT * FROM polls ORDER BY seq").collect()] == [("BTC:option", "x", 0.5), ("BTC:option", "y", None)]
+
+
+def test_smoothing_stream_equals_history(rocksdb, tmp_path):
+    spark = rocksdb
+    strikes = [[1.0], [2.0], [2.0], [3.0], [2.0], [4.0], [4.0], [1.0], [1.0]]
+    rows = [(u, t, "oi_ranked", 1 if t < 7 else 2, k) for u in ("a", "b") for t, k in enumerate(strikes)] + [("c", t, "all", 1, k) for t, k in enumerate(strikes)]
+    frame = spark.createDataFrame(rows, RESOLUTIONS)
+    want = sorted((r.universe_id, r.resolved_at_ns, r.applied, r.applied_strikes) for r in smooth_strikes(frame, 2).collect())
+    assert [x[2] for x in want[:9]] == [True, False, True, False, True, False, True, True, True]
+    for i in range(3):
+        frame.filter(f"resolved_at_ns % 9 div 3 = {i}").coalesce(1).write.parquet(f"file://{tmp_path}/in/{i}")
+    stream = spark.readStream.schema(RESOLUTIONS).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"file://{tmp_path}/in")
+    query = smooth_strikes_stream(stream, 2).writeStream.format("memory").queryName("smoothed").outputMode("append").option("checkpointLocation", f"file://{tmp_path}/cp").trigger(availableNow=True).start()
+    query.awaitTermination(240)
+    assert sorted((r.universe_id, r.resolved_at_ns, r.applied, r.applied_strikes) for r in spark.sql("SELECT * FROM smoothed").collect()) == want
+
+
+def test_custom_stream_has_a_frozen_schema(spark, tmp_path):
+    rows = derived.trades(spark, SF).withColumn("instrument_id", F.substring_index("instrument_id", "-", 1)).withColumn("value", F.col("price")).select("value", F.lit("dvol").alias("index_name"), "instrument_id", "ts_event_ns", "ts_init_ns", "seq")
+    rows.write.parquet(f"file://{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"file://{tmp_path}/in")
+    schema = "value double, index_name string, instrument_id string, ts_event_ns bigint, ts_init_ns bigint, seq bigint"
+    capture.write_custom_stream(stream, f"file://{tmp_path}", "DeribitVolatilityIndex", schema, f"file://{tmp_path}/cp").awaitTermination(120)
+    assert catalog.read_custom(spark, f"file://{tmp_path}", "DeribitVolatilityIndex").count() == rows.count()
+    assert catalog.read_custom(spark, f"file://{tmp_path}", "HyperliquidOpenInterest").count() == 0
+    with pytest.raises(ValueError, match="another schema"):
+        capture.write_custom_stream(stream.drop("value"), f"file://{tmp_path}", "DeribitVolatilityIndex", schema, f"file://{tmp_path}/cp2")
+
+
+def test_delta_batches(spark):
+    rows = spark.createDataFrame([("x", [(1.0, 5), (2.0, 6)]), ("y", [])], "instrument_id string, deltas array<struct<price:double,seq:bigint>>")
+    assert [(r.instrument_id, r.price, r.seq) for r in sink.explode_deltas(rows).collect()] == [("x", 1.0, 5), ("x", 2.0, 6)]
