@@ -12,6 +12,11 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def whole(number: str | Column, by: int | Column) -> Column:
+    """Integer quotient. Nanoseconds exceed what a double holds, so they are never divided as such."""
+    return F.call_function("div", _col(number), F.lit(by) if isinstance(by, int) else by)
+
+
 def stable_key(family: Column, type_: Column, id_: Column, namespace: Column) -> Column:
     """family|type|id|namespace with _ for absent parts."""
     return F.concat_ws("|", family, type_, F.coalesce(id_, F.lit("_")), F.coalesce(namespace, F.lit("_")))
@@ -123,7 +128,7 @@ def next_seal_ns(now_ns: str | Column, hour: int = 6, minute: int = 0, zone: str
     An ambiguous local time is its earlier instant; where a clock change skips the local time, the schedule of the next day counts.
     """
     now = _col(now_ns)
-    micros = F.floor(now / 1000).cast("long")
+    micros = whole(now, 1000)
     local_day = F.to_date(F.from_utc_timestamp(F.timestamp_micros(micros), zone))
 
     def instant(day: Column) -> tuple[Column, Column]:
@@ -138,7 +143,7 @@ def next_seal_ns(now_ns: str | Column, hour: int = 6, minute: int = 0, zone: str
     tomorrow, _ = instant(F.date_add(local_day, 1))
     anchor = F.when(exists, today).otherwise(tomorrow)
     step = F.lit(interval_secs * 1_000_000_000)
-    return F.when(anchor > now, anchor).otherwise(anchor + (F.floor((now - anchor) / step).cast("long") + 1) * step)
+    return F.when(anchor > now, anchor).otherwise(anchor + (whole(now - anchor, step) + 1) * step)
 
 
 def parse_metric(text: str | Column) -> Column:
@@ -149,7 +154,7 @@ def parse_metric(text: str | Column) -> Column:
 
 def iso8601(ns: str | Column) -> Column:
     ns = _col(ns)
-    seconds = F.timestamp_seconds(F.floor(ns / 1_000_000_000).cast("long"))
+    seconds = F.timestamp_seconds(whole(ns, 1_000_000_000))
     return F.concat(F.date_format(seconds, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("."), F.lpad((ns % 1_000_000_000).cast("string"), 9, "0"), F.lit("Z"))
 
 

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mdlake.functions.scalars import mid
+from mdlake.functions.scalars import mid, whole
 from mdlake.sources.derived import DAY_NS
 
 ORDER = ("ts_event_ns", "ts_init_ns", "seq")
@@ -26,7 +26,7 @@ def latest_state(df: DataFrame, key: str | list[str], columns: list[str], order:
 
 
 def _day(ns: Column) -> Column:
-    return F.floor(ns / F.lit(DAY_NS)).cast("long")
+    return whole(ns, DAY_NS)
 
 
 def asof_state(requests: DataFrame, events: DataFrame, key: str, columns: list[str], now: str = "now_ns", order: tuple[str, ...] = ORDER) -> DataFrame:

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mdlake.functions.scalars import mid, normalize_iv, spread
+from mdlake.functions.scalars import mid, normalize_iv, spread, whole
 from mdlake.operators.asof import asof_state, latest_state
 
 
@@ -95,6 +95,6 @@ def throttle(df: DataFrame, key: str, ts: str, interval_ns: int, seq: str = "seq
 
 def tumbling_snapshots(df: DataFrame, key: str, ts: str, interval_ns: int, seq: str = "seq") -> DataFrame:
     """The parallel variant of the throttle: the first row of each key and interval."""
-    slot = F.floor(F.col(ts) / F.lit(interval_ns)).alias("__slot")
+    slot = whole(ts, interval_ns).alias("__slot")
     row = F.struct(*df.columns)
     return df.groupBy(key, slot).agg(F.min_by(row, F.struct(ts, seq)).alias("row")).select("row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mdlake.functions.scalars import finite, next_seal_ns, stable_key
+from mdlake.functions.scalars import finite, next_seal_ns, stable_key, whole
 
 PARTITION = ("instrument_id", "seal_date")
 # Rows of a memory flush and of a row group by family, and the ranges they are held to.
@@ -31,7 +31,7 @@ def flush_rows(family: str, configured: int = 2_000) -> tuple[int, int]:
 
 def with_seal_date(df: DataFrame, hour: int = 6, minute: int = 0, zone: str = "UTC", ts: str = "ts_init_ns") -> DataFrame:
     """df with seal_end_ns, the seal boundary that ends each row's window (arrival clock), and its date."""
-    return df.withColumn("seal_end_ns", next_seal_ns(ts, hour, minute, zone)).withColumn("seal_date", F.timestamp_micros((F.col("seal_end_ns") / 1000).cast("long")).cast("date"))
+    return df.withColumn("seal_end_ns", next_seal_ns(ts, hour, minute, zone)).withColumn("seal_date", F.timestamp_micros(whole("seal_end_ns", 1000)).cast("date"))
 
 
 def quarantined(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -16,7 +16,7 @@ def listing_documents(spark: SparkSession, sf: str) -> DataFrame:
     """One JSON document for each order; a month's documents are a snapshot taken on the 15th."""
     rows = D.listings(spark, sf)
     question = F.struct(F.col("question"), F.lit("q").alias("name"), F.col("description"), F.col("named_outcomes").alias("namedOutcomes"), F.col("fallback_outcome").alias("fallbackOutcome"))
-    month = F.trunc(F.timestamp_micros(F.floor(F.col("listed_ns") / 1000).cast("long")).cast("date"), "month")
+    month = F.trunc(F.timestamp_micros(S.whole("listed_ns", 1000)).cast("date"), "month")
     now = F.unix_micros(F.date_add(month, 14).cast("timestamp")) * 1000
     return rows.select(F.date_format(month, "yyyy-MM").alias("snapshot_id"), now.alias("now_ns"), F.to_json(F.struct(F.array(question).alias("questions"), F.array().cast("array<struct<outcome:bigint,name:string,description:string>>").alias("outcomes"))).alias("payload"))
 
@@ -99,7 +99,7 @@ st AS (SELECT universe_id, n, resolved_at_ns, mode, expiry, ref, ids, strikes, t
 
 def daily_oi(spark: SparkSession, sf: str) -> DataFrame:
     """Each underlying's three strikes of most trade size on each day: a ranking that moves from day to day."""
-    day = F.floor(F.col("ts_event_ns") / F.lit(D.DAY_NS)).alias("day")
+    day = S.whole("ts_event_ns", D.DAY_NS).alias("day")
     sizes = D.trades(spark, sf).join(D.options(spark, sf).select("instrument_id", "underlying", "strike"), "instrument_id").groupBy("underlying", day, "strike").agg(F.sum("size").alias("open_interest"))
     ranked = sizes.groupBy("underlying", "day").agg(F.collect_list(F.struct("strike", "open_interest")).alias("pairs"))
     strikes = universe.top_oi(F.col("pairs"), F.lit(1))

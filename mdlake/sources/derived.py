@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mdlake.functions.scalars import whole
+
 DAY_NS = 86_400_000_000_000
 FIRST_EXPIRY_NS = 1_704_096_000_000_000_000
 WEEK_NS = 604_800_000_000_000
@@ -81,7 +83,7 @@ def trades_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A resolution request for each underlying and each day that has events, at 06:00 UTC."""
-    day = F.floor(nanos(F.col("ts")) / F.lit(DAY_NS))
+    day = whole(nanos(F.col("ts")), DAY_NS)
     days = table(spark, sf_dir, "events").select(day.alias("day")).distinct()
     underlying = F.explode(F.array(*map(F.lit, UNDERLYINGS)))
     return days.select(underlying.alias("underlying"), (F.col("day") * F.lit(DAY_NS) + F.lit(DAY_NS // 4)).alias("now_ns"))

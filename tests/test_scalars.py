@@ -82,6 +82,11 @@ def test_seal_boundary(spark, now, hour, minute, zone, interval, want):
     assert got == ns(spark, want)
 
 
+def test_nanoseconds_stay_exact(spark):
+    assert one(spark, S.iso8601(F.lit(1781416799999999999))) == "2026-06-14T05:59:59.999999999Z"
+    assert one(spark, S.whole(F.lit(1781416799999999999), 1000)) == 1781416799999999
+
+
 def test_sample_and_iso(spark):
     ids = [f"i{k}" for k in range(12)]
     assert one(spark, S.sample_center(F.array(*map(F.lit, ids)), 6)) == ids[3:9]
