@@ -26,7 +26,7 @@ UNKNOWN = "und"
 PROFILE = 400
 _SPACE = 32
 #: Characters that are counted at a time.
-_CHARS = 1 << 21
+_CHARS = 1 << 18
 
 
 @lru_cache(maxsize=1)
