@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import sys
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -46,7 +47,7 @@ class Codec:
         for token, id_ in self.rank.items():
             self.token[id_] = token
         self.pieces = regex.compile(pattern)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
         self.byte_id = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
         pairs = [(self.rank[t[:k]], self.rank[t[k:]], id_) for t, id_ in self.rank.items() for k in range(1, len(t)) if t[:k] in self.rank and t[k:] in self.rank]
         left, right, merged = np.array(pairs, np.int64).reshape(-1, 3).T
@@ -85,7 +86,7 @@ class Codec:
         out[(left < 0) | (right < 0)] = _NONE
         return out
 
-    def _matrix(self, pieces: list[bytes], width: int) -> list[tuple[int, ...]]:
+    def _matrix(self, pieces: list[bytes], width: int) -> list[bytes]:
         data = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(-1, width)
         size = np.fromiter(map(len, pieces), np.int64, len(pieces))
         column = np.arange(width)
@@ -116,10 +117,10 @@ class Codec:
             ranks[row, at] = self.pair(best, ids[row, np.minimum(at + 1, ids.shape[1] - 1)])
             inner = at > 0
             ranks[row[inner], at[inner] - 1] = self.pair(ids[row[inner], at[inner] - 1], best[inner])
-        flat, ends = done[done >= 0].tolist(), np.cumsum((done >= 0).sum(1)).tolist()
-        return [tuple(flat[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        flat, ends = done[done >= 0].astype(np.int32).tobytes(), (4 * np.cumsum((done >= 0).sum(1))).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
-    def _heap(self, piece: bytes) -> tuple[int, ...]:
+    def _heap(self, piece: bytes) -> bytes:
         ids, n = [self.rank[bytes([b])] for b in piece], len(piece)
         text = [bytes([b]) for b in piece]
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -142,15 +143,15 @@ class Codec:
                 before[after[i]] = i
             offer(before[i])
             offer(i)
-        return tuple(x for x in ids if x >= 0)
+        return np.array([x for x in ids if x >= 0], np.int32).tobytes()
 
     def learn(self, pieces: set[str]) -> None:
-        """Encode pieces that aren't known yet."""
+        """Encode pieces that aren't known yet; ids are kept as packed 32-bit numbers."""
         buckets: dict[int, list[str]] = {}
         for piece in pieces:
             raw = piece.encode()
             if (id_ := self.rank.get(raw)) is not None:
-                self.known[piece] = (id_,)
+                self.known[piece] = id_.to_bytes(4, sys.byteorder)
             elif width := next((w for w in WIDTHS if len(raw) <= w), 0):
                 buckets.setdefault(width, []).append(piece)
             else:
@@ -165,7 +166,7 @@ class Codec:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         self.learn(set(chain.from_iterable(cut)).difference(self.known))
-        return [np.fromiter(chain.from_iterable(map(self.known.__getitem__, pieces)), np.int32) for pieces in cut]
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), np.int32) for pieces in cut]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
