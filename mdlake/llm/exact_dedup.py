@@ -142,17 +142,18 @@ def _best_id(best: Column) -> Column:
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Class of each row: doc_id, keep_id, group_size, kept, text_sha256, n_chars."""
     text = text_or_empty(text_col)
-    base = docs.select(F.col(id_col).alias("doc_id"), text.alias("raw"), strip_space(text).alias("norm"))
+    # The original text stays behind: only its length goes along with the normalised one.
+    base = docs.select(F.col(id_col).alias("doc_id"), F.char_length(text).cast("long").alias("n_chars"), strip_space(text).alias("norm"))
     repeated = repeated_fingerprints(base.select(F.xxhash64("norm").alias("fingerprint")), docs.count())
     suspects = base.withColumn("fingerprint", F.xxhash64("norm")).join(repeated.select("fingerprint"), "fingerprint", "left_semi")
     # Grouping by the whole text is the byte comparison; copies are combined before they are shuffled.
     classes = (
         suspects.groupBy("norm")
-        .agg(F.count(F.lit(1)).alias("group_size"), F.max(_best(F.col("doc_id"), F.char_length("raw"))).alias("best"))
+        .agg(F.count(F.lit(1)).alias("group_size"), F.max(_best(F.col("doc_id"), F.col("n_chars"))).alias("best"))
         .filter("group_size > 1")
         .select(F.sha2("norm", 256).alias("text_sha256"), _best_id(F.col("best")).alias("keep_id"), "group_size")
     )
-    rows = base.select("doc_id", F.sha2("norm", 256).alias("text_sha256"), F.char_length("raw").cast("long").alias("n_chars"))
+    rows = base.select("doc_id", F.sha2("norm", 256).alias("text_sha256"), "n_chars")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return rows.join(classes, "text_sha256", "left").select(
         "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256", "n_chars"
