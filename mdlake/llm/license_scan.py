@@ -1,7 +1,8 @@
 """Licence scan by sentence rules, in DataFrame functions only.
 
 A text is cut into sentences, each is normalised (lower-case a-z and digits, single spaces) and looked up among
-the known licence sentences; the identifiers found, in order, form the document's sequence. Rules are tried in
+the known licence sentences. Sentences end at punctuation and blank lines (comment marks alone are blank); within
+one, the longest run of whole lines that makes a known sentence counts, so wrapped texts and titles are both found. The identifiers found, in order, form the document's sequence. Rules are tried in
 order, longer ones first: a rule matches where its identifiers follow one another in the sequence, and consumes
 them. A sentence that no rule explains is reported as `unknown-licence-text`.
 
@@ -94,21 +95,132 @@ RULES = [
     ("proprietary", ["proprietary"]),
 ]
 UNKNOWN = "unknown-licence-text"
+
+_GNU = "you can redistribute it and or modify it under the terms of the gnu {} general public license as published by the free software foundation"
+_LATER = "either version {} of the license or at your option any later version"
+#: Further (identifier, wordings), beside SENTENCES, which the SQL has too.
+MORE_SENTENCES = {
+    "mit-title-full": ["the mit license mit"],
+    "gpl-terms": [_GNU.format("").replace("  ", " ")],
+    "agpl-terms": [_GNU.format("affero")],
+    "lgpl-terms": [_GNU.format("lesser")],
+    "or-later-2": [_LATER.format("2")],
+    "or-later-2.1": [_LATER.format("2 1")],
+    "or-later-3": [_LATER.format("3")],
+    "agpl3-terms": [f"{_GNU.format('affero')} {_LATER.format('3')}"],
+    "lgpl2.1-terms": [f"{_GNU.format('lesser')} {_LATER.format('2 1')}"],
+    "lgpl3-terms": [f"{_GNU.format('lesser')} {_LATER.format('3')}"],
+    "lgpl-free": ["this library is free software"],
+    "lgpl-warranty": ["this library is distributed in the hope that it will be useful but without any warranty"],
+    "lgpl-see": ["see the gnu lesser general public license for more details"],
+    "agpl-see": ["see the gnu affero general public license for more details"],
+    "bsd-name-org": ["neither the name of the organization nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"],
+    "isc-grant": [f"permission to use copy modify {x} distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies" for x in ("and or", "and")],
+    "unlicense-grant": ["this is free and unencumbered software released into the public domain"],
+    "epl2-terms": [f"this program and the accompanying materials are made available under the terms of the eclipse public license {v}2 0 which is available at {w} eclipse org legal epl 2 0" for v in ("", "v ", "v") for w in ("https www", "http www")],
+}
+MORE_RULES = [
+    ("MIT", ["mit-title-full"]),
+    *[(f"{name}-or-later", [free, *terms]) for name, terms in (
+        ("GPL-2.0", ["gpl-terms", "or-later-2"]), ("GPL-3.0", ["gpl-terms", "or-later-3"]), ("AGPL-3.0", ["agpl-terms", "or-later-3"]), ("AGPL-3.0", ["agpl3-terms"]),
+        ("LGPL-2.1", ["lgpl-terms", "or-later-2.1"]), ("LGPL-2.1", ["lgpl2.1-terms"]), ("LGPL-3.0", ["lgpl-terms", "or-later-3"]), ("LGPL-3.0", ["lgpl3-terms"]),
+    ) for free in ("gpl-free", "lgpl-free")],
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-name-org"]),
+    ("ISC", ["isc-grant"]),
+    ("Unlicense", ["unlicense-grant"]),
+    ("EPL-2.0", ["epl2-terms"]),
+]
+_CLOSINGS = [[w, "gpl-merchant", see] for w in ("gpl-warranty", "lgpl-warranty") for see in ("gpl-see", "lgpl-see", "agpl-see")]
+_VERSIONED = ["{} version {}", "{} v{}", "{} v {}", "{} {}"]
+_NAMES = {
+    "MIT": ["mit license", "mit licence"],
+    "Apache-2.0": [x.format("apache license", "2 0") for x in _VERSIONED] + ["apache 2 0 license"],
+    "BSD": ["bsd license"],
+    "BSD-2-Clause": ["bsd 2 clause license", "2 clause bsd license", "simplified bsd license"],
+    "BSD-3-Clause": ["bsd 3 clause license", "3 clause bsd license", "new bsd license", "modified bsd license"],
+    "ISC": ["isc license"],
+    "Unlicense": ["unlicense"],
+    "MPL-2.0": [x.format(y, "2 0") for x in _VERSIONED for y in ("mozilla public license", "mpl")],
+    "EPL-2.0": [x.format(y, "2 0") for x in _VERSIONED for y in ("eclipse public license", "epl")],
+    "CC0-1.0": ["cc0 1 0"],
+    "CC-BY-4.0": ["cc by 4 0"],
+    "CC-BY-SA-4.0": ["cc by sa 4 0"],
+    "CC-BY-NC-4.0": ["cc by nc 4 0"],
+} | {
+    f"{short}-{version}": [x.format(y, v) for x in _VERSIONED for y in (f"gnu {kind}general public license", f"gnu {short.lower()}", short.lower()) for v in {version.replace(".", " "), version.removesuffix(".0").replace(".", " ")}]
+    for short, kind, version in (("GPL", "", "2.0"), ("GPL", "", "3.0"), ("LGPL", "lesser ", "2.1"), ("LGPL", "lesser ", "3.0"), ("AGPL", "affero ", "3.0"))
+}
+_NOUNS, _VERBS = ("software", "project", "program", "library", "package", "code", "file", "work"), ("licensed", "released", "distributed", "available")
+#: Openings of a notice; where a sentence isn't one of SENTENCES they are read as `under`.
+_OPENING = f"^(?:this (?:{'|'.join(_NOUNS)}) is )?(?:{'|'.join(_VERBS)}) under (?:the terms of )?(?:the )?"
+_SPDX = ["MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Unlicense", "EPL-2.0", "MPL-2.0", "CC0-1.0"] + [f"{x}-{y}" for x in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for y in ("only", "or-later")]
+
+
+def known_sentences() -> dict[str, str]:
+    """Identifier by wording; SENTENCES go first."""
+    found = {f"under {x}": f"{name}-named" for name, own in _NAMES.items() for x in own}
+    found |= {f"spdx license identifier {x.lower().replace('-', ' ').replace('.', ' ')}": f"{x}-spdx" for x in _SPDX}
+    found |= {text: id_ for id_, texts in MORE_SENTENCES.items() for text in texts}
+    return found | {text: id_ for id_, text in SENTENCES.items()}
+
+
+def all_rules() -> list[tuple[str, list[str]]]:
+    """RULES and the further ones, longer texts first where they share a beginning."""
+    closed = [(name, ids + tail) for name, ids in MORE_RULES if ids[0] in ("gpl-free", "lgpl-free") for tail in _CLOSINGS]
+    named = [(name, [f"{name}-named"]) for name in _NAMES] + [(x, [f"{x}-spdx"]) for x in _SPDX]
+    return [r for r in MORE_RULES if r[1][0] == "bsd-grant"] + RULES + closed + MORE_RULES + named
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Marks the end of a sentence while a text is cut.
+_END = "\x02"
 
 
 def sentences(text: Column) -> Column:
-    """Normalised sentences: they end at a line's end, or at . ! ? ; : before white space."""
-    ended = F.regexp_replace(F.translate(text, _UPPER, _LOWER), r"[.!?;:]+(?:[ \t\r\x0B\f\n]|$)", "\n")
-    return F.transform(F.split(F.regexp_replace(ended, r"[^a-z0-9\n]+", " "), "\n"), lambda s: F.trim(s))
+    """Normalised sentences, each as its lines: they end at a blank line, or at . ! ? ; : before white space."""
+    lower = F.translate(text, _UPPER + _END, _LOWER + " ")
+    for cut in ("spdx-license-identifier:", "license, v."):
+        lower = F.when(F.contains(lower, F.lit(cut)), F.replace(lower, F.lit(cut), F.lit(cut[:-1] + " "))).otherwise(lower)
+    ended = F.regexp_replace(F.regexp_replace(lower, r"[.!?;:]+(?:[ \t\r\x0B\f\n]|$)", _END), f"[^a-z0-9\n{_END}]+", " ")
+    return F.split(F.regexp_replace(ended, r"\n(?: ?\n)+", _END), _END)
+
+
+def _lines(sentence: Column) -> Column:
+    return F.filter(F.transform(F.split(sentence, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def _wording(sentence: Column) -> Column:
+    """A sentence with the openings of notices made alike."""
+    return F.when(F.contains(sentence, F.lit(" under ")) & ~sentence.isin(list(SENTENCES.values())), F.regexp_replace(sentence, _OPENING, "under ")).otherwise(sentence)
+
+
+def _known_runs(lines: Column, by_text: dict[str, str], known: Column) -> Column:
+    """Identifiers of the runs of whole lines that are known, longest first at each line."""
+    starts = sorted({" ".join(x.split(" ")[:2]) for x in by_text} | {f"{x} under" for x in _VERBS} | {f"this {x}" for x in _NOUNS})
+    longest = max(len(x.split(" ")) for x in by_text)
+    nothing = F.struct(F.lit(0).alias("n"), F.lit("").alias("text"))
+
+    def step(state: Column, i: Column) -> Column:
+        run = lambda n: F.struct(n.alias("n"), _wording(F.array_join(F.slice(lines, i, n), " ")).alias("text"))
+        runs = F.filter(F.transform(F.sequence(F.lit(1), F.least(F.size(lines) - i + 1, F.lit(longest))), run), lambda r: r["text"].isin(list(by_text)))
+        opens = (i >= state["free"]) & F.substring_index(F.array_join(F.slice(lines, i, F.lit(2)), " "), " ", 2).isin(starts)
+        best = F.when(opens, F.coalesce(F.try_element_at(runs, F.lit(-1)), nothing)).otherwise(nothing)
+        take = lambda b: F.when(b["n"] > 0, F.struct((i + b["n"]).alias("free"), F.array_append(state["ids"], known[b["text"]]).alias("ids"))).otherwise(state)
+        return F.element_at(F.transform(F.array(best), take), 1)
+
+    start = F.struct(F.lit(1).alias("free"), F.array().cast("array<string>").alias("ids"))
+    return F.aggregate(F.sequence(F.lit(1), F.size(lines)), start, step, lambda state: state["ids"])
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences_by_id: dict[str, str] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_text: dict[str, str] | None = None, rules: list[tuple[str, list[str]]] | None = None) -> DataFrame:
     """(doc_id, licenses, sentence_ids): the licences of each row, sorted, and the sequence of known sentences."""
-    by_text = {text: id_ for id_, text in sentences_by_id.items()}
+    by_text, rules = by_text or known_sentences(), rules or all_rules()
     known = F.create_map(*[F.lit(x) for pair in by_text.items() for x in pair])
     # isin is a hash set, so the map is only searched for sentences that are in it.
-    found = F.transform(F.filter(sentences(text_or_empty(text_col)), lambda s: s.isin(list(by_text))), lambda s: known[s])
+    alone = lambda s: F.element_at(F.transform(F.array(_wording(s)), one), 1)
+    one = lambda s: F.when(s.isin(list(by_text)), F.array(known[s])).otherwise(F.array().cast("array<string>"))
+    wrapped = lambda s: F.flatten(F.transform(F.filter(F.array(_lines(s)), lambda x: F.size(x) > 0), lambda x: _known_runs(x, by_text, known)))
+    found = F.flatten(F.transform(sentences(text_or_empty(text_col)), lambda s: F.when(F.contains(F.trim(s), F.lit("\n")), wrapped(s)).otherwise(alone(F.trim(F.replace(s, F.lit("\n"), F.lit(" ")))))))
     rows = docs.select(F.col(id_col).alias("doc_id"), found.alias("sentence_ids"))
     steps = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f"<{i}>" for i in ids)).alias("pattern")) for name, ids in rules])
     sequence = F.transform("sentence_ids", lambda i: F.concat(F.lit("<"), i, F.lit(">")))

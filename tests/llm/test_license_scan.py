@@ -34,3 +34,69 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     plan = scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD = """# Copyright (c) 2020, Someone
+# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are met:
+#
+# 1. Redistributions of source code must retain the above copyright notice, this
+#    list of conditions and the following disclaimer.
+# 2. Redistributions in binary form must reproduce the above copyright notice,
+#    this list of conditions and the following disclaimer in the documentation
+#    and/or other materials provided with the distribution.
+"""
+GPL = """ * This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation; either version 2 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS, WITHOUT
+WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+
+
+def test_texts_as_they_are_wrapped(spark):
+    cases = [
+        (MIT, ["MIT"], 3),
+        (MIT.partition("\n\n")[2].replace("Someone\n\n", "Someone\n").replace("\n", "\r\n"), ["MIT"], 2),
+        (BSD, ["BSD-2-Clause"], 3),
+        (GPL, ["GPL-2.0-or-later"], 6),
+        (GPL.replace("General", "Affero General").replace("Foundation; either version 2", "Foundation, either version 3"), ["AGPL-3.0-or-later"], 5),
+        (GPL.replace("program", "library").replace("General", "Lesser General").replace("version 2", "version 2.1"), ["LGPL-2.1-or-later"], 6),
+        (APACHE, ["Apache-2.0", UNKNOWN], 3),
+        ("// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy", ["MPL-2.0"], 1),
+        ("This software is licensed under\nthe MIT License.", ["MIT"], 1),
+        ("int x;\n// SPDX-License-Identifier: LGPL-3.0-only\nint y;", ["LGPL-3.0-only"], 1),
+        ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.", ["ISC"], 1),
+        ("This is free and unencumbered software released into the\npublic domain.", ["Unlicense"], 1),
+        ("Released under the MIT License\nwith some more words\n" * 3, ["MIT"], 3),
+        ("\n\n \n", [], 0),
+        ("the\n" * 3000, [], 0),
+    ]
+    docs = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: (r.licenses, len(r.sentence_ids)) for r in scan(docs).collect()}
+    assert got == {i: (sorted(c[1]), c[2]) for i, c in enumerate(cases)}
