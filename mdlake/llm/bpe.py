@@ -12,6 +12,7 @@ The vocabulary file is read by the driver and broadcast; its size is checked aga
 Defined cases: null text is the empty text with no ids; special tokens are never produced and their strings are
 ordinary text. Repeated rows encode alike, empty tables give empty results. Null ids decode to empty bytes, and
 an id outside the vocabulary is an error. Results are added as columns; a column of that name is replaced.
+A worker holds one group of texts, a bounded memory of pieces and the vocabulary; texts are grouped by bytes.
 """
 
 from __future__ import annotations
@@ -25,17 +26,24 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mdlake.llm.common import text_batches
+
 WIDTHS = (4, 6, 8, 12, 16, 24, 32, 48, 64, 128)
 MAX_VOCABULARY = 64 << 20
-#: Distinct pieces whose ids a worker remembers.
-REMEMBERED = 1 << 18
+#: Bytes of pieces and their ids that a worker remembers, about; checked before each group of texts.
+REMEMBERED_BYTES = 24 << 20
+#: Characters of the texts that are cut and encoded together; a longer text is a group of its own.
+GROUP_CHARS = 1 << 18
 _NONE = np.int32(2**31 - 1)
 _ROWS = 1 << 15
+#: What an entry of the memory takes besides its bytes: two objects and their place in the dictionary.
+_ENTRY_BYTES = 180
 
 
 class Codec:
@@ -48,6 +56,7 @@ class Codec:
             self.token[id_] = token
         self.pieces = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
+        self.known_bytes = 0
         self.byte_id = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
         pairs = [(self.rank[t[:k]], self.rank[t[k:]], id_) for t, id_ in self.rank.items() for k in range(1, len(t)) if t[:k] in self.rank and t[k:] in self.rank]
         left, right, merged = np.array(pairs, np.int64).reshape(-1, 3).T
@@ -150,6 +159,7 @@ class Codec:
         buckets: dict[int, list[str]] = {}
         for piece in pieces:
             raw = piece.encode()
+            self.known_bytes += _ENTRY_BYTES + 2 * len(raw)
             if (id_ := self.rank.get(raw)) is not None:
                 self.known[piece] = id_.to_bytes(4, sys.byteorder)
             elif width := next((w for w in WIDTHS if len(raw) <= w), 0):
@@ -163,8 +173,8 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.pieces.findall(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        if self.known_bytes > REMEMBERED_BYTES:
+            self.known, self.known_bytes = {}, 0
         self.learn(set(chain.from_iterable(cut)).difference(self.known))
         return [np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), np.int32) for pieces in cut]
 
@@ -185,38 +195,59 @@ def _vocabulary(path: str) -> bytes:
     return data
 
 
-def _with_column(df: DataFrame, source: str, target: str, kind: T.DataType, convert) -> DataFrame:
-    """df with a column that `convert` makes, a list at a time, of the source column."""
-    kept = [c for c in df.columns if c != target]
-    df = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{source}`").alias("__source"))
+def _groups(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that hold at most GROUP_CHARS bytes together, or a single row."""
+    start, held = 0, 0
+    for at, size in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+        if held and held + size > GROUP_CHARS:
+            yield start, at
+            start, held = at, 0
+        held += size
+    if start < len(column):
+        yield start, len(column)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], convert(part.columns[-1])], names=[*kept, target])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields[:-1], T.StructField(target, kind)]))
+def encode(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", ids_col: str = "ids", bytes_col: str | None = None, keep: list[str] | None = None) -> DataFrame:
+    """docs with the token ids of each text and, where bytes_col is named, the bytes that they decode to.
 
-
-def encode(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """docs with the token ids of each text. vocabulary: path of a file of base64 tokens and ranks."""
+    vocabulary: path of a file of base64 tokens and ranks. keep: the columns that stay, all if not given; a text
+    that isn't among them goes to Python once and doesn't come back.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(_vocabulary(vocabulary))
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in (ids_col, bytes_col)]
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], F.col(f"`{text_col}`").cast("string").alias("t"))
+    added = [T.StructField(ids_col, T.ArrayType(T.IntegerType()))] + ([T.StructField(bytes_col, T.BinaryType())] if bytes_col else [])
+    schema = T.StructType([T.StructField(c, docs.schema[c].dataType) for c in kept] + added)
 
-    def convert(column: pa.Array) -> pa.Array:
-        found = _codec(shared.value, pattern).encode([t or "" for t in column.to_pylist()])
-        ends = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else np.zeros(0, np.int32)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(shared.value, pattern)
+        for batch in batches:
+            for start, end in _groups(batch.columns[-1]):
+                part = batch.slice(start, end - start)
+                found = codec.encode([t or "" for t in part.columns[-1].to_pylist()])
+                ends = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
+                new = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))]
+                if bytes_col:
+                    new.append(pa.array([codec.decode(ids.tolist()) for ids in found], pa.binary()))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *new], names=schema.names)
 
-    return _with_column(docs, text_col, ids_col, T.ArrayType(T.IntegerType()), convert)
+    return text_batches(rows).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, vocabulary: str, pattern: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
     """df with the bytes that each row's ids stand for."""
     shared = df.sparkSession.sparkContext.broadcast(_vocabulary(vocabulary))
+    kept = [c for c in df.columns if c != bytes_col]
+    rows = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])
+    schema = T.StructType([*[T.StructField(c, df.schema[c].dataType) for c in kept], T.StructField(bytes_col, T.BinaryType())])
+    at = kept.index(ids_col)
 
-    def convert(column: pa.Array) -> pa.Array:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value, pattern)
-        return pa.array([codec.decode(ids or []) for ids in column.to_pylist()], pa.binary())
+        for batch in batches:
+            for k in range(0, len(batch), 256):
+                part = batch.slice(k, 256)
+                found = pa.array([codec.decode(ids or []) for ids in part.columns[at].to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, found], names=schema.names)
 
-    return _with_column(df, ids_col, bytes_col, T.BinaryType(), convert)
+    return text_batches(rows).mapInArrow(run, schema)

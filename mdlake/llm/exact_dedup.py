@@ -3,9 +3,11 @@
 1. Each partition turns the 64-bit fingerprints of its normalised texts into counting quotient filters,
    one per block of the fingerprint space. Copies within a partition become one entry with a count, so a
    text that makes up a third of the corpus costs one entry a partition.
-2. Filters of one block are merged by their sorted remainders; counts add up and nothing is lost.
+2. Filters of one block are merged two by two along their sorted remainders; counts add up and nothing is lost.
 3. Only texts whose fingerprint has a count above one are compared byte by byte (Spark groups them by the
-   whole text), so that fingerprint collisions never join different texts.
+   whole text), so that fingerprint collisions never join different texts. Up to BROADCAST_FINGERPRINTS repeated
+   fingerprints are sent to the texts, which are sorted out where they are; beyond that all texts are grouped,
+   with the same result. Copies are combined before they are shuffled either way.
 
 Defined cases: null text is the empty text, and all empty texts are one group. Rows with equal doc_id and
 equal text are one document: each is reported, `kept` follows the doc_id, and `drop_copies` leaves one row.
@@ -23,13 +25,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mdlake.llm.common import strip_space, text_or_empty
+from mdlake.llm.common import bounded, park, strip_space, text_or_empty, within_bound
 
 QUOTIENT_BITS = 8
 #: Fingerprints that a merged block holds on average; bounds the memory of a merging task.
 BLOCK_ENTRIES = 1 << 20
 #: Fingerprints gathered in a partition before its filters are written out.
 FLUSH_ENTRIES = 1 << 22
+#: Repeated fingerprints (8 bytes each) up to which their table is broadcast.
+BROADCAST_FINGERPRINTS = 1 << 20
 _ESCAPE = 255
 
 
@@ -68,18 +72,24 @@ def decode_filter(block: int, entries: int, payload: bytes, block_bits: int) ->
     return (high << np.uint64(rest)) | remainder, counts
 
 
-def merge_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Merge sorted runs of (fingerprint, count) into one, adding the counts of equal fingerprints."""
-    if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    keys = np.concatenate([k for k, _ in parts])
-    counts = np.concatenate([c for _, c in parts])
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
+def _merge(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two sorted runs of (fingerprint, count) as one: each entry's place is its own rank and its rank among the others."""
+    (a, n), (b, m) = one, other
+    keys, counts = np.empty(len(a) + len(b), a.dtype), np.empty(len(a) + len(b), np.int64)
+    at_a, at_b = np.arange(len(a)) + np.searchsorted(b, a), np.arange(len(b)) + np.searchsorted(a, b, side="right")
+    keys[at_a], keys[at_b], counts[at_a], counts[at_b] = a, b, n, m
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def merge_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Merge sorted runs of (fingerprint, count) into one, adding the counts of equal fingerprints."""
+    parts = list(parts) or [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+    while len(parts) > 1:
+        parts = [_merge(*parts[i : i + 2]) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
 def build_filters(fingerprints: np.ndarray, block_bits: int) -> Iterator[tuple[int, int, bytes]]:
     """One filter (block, entries, payload) for each block that the fingerprints touch."""
     keys, counts = np.unique(fingerprints, return_counts=True)
@@ -139,13 +149,20 @@ def _best_id(best: Column) -> Column:
     return F.when(rank > 0, (_whole(2**63) - rank).cast("long"))
 
 
+def _repeated(fingerprints: DataFrame) -> DataFrame | None:
+    """The repeated fingerprints to be broadcast; None if there are too many."""
+    found = park(repeated_fingerprints(fingerprints, fingerprints.count()).select("fingerprint"), "repeated")
+    return F.broadcast(found) if within_bound(found, BROADCAST_FINGERPRINTS) else None
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Class of each row: doc_id, keep_id, group_size, kept, text_sha256, n_chars."""
     text = text_or_empty(text_col)
     # The original text stays behind: only its length goes along with the normalised one.
     base = docs.select(F.col(id_col).alias("doc_id"), F.char_length(text).cast("long").alias("n_chars"), strip_space(text).alias("norm"))
-    repeated = repeated_fingerprints(base.select(F.xxhash64("norm").alias("fingerprint")), docs.count())
-    suspects = base.withColumn("fingerprint", F.xxhash64("norm")).join(repeated.select("fingerprint"), "fingerprint", "left_semi")
+    rows = park(base.select("doc_id", "n_chars", F.xxhash64("norm").alias("fingerprint"), F.sha2("norm", 256).alias("text_sha256")), "texts")
+    repeated = _repeated(rows.select("fingerprint"))
+    suspects = base if repeated is None else base.withColumn("fingerprint", F.xxhash64("norm")).join(repeated, "fingerprint", "left_semi")
     # Grouping by the whole text is the byte comparison; copies are combined before they are shuffled.
     classes = (
         suspects.groupBy("norm")
@@ -153,16 +170,24 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .filter("group_size > 1")
         .select(F.sha2("norm", 256).alias("text_sha256"), _best_id(F.col("best")).alias("keep_id"), "group_size")
     )
-    rows = base.select("doc_id", F.sha2("norm", 256).alias("text_sha256"), "n_chars")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
-    return rows.join(classes, "text_sha256", "left").select(
+    return rows.join(bounded(park(classes, "classes")), "text_sha256", "left").select(
         "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256", "n_chars"
     )
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with their own columns: one for each distinct text."""
-    keepers = exact_dedup(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("__keep_id"), F.col("text_sha256").alias("__keep_sha")).distinct()
-    tagged = docs.withColumn("__sha", F.sha2(strip_space(text_or_empty(text_col)), 256))
-    same = tagged[id_col].eqNullSafe(keepers["__keep_id"]) & (tagged["__sha"] == keepers["__keep_sha"])
-    return tagged.join(keepers, same, "left_semi").dropDuplicates([id_col, "__sha"]).drop("__sha")
+    """The rows of docs that stay, with their own columns: one for each distinct text.
+
+    Texts without a repeated fingerprint pass where they are; of the others, the best row of each text stays.
+    """
+    text = text_or_empty(text_col)
+    best = F.struct(_best(F.col(id_col), F.char_length(text).cast("long")).alias("best"), F.xxhash64(text).alias("tie"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), strip_space(text).alias("norm"), best.alias("best"))
+    repeated = _repeated(docs.select(F.xxhash64(strip_space(text)).alias("fingerprint")))
+    alone = None
+    if repeated is not None:
+        marked = rows.withColumn("fingerprint", F.xxhash64("norm"))
+        alone, rows = marked.join(repeated, "fingerprint", "left_anti").select("row.*"), marked.join(repeated, "fingerprint", "left_semi")
+    first = rows.groupBy("norm").agg(F.max_by("row", "best").alias("row")).select("row.*")
+    return first if alone is None else alone.unionByName(first)

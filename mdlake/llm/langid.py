@@ -19,11 +19,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from mdlake.llm.common import park, text_batches
 
 UNKNOWN = "und"
 PROFILE = 400
+#: Languages up to which profiles are broadcast; more are an error.
+MAX_LANGUAGES = 2000
+PARTS = 64
+#: Score below which a text is in none of the learned languages.
+MIN_SCORE = 0.25
 _SPACE = 32
 #: Characters that are counted at a time.
 _CHARS = 1 << 18
@@ -98,15 +106,12 @@ def learn_profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes)), pa.array(codes), pa.array(counts)], names=["lang", "code", "n"])
 
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    sums = rows.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    # max_by would keep one; the first of each language are found by a bounded sorted slice of every task's own top.
-    order = F.struct((-F.col("n")).alias("n"), "code")
-    top = sums.withColumn("part", F.pmod(F.xxhash64("code"), F.lit(64)))
+    sums = text_batches(rows).mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    # Each of PARTS parts of a language gives its own first ones, so no language meets in one task as a whole.
+    first = sums.withColumn("part", F.pmod(F.xxhash64("code"), F.lit(PARTS)))
     for keys in (["lang", "part"], ["lang"]):
-        top = top.groupBy(*keys).agg(F.slice(F.sort_array(F.collect_list(order)), 1, size).alias("best"))
-        if "part" in keys:
-            top = top.select("lang", F.explode("best").alias("e")).select("lang", (-F.col("e.n")).alias("n"), "e.code")
-    return top.select("lang", F.posexplode("best").alias("rank", "e")).select("lang", "rank", F.col("e.code").alias("code"))
+        first = first.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("n").desc(), "code"))).filter(F.col("rank") <= size)
+    return first.select("lang", (F.col("rank") - 1).alias("rank"), "code")
 
 
 class Profiles:
@@ -133,23 +138,36 @@ class Profiles:
 
 def identify(docs: DataFrame, profiles: DataFrame, text_col: str = "text", size: int = PROFILE) -> DataFrame:
     """docs with lang_pred and score. profiles has `size` rows a language and is broadcast."""
-    shared = docs.sparkSession.sparkContext.broadcast(Profiles([tuple(r) for r in profiles.select("lang", "rank", "code").collect()], size))
+    rows = profiles.select("lang", "rank", "code").limit(MAX_LANGUAGES * size + 1).collect()
+    if len(rows) > MAX_LANGUAGES * size:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    shared = docs.sparkSession.sparkContext.broadcast(Profiles([tuple(r) for r in rows], size))
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    docs = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("__text"))
+    named = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], *([] if text_col in kept else [F.col(f"`{text_col}`").alias("t")]))
+    at = kept.index(text_col) if text_col in kept else len(kept)
+    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.closest(t.as_py()) for t in batch.columns[-1]]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=[*kept, "lang_pred", "score"])
+            found = [shared.value.closest(t.as_py()) for t in batch.columns[at]]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=schema.names)
+
+    return text_batches(named).mapInArrow(run, schema)
 
-    schema = docs.drop("__text").schema.add("lang_pred", "string").add("score", "double")
-    return docs.mapInArrow(run, schema)
 
+def keep_known(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of docs in one of the languages that their labelled rows teach, with their own columns.
 
-def drop_unknown(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """The rows of docs in some language, with their own columns; those without a letter go."""
+    Texts without a letter go, and texts that score less than min_score in every language. A language that was seen
+    too little to fill its profile rejects nothing. A row without a language gets the predicted one. Where no row has
+    a language nothing can be told apart, and every text with a letter stays.
+    """
+    profiles = park(learn_profiles(docs.filter(~held_out(F.col(f"`{id_col}`"))), lang_col, text_col), "profiles")
+    if profiles.isEmpty():
+        return docs.filter(F.col(f"`{text_col}`").rlike(r"\p{IsAlphabetic}"))
     columns = docs.columns
-    profiles = learn_profiles(docs.filter(~held_out(F.col(id_col))), lang_col, text_col)
-    named = docs.select(*[F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(columns)])
-    found = identify(named, profiles, f"__{columns.index(text_col)}").filter(F.col("lang_pred") != UNKNOWN)
-    return found.select(*[F.col(f"__{i}").alias(c) for i, c in enumerate(columns)])
+    short = [r["lang"] for r in profiles.groupBy("lang").count().filter(F.col("count") < PROFILE).limit(MAX_LANGUAGES).collect()]
+    named = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+    found = identify(named, profiles, f"c{columns.index(text_col)}").filter((F.col("lang_pred") != UNKNOWN) & ((F.col("score") >= min_score) | F.col("lang_pred").isin(short)))
+    own = lambda i, c: F.coalesce(F.col(f"c{i}").cast("string"), "lang_pred") if c == lang_col else F.col(f"c{i}")
+    return found.select(*[own(i, c).alias(c) for i, c in enumerate(columns)])

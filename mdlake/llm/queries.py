@@ -48,8 +48,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_byte_bpe")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, path, pattern).select("doc_id", "ids"), path, pattern)
+    coded = bpe.encode(table(spark, sf_dir, "documents"), path, pattern, bytes_col="decoded", keep=["doc_id"])
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -11,12 +11,19 @@
    spanning star. All trees of a batch are built and searched together with numpy.
 4. The links' connected components are the groups.
 
+Near copies by similarity (`drop_near_copies`): 64 bits aren't selective at the distance that a similarity of 0.8
+asks for. There, shards are made of a document's least shingle hashes, of which similar texts share some however
+large the corpus is; in each shard a BK-tree of five-word SimHashes links every entry with an earlier one within a
+wide radius, and the exact similarity of both texts' shingles decides on each link. Links are at most one for each
+entry of a shard, so a large group of near copies costs no list of its pairs.
+
 The trees stay where their shard's queries are; they are not broadcast, since the fingerprints of a corpus have
 no bound on their size.
 
 Defined cases: null, empty and white-space texts have fingerprint zero and link like any other. Repeated rows
 get equal results. Rows without doc_id share the group of equal fingerprints and link no further by themselves.
-Empty tables give empty results; other columns are ignored.
+Empty tables give empty results; other columns are ignored. `drop_near_copies` takes rows of equal id and text as
+one, judges rows without an id like others (they come last), and leaves texts without words alone.
 """
 
 from __future__ import annotations
@@ -31,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mdlake.llm.common import park
+from mdlake.llm.common import bounded, park, text_batches, text_or_empty
 from mdlake.llm.components import connected_components
 
 SEED = 42
@@ -39,28 +46,57 @@ SEED = 42
 SHARD_ENTRIES = 64
 #: (query, node) pairs that a search holds at once.
 FRONTIER = 1 << 21
+#: Signature of a text for near copies: BANDS shards, each named by ROWS least shingle hashes.
+BANDS, ROWS = 12, 4
+#: Distance within which five-word SimHashes become candidates: 3 deviations over the mean at a similarity of 0.8.
+WIDE_RADIUS = 18
+NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
+_LAST = 2**63 - 1
 _CHUNK = 1 << 16
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _OFFSETS = (np.arange(8) * 256).astype(np.int64)
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
-def simhash(text: str | None, size: int = 3) -> int:
-    """Unsigned 64-bit SimHash of the word shingles of a text, repeats included."""
-    words = (text or "").encode().translate(_LOWER).split()
-    if not words:
-        return 0
+def _shingle_hashes(words: list[bytes], size: int) -> Iterator[np.ndarray]:
+    """Hashes of the shingles of a text, a chunk at a time; fewer words than a shingle's are one shingle."""
     hash_ = xxhash.xxh64_intdigest
     if len(words) <= size:
-        return hash_(b" ".join(words), SEED)
+        yield np.array([hash_(b" ".join(words), SEED)], "<u8")
+        return
     join = b" ".join([b"%b"] * size).__mod__
     shingles = zip(*(itertools.islice(words, i, None) for i in range(size)), strict=False)
-    total, n = np.zeros(2048, np.int64), 0
     while part := [hash_(s, SEED) for s in map(join, itertools.islice(shingles, _CHUNK))]:
-        total += np.bincount((np.array(part, "<u8").view(np.uint8).reshape(-1, 8) + _OFFSETS).ravel(), minlength=2048)
-        n += len(part)
-    ones = total.reshape(8, 256) @ _BITS
-    return int(np.packbits((2 * ones > n).astype(np.uint8).ravel(), bitorder="little").view("<u8")[0])
+        yield np.array(part, "<u8")
+
+
+def _words(text: str | None) -> list[bytes]:
+    return (text or "").encode().translate(_LOWER).split()
+
+
+class _Votes:
+    """Counts of the set bits of hashes."""
+
+    def __init__(self) -> None:
+        self.total, self.n = np.zeros(2048, np.int64), 0
+
+    def add(self, hashes: np.ndarray) -> None:
+        self.total += np.bincount((hashes.view(np.uint8).reshape(-1, 8) + _OFFSETS).ravel(), minlength=2048)
+        self.n += len(hashes)
+
+    def fingerprint(self) -> int:
+        ones = self.total.reshape(8, 256) @ _BITS
+        return int(np.packbits((2 * ones > self.n).astype(np.uint8).ravel(), bitorder="little").view("<u8")[0])
+
+
+def simhash(text: str | None, size: int = 3) -> int:
+    """Unsigned 64-bit SimHash of the word shingles of a text, repeats included."""
+    if not (words := _words(text)):
+        return 0
+    votes = _Votes()
+    for hashes in _shingle_hashes(words, size):
+        votes.add(hashes)
+    return votes.fingerprint()
 
 
 def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -74,7 +110,7 @@ def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_co
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps)], names=["doc_id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return text_batches(rows).mapInArrow(run, "doc_id long, fp long")
 
 
 def block_masks(radius: int, blocks: int) -> list[int]:
@@ -178,6 +214,34 @@ def shard_stars(values: np.ndarray, starts: np.ndarray, radius: int) -> np.ndarr
     return label
 
 
+def _shards(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
+    """Columns of whole shards, from batches sorted by their first `keys` columns."""
+    held = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            held = columns if held is None else [np.concatenate(x) for x in zip(held, columns, strict=True)]
+            if not len(held[0]):
+                continue
+            # The last shard may go on in the next batch.
+            other = np.zeros(len(held[0]), bool)
+            for c in held[:keys]:
+                other |= c != c[-1]
+            cut = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+        else:
+            cut = len(held[0]) if held is not None else 0
+        if cut:
+            yield [c[:cut] for c in held]
+            held = [c[cut:] for c in held]
+
+
+def _starts(keys: list[np.ndarray]) -> np.ndarray:
+    change = np.zeros(len(keys[0]) - 1, bool)
+    for c in keys:
+        change |= c[1:] != c[:-1]
+    return np.concatenate(([0], np.flatnonzero(change) + 1))
+
+
 def link_fingerprints(reps: DataFrame, radius: int = 3) -> DataFrame:
     """(a, b): links that connect the representatives of fingerprints within the radius. reps: fp, rep."""
     masks = masks_for(reps.count(), radius)
@@ -185,7 +249,7 @@ def link_fingerprints(reps: DataFrame, radius: int = 3) -> DataFrame:
     routed = reps.select("fp", "rep", shard.alias("shard")).select("shard.mask", "shard.key", "fp", "rep")
 
     def search(mask: np.ndarray, key: np.ndarray, fp: np.ndarray, rep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        starts = np.flatnonzero(np.concatenate(([True], (mask[1:] != mask[:-1]) | (key[1:] != key[:-1]))))
+        starts = _starts([mask, key])
         size = np.diff(np.append(starts, len(fp)))
         many = np.repeat(size > 1, size)
         if not many.any():
@@ -196,21 +260,9 @@ def link_fingerprints(reps: DataFrame, radius: int = 3) -> DataFrame:
         return rep[many][moved], rep[many][label[moved]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in itertools.chain(batches, [None]):
-            if batch is not None:
-                columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-                held = columns if held is None else [np.concatenate(x) for x in zip(held, columns, strict=True)]
-                if not len(held[0]):
-                    continue
-                # The last shard may go on in the next batch.
-                cut = int(np.flatnonzero((held[0] != held[0][-1]) | (held[1] != held[1][-1]))[-1:].sum() + 1) if (held[0][0], held[1][0]) != (held[0][-1], held[1][-1]) else 0
-            else:
-                cut = len(held[0]) if held is not None else 0
-            if cut:
-                a, b = search(*[c[:cut] for c in held])
-                held = [c[cut:] for c in held]
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        for columns in _shards(batches, 2):
+            a, b = search(*columns)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     ordered = routed.repartition("mask", "key").sortWithinPartitions("mask", "key", "rep")
     return ordered.mapInArrow(run, "a long, b long")
@@ -225,7 +277,101 @@ def near_groups(docs: DataFrame, radius: int = 3, size: int = 3, id_col: str = "
     return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay: of each group the document with the smallest doc_id."""
-    gone = near_groups(docs, radius, 3, id_col, text_col).filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+def _mixers() -> tuple[np.ndarray, np.ndarray]:
+    drawn = np.random.default_rng(SEED).integers(0, 2**63, (2, BANDS * ROWS), dtype=np.int64).astype(np.uint64)
+    return drawn[0], drawn[1] * np.uint64(2) + np.uint64(1)
+
+
+def signature(text: str | None, size: int = NEAR_SHINGLE) -> tuple[int, list[int]]:
+    """The SimHash of a text and the names of its shards, as signed numbers; no shards without words."""
+    if not (words := _words(text)):
+        return 0, []
+    add, times = _mixers_once
+    votes, least = _Votes(), np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+    for hashes in _shingle_hashes(words, size):
+        votes.add(hashes)
+        for at in range(0, len(hashes), 2048):
+            least = np.minimum(least, ((hashes[at : at + 2048, None] ^ add) * times).min(0))
+    names = np.arange(BANDS, dtype=np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        names = (names ^ row) * np.uint64(0x9E3779B97F4A7C15)
+        names ^= names >> np.uint64(29)
+    return votes.fingerprint() - (1 << 64 if votes.fingerprint() >> 63 else 0), names.view(np.int64).tolist()
+
+
+_mixers_once = _mixers()
+
+
+def shard_links(values: np.ndarray, starts: np.ndarray, radius: int) -> np.ndarray:
+    """For each entry an earlier one of its shard within the radius, or itself; entries that are linked aren't searched again."""
+    forest, label = Forest(values, starts), np.arange(len(values))
+    rank, best, bound = np.arange(len(values)) - forest.root, np.arange(len(values)), 0
+    while bound <= rank.max(initial=-1):
+        upper = max(64, 2 * bound)
+        chunk = np.flatnonzero((rank >= bound) & (rank < upper))
+        for part in np.array_split(chunk, len(chunk) // FRONTIER + 1):
+            for a, b in list(forest.links(part, radius, label)):
+                np.minimum.at(best, np.maximum(a, b), np.minimum(a, b))
+                label = _unite(label, a, b)
+        bound = upper
+    return best
+
+
+def jaccard(a: set, b: set) -> float:
+    return len(a & b) / len(a | b) if a or b else 0.0
+
+
+def shingle_set(text: str | None, size: int = NEAR_SHINGLE) -> set:
+    words = _words(text)
+    return {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def similar_pairs(docs: DataFrame, similarity: float = NEAR_SIMILARITY, size: int = NEAR_SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(a, b): links between different rows whose texts are similar enough; a and b are structs of id and text hash.
+
+    Ids that are missing are the largest number. The links connect similar texts; they aren't all pairs of a group.
+    """
+    text = text_or_empty(text_col)
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                found = [signature(t.as_py(), size) for t in part.column(2)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.list_(pa.int64()))], names=["id", "hash", "fp", "shards"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, id_, hash_, fp in _shards(batches, 1):
+            best = shard_links(fp.view(np.uint64), _starts([shard]), WIDE_RADIUS)
+            own = np.flatnonzero(best != np.arange(len(best)))
+            to = best[own]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (id_[own], hash_[own], id_[to], hash_[to])], names=["id", "hash", "id2", "hash2"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, set()
+        for batch in batches:
+            good = np.zeros(len(batch), bool)
+            for i, (a, b) in enumerate(zip(batch.column(4), batch.column(5), strict=True)):
+                if (b := b.as_py()) != last:
+                    last, held = b, shingle_set(b, size)
+                good[i] = jaccard(shingle_set(a.as_py(), size), held) >= similarity
+            yield pa.RecordBatch.from_arrays(batch.columns[:4], names=batch.schema.names[:4]).filter(pa.array(good))
+
+    signed = text_batches(rows).mapInArrow(sign, "id long, hash long, fp long, shards array<long>")
+    routed = signed.select(F.explode("shards").alias("shard"), "id", "hash", "fp").repartition("shard").sortWithinPartitions("shard", "id", "hash")
+    pairs = park(routed.mapInArrow(search, "id long, hash long, id2 long, hash2 long").distinct(), "candidates")
+    both = pairs.select("id", "hash").union(pairs.select(F.col("id2").alias("id"), F.col("hash2").alias("hash"))).distinct()
+    texts = rows.join(bounded(park(both, "involved"), 1 << 20), ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"])
+    held = park(texts, "involved-texts")
+    joined = pairs.join(held, ["id", "hash"]).join(held.select(F.col("id").alias("id2"), F.col("hash").alias("hash2"), F.col("text").alias("text2")), ["id2", "hash2"])
+    found = joined.select("id", "hash", "id2", "hash2", "text", "text2").mapInArrow(verify, "id long, hash long, id2 long, hash2 long")
+    return found.select(F.struct("id", "hash").alias("a"), F.struct(F.col("id2").alias("id"), F.col("hash2").alias("hash")).alias("b"))
+
+
+def drop_near_copies(docs: DataFrame, similarity: float = NEAR_SIMILARITY, size: int = NEAR_SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that stay: of each group of similar texts the document with the smallest id."""
+    groups = connected_components(similar_pairs(docs, similarity, size, id_col, text_col))
+    gone = park(groups.filter("node <> component").select(F.col("node.id").alias("__id"), F.col("node.hash").alias("__hash")), "near-copies")
+    own = (F.coalesce(docs[id_col].cast("long"), F.lit(_LAST)) == F.col("__id")) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("__hash"))
+    return docs.join(bounded(gone, 1 << 20), own, "left_anti")

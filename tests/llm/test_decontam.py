@@ -59,10 +59,33 @@ def test_matches_every_window(spark):
 def test_multi_index_finds_all_within_the_radius():
     rng = random.Random(6)
     index = BenchmarkIndex([(i, " ".join(rng.choices(WORDS, k=8))) for i in range(40)])
-    flips = [index.fps[i % 40] ^ np.uint64(sum(1 << b for b in rng.sample(range(64), k))) for i, k in enumerate([0, 5, 12, 20, 23, 24] * 20)]
-    window, item = index._within(np.array(flips, np.uint64))
-    want = {(w, i) for w, f in enumerate(flips) for i, g in enumerate(index.fps) if bin(int(f) ^ int(g)).count("1") <= decontam.RADIUS}
+    number = lambda x: int(x[0]) | int(x[1]) << 64
+    flips = [number(index.fps[i % 40]) ^ sum(1 << b for b in rng.sample(range(128), k)) for i, k in enumerate([0, 5, 12, 20, 31, 32] * 20)]
+    window, item = index._within(np.array([[f & 2**64 - 1, f >> 64] for f in flips], np.uint64), 8)
+    want = {(w, i) for w, f in enumerate(flips) for i, g in enumerate(index.fps) if bin(f ^ number(g)).count("1") <= index.radius}
     assert set(zip(window.tolist(), item.tolist(), strict=True)) == want
+    assert index.radius == 31
+
+
+def test_candidates_and_recall_of_a_large_benchmark():
+    """Over 20,000 items a window meets less than a hundredth of them, and similar items are found."""
+    rng = random.Random(8)
+    vocabulary = [f"{a}{b}" for a in WORDS for b in WORDS]
+    items = [(i, rng.choices(vocabulary, k=20 + i % 120)) for i in range(20_000)]
+    index = BenchmarkIndex([(i, " ".join(w)) for i, w in items])
+    found = want = met = windows = 0
+    for i, words in rng.sample(items, 150):
+        own = list(words)
+        for at in rng.sample(range(len(own)), max(1, len(own) // 60)):
+            own[at] = "changed"
+        score = similarity(own, words, 5)
+        want += score >= 0.8
+        found += score >= 0.8 and i in index.matches(" ".join(own))
+        fps = decontam._fingerprints(decontam._hashes(own, 5)[None])
+        met += len(index.candidates(fps, len(own))[0])
+        windows += 1
+    assert want > 60 and found >= 0.99 * want
+    assert met / windows < 0.01 * len(items)
 
 
 def test_benchmark_in_chunks(spark, monkeypatch):
@@ -78,5 +101,8 @@ def test_empty_tables_and_null_ids(spark):
     items = spark.createDataFrame([(7, "A b c d e f")], "item_id long, text string")
     assert [tuple(r) for r in contaminated(docs, items).collect()] == [(None, 7, 1.0, 0)]
     assert [r.doc_id for r in drop_contaminated(docs, items).collect()] == [1]
+    mixed = spark.createDataFrame([(None, "a b c d e f"), (None, "clean"), (5, "A b c d e f"), (5, "clean too"), (6, None)], "doc_id long, text string")
+    assert sorted(r.text or "" for r in drop_contaminated(mixed, items).collect()) == ["", "clean", "clean too"]
+    assert drop_contaminated(docs.limit(0), items).count() == 0
     assert contaminated(docs, items.limit(0)).count() == 0
     assert contaminated(docs.limit(0), items).count() == 0

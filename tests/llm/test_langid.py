@@ -63,6 +63,6 @@ def test_odd_rows(spark):
     assert all(0 <= r.score <= 1 for r in got)
     none = langid.identify(docs, langid.learn_profiles(docs.limit(0)))
     assert {r.lang_pred for r in none.collect()} == {"und"}
-    stays = langid.drop_unknown(docs)
+    stays = langid.keep_known(docs)
     assert stays.columns == docs.columns
     assert sorted(str(r.doc_id) for r in stays.collect()) == ["1", "3", "7", "None"]
