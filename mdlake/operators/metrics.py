@@ -33,13 +33,29 @@ def _surface(keys: list[str], members: DataFrame, reference: Column) -> DataFram
 
 
 def option_state(options: DataFrame, quotes: DataFrame, greeks: DataFrame) -> DataFrame:
-    """options with their last quote and greeks: mid, spread, raw_iv, iv, delta, quote and greek counts."""
+    """options with their last quote and greeks: mid, spread, raw_iv, iv, delta."""
     quote = latest_state(quotes, "instrument_id", ["bid_price", "ask_price"])
     greek = latest_state(greeks, "instrument_id", ["mark_iv", "delta"])
     state = options.join(quote, "instrument_id", "left").join(greek, "instrument_id", "left")
     return state.withColumns({"option_mid": mid(), "option_spread": spread(), "raw_iv": F.col("mark_iv"), "iv": normalize_iv("mark_iv")}).drop("bid_price", "ask_price", "mark_iv")
 
 
+def option_report(options: DataFrame, quotes: DataFrame, greeks: DataFrame) -> DataFrame:
+    """Each option with its last quote and greeks in full, its rows, and what it lacks: greeks, volatility or delta.
+
+    greeks: mark_iv, delta, gamma, vega, theta. missing is null for a complete option; volatilities are as captured in
+    raw_iv and as fractions in iv.
+    """
+    rows = lambda df, name: df.groupBy("instrument_id").agg(F.count(F.lit(1)).alias(name))
+    quote = latest_state(quotes, "instrument_id", ["bid_price", "ask_price"]).join(rows(quotes, "quote_rows"), "instrument_id")
+    greek = latest_state(greeks, "instrument_id", ["mark_iv", "delta", "gamma", "vega", "theta"]).join(rows(greeks, "greek_rows"), "instrument_id")
+    state = options.join(quote, "instrument_id", "left").join(greek, "instrument_id", "left")
+    missing = F.when(F.col("greek_rows").isNull(), "greeks").when(F.col("mark_iv").isNull(), "mark_iv").when(F.col("delta").isNull(), "delta")
+    counts = {c: F.coalesce(c, F.lit(0)) for c in ("quote_rows", "greek_rows")}
+    found = state.withColumns({"option_mid": mid(), "option_spread": spread(), "raw_iv": F.col("mark_iv"), "iv": normalize_iv("mark_iv"), "missing": missing, **counts})
+    return found.drop("bid_price", "ask_price", "mark_iv")
+
+
 def option_metrics(options: DataFrame, quotes: DataFrame, greeks: DataFrame, perps: DataFrame, keys: tuple[str, ...] = ("underlying", "expiration_ns")) -> DataFrame:
     """Metrics at the end of the data for each universe (an underlying's expiry).
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mdlake.functions.scalars import finite, next_seal_ns, stable_key, whole
+from mdlake.operators.sealing import PARTITION
 
-PARTITION = ("instrument_id", "seal_date")
 # Rows of a memory flush and of a row group by family, and the ranges they are held to.
 FLUSH_ROWS = {"order_book_deltas": 20_000, "trades": 2_000, "quotes": 500, "mark_prices": 100, "index_prices": 100, "funding_rate_update": 100, "instrument_status": 100, "instrument_closes": 100, "option_greeks": 2_000, "bars": 500, "instruments": 50}
 DELTA_RANGE = (20_000, 50_000)
@@ -55,40 +55,6 @@ def write_instruments(df: DataFrame, root: str) -> None:
     write_chunk(df, root, "instruments")
 
 
-def seal(spark: SparkSession, root: str, family: str, schema: str, staging: str) -> None:
-    """Move the rows of a staging area to sorted, complete files of their partitions; running it again changes nothing.
-
-    The rows of a sealed partition are those of its old files and of the staging area; rows that are equal in every
-    column are one. Only the partitions that the staging area touches are rewritten.
-    """
-    new = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).parquet(staging)
-    touched = new.select(*PARTITION).distinct()
-    target = f"{root}/{family}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        old = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(target).join(touched, list(PARTITION), "left_semi")
-        new = old.unionByName(new)
-    rows = new.distinct()
-    # Dynamic overwrite commits by partition; what is read is parked first, since its files are replaced.
-    parked = f"{staging.rstrip('/')}__sealing"
-    rows.write.mode("overwrite").parquet(parked)
-    back = spark.read.schema(rows.schema).parquet(parked)
-    back.repartition(*PARTITION).sortWithinPartitions(*PARTITION, "ts_init_ns", "seq").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION).parquet(target)
-
-
-def recover(spark: SparkSession, folder: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(rows, report) of open parts that a crash left: rows of readable parts; path, bytes and state of each part.
-
-    A part whose file doesn't end with the Parquet mark is corrupt and stays where it is. Parts of no bytes hold
-    nothing and are not listed: Spark's readers pass over them.
-    """
-    parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.part").option("recursiveFileLookup", True).load(folder)
-    state = F.when(F.substring("content", -4, 4) == F.lit(bytearray(b"PAR1")), "readable").otherwise("corrupt")
-    report = parts.select("path", F.col("length").alias("bytes"), state.alias("state"))
-    rows = spark.read.schema(schema).option("ignoreCorruptFiles", True).option("pathGlobFilter", "*.part").option("recursiveFileLookup", True).parquet(folder)
-    return rows, report
-
-
 def manifest(written: DataFrame, family: str) -> DataFrame:
     """(family, instrument_id, seal_date, path, rows, bytes, min_ts_ns, max_ts_ns) of written files."""
     rows = written.select("instrument_id", "seal_date", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"), "ts_init_ns")

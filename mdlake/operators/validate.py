@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mdlake.functions.scalars import finite, sample_center
-from mdlake.operators.asof import latest_state
+from mdlake.operators.presets import Checks
+from mdlake.operators.sealing import open_parts
 
 VIOLATION = "rule string, key string, expected string, actual string"
 
@@ -54,6 +55,10 @@ def readback_counts(families: dict[str, DataFrame]) -> DataFrame:
     return counts.groupBy("instrument_id").pivot("family", list(families)).agg(F.sum("n")).na.fill(0)
 
 
+def family_counts(rows: DataFrame, family: str) -> DataFrame:
+    return rows.groupBy("instrument_id").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(family).alias("family"), "instrument_id", "rows")
+
+
 def min_rows(expected: DataFrame, counts: DataFrame) -> DataFrame:
     """Expected keys (family, instrument_id, least) with fewer rows than that. counts: family, instrument_id, rows."""
     found = expected.join(counts, ["family", "instrument_id"], "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
@@ -68,10 +73,28 @@ def greeks_ok(greeks: DataFrame, columns: tuple[str, ...] = ("delta", "gamma", "
     return _out(bad, F.col("v.rule"), F.col("instrument_id"), F.lit("finite"), F.col("v.value"))
 
 
-def contract_state(states: DataFrame, required: DataFrame, family: str) -> DataFrame:
-    """Ids (required: instrument_id) without any state row of the family."""
-    missing = required.join(states.select("instrument_id").distinct(), "instrument_id", "left_anti")
-    return _out(missing, f"state:{family}", F.col("instrument_id"), F.lit(1), F.lit(0))
+def contract_state(states: DataFrame, members: DataFrame, family: str, required: bool = True) -> DataFrame:
+    """State rows of the members (instrument_id): some row for each if required, and what is there in order.
+
+    Rows with file places (file_order) are held to ascending times; rows with a partition_id to that id.
+    """
+    own = states.join(members.select("instrument_id").distinct(), "instrument_id", "left_semi")
+    parts = []
+    if required:
+        missing = members.select("instrument_id").distinct().join(states.select("instrument_id").distinct(), "instrument_id", "left_anti")
+        parts.append(_out(missing, f"state:{family}", F.col("instrument_id"), F.lit(1), F.lit(0)))
+    parts += _placed(own, states, family)
+    return all_violations(parts) if parts else _out(members.limit(0), "", F.col("instrument_id"), F.lit(1), F.lit(0))
+
+
+def _placed(rows: DataFrame, whole: DataFrame, family: str) -> list[DataFrame]:
+    """Order and id checks of a family, as far as its rows carry their places."""
+    parts = []
+    if "__path" in whole.columns:
+        parts.append(check_ascending(rows, "instrument_id").withColumn("rule", F.concat(F.col("rule"), F.lit(f":{family}"))))
+    if "partition_id" in whole.columns:
+        parts.append(id_matches(whole).withColumn("rule", F.concat(F.col("rule"), F.lit(f":{family}"))))
+    return parts
 
 
 def any_option_has(universes: DataFrame, rows: DataFrame, least: int, family: str, key: str = "universe_id") -> DataFrame:
@@ -95,22 +118,55 @@ def sampled_options(universes: DataFrame, limit: int = 6, key: str = "universe_i
     return listed.select(key, sample_center("ids", limit).alias("sample"))
 
 
-def validate_readback(universes: DataFrame, families: dict[str, DataFrame], least: dict[str, int], skip_options: bool = False) -> DataFrame:
-    """Least rows of each family for each member. universes: instrument_id, role (perp or option)."""
-    roles = {"quotes": ("perp", "option"), "mark_prices": ("perp", "option"), "index_prices": ("perp",), "funding_rate_update": ("perp",), "option_greeks": ("option",), "trades": ("perp",)}
-    parts = []
-    for name, df in families.items():
-        wanted = [r for r in roles.get(name, ("perp", "option")) if not (skip_options and r == "option")]
-        ids = universes.filter(F.col("role").isin(wanted)).select("instrument_id").distinct()
-        expected = ids.select(F.lit(name).alias("family"), "instrument_id", F.lit(least.get(name, 1)).alias("least"))
-        counts = df.groupBy("instrument_id").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("family"), "instrument_id", "rows")
-        parts.append(min_rows(expected, counts))
+def validate_readback(universes: DataFrame, families: dict[str, DataFrame], checks: Checks) -> DataFrame:
+    """Read families back for the members of universes (universe_id, instrument_id, role: perp or option).
+
+    Definitions and bars are always checked. Then either quotes, prices, trades, greeks, funding and contract state of
+    perps and options, or, where option families are skipped, the book deltas alone. A family that is not given has no
+    rows. Order and ids are checked for rows that carry their file places and partition ids.
+    """
+    members = universes.select("instrument_id", "role").distinct()
+    nothing = members.limit(0).select("instrument_id")
+    rows_of = lambda name: families.get(name, nothing)
+    in_use: set[str] = set()
+
+    def least(name: str, role: str | None, rows: int) -> DataFrame:
+        in_use.add(name)
+        ids = members if role is None else members.filter(F.col("role") == role)
+        return min_rows(ids.select(F.lit(name).alias("family"), "instrument_id", F.lit(rows).alias("least")), family_counts(rows_of(name), name))
+
+    def any_option(name: str, rows: int) -> DataFrame:
+        in_use.add(name)
+        return any_option_has(universes.filter("role = 'option'"), rows_of(name), rows, name)
+
+    parts = [least("instruments", None, 1)]
+    if checks.skip_options:
+        if checks.min_option_deltas > 0:
+            parts.append(any_option("order_book_deltas", checks.min_option_deltas))
+    else:
+        parts += [least(name, role, checks.min_rows) for role, names in (("perp", ("quotes", "mark_prices", "index_prices")), ("option", ("quotes", "mark_prices", "option_greeks"))) for name in names]
+        parts.append(least("funding_rate_update", "perp", 1))
+        if checks.min_perp_trades > 0:
+            parts.append(least("trades", "perp", checks.min_perp_trades))
+        if checks.min_option_trades > 0:
+            parts.append(any_option("trades", checks.min_option_trades))
+        if "option_greeks" in families:
+            parts.append(greeks_ok(rows_of("option_greeks").join(members.filter("role = 'option'"), "instrument_id", "left_semi")))
+        for family in ("instrument_status", "instrument_closes"):
+            if checks.contract_state or family in families:
+                parts.append(contract_state(rows_of(family), members, family, checks.contract_state))
+    for name in sorted(in_use & set(families)):
+        parts += _placed(rows_of(name).join(members, "instrument_id", "left_semi"), rows_of(name), name)
+    if checks.bar_types:
+        bars = families.get("bars", nothing.select(F.col("instrument_id").alias("bar_type"))).groupBy("bar_type").agg(F.count(F.lit(1)).alias("n"))
+        wanted = members.sparkSession.createDataFrame([(t,) for t in checks.bar_types], "bar_type string").join(bars, "bar_type", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        parts.append(_out(wanted.filter(F.col("n") < checks.min_rows), "bars", F.col("bar_type"), F.lit(checks.min_rows), F.col("n")))
     return all_violations(parts)
 
 
 def no_open_parts(spark: SparkSession, root: str) -> DataFrame:
-    """Open parts that are left under a folder."""
-    parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.part").option("recursiveFileLookup", True).load(root).select("path", "length")
+    """Open parts that are left under a folder, those of no bytes too."""
+    parts = spark.createDataFrame(open_parts(spark, root), "path string, length long")
     return _out(parts, "open_part", F.col("path"), F.lit(0), F.col("length"))
 
 
@@ -144,19 +200,6 @@ def validate_catalog(lineage: DataFrame, readback: DataFrame, counts: DataFrame)
     return all_violations([from_lineage, readback, counts])
 
 
-def latest_greeks(greeks: DataFrame) -> DataFrame:
-    return latest_state(greeks, "instrument_id", ["mark_iv", "delta"])
-
-
-# Least rows of each family by preset; families that a preset lacks are not checked.
-COUNT_PRESETS = {
-    "smoke": {"instruments": 1, "quotes": 1},
-    "market": {"instruments": 1, "quotes": 10, "trades": 1},
-    "options": {"instruments": 1, "quotes": 10, "option_greeks": 10},
-    "perps": {"instruments": 1, "quotes": 10, "mark_prices": 1, "index_prices": 1, "funding_rate_update": 1},
-}
-
-
 def validate_counts(universes: DataFrame, counts: DataFrame, least: dict[str, int], sample: int | None = None, key: str = "universe_id") -> DataFrame:
     """Least rows of each family, for all members or for a universe's `sample` around its middle strike.
 

@@ -147,10 +147,20 @@ def validate_lineage(spark: SparkSession, sf: str) -> DataFrame:
     return lineage.validate_lineage(lineage.resolution_records(resolved(spark, sf)), require_refresh=True, profile="all").select("rule", "venue_id", "actual")
 
 
-@query("validate_outcome_lineage", "SELECT NULL::VARCHAR AS rule, NULL::VARCHAR AS universe_id, NULL::VARCHAR AS actual WHERE false")
+@query(
+    "validate_outcome_lineage",
+    f"""WITH {MARKETS}, p AS (SELECT *, lag(ids) OVER w AS before, lag(question_id) OVER w AS q, lag(expiration_ns) OVER w AS e FROM market WINDOW w AS (PARTITION BY universe_id ORDER BY now_ns)),
+    r AS (SELECT universe_id, now_ns // 86400000000000 % 4 AS k FROM p WHERE before <> ids)
+    SELECT 'event_kind' AS rule, universe_id, 'startup' AS actual FROM r WHERE k = 1 UNION ALL SELECT 'refresh_reason', universe_id, 'mistake' FROM r WHERE k = 2 UNION ALL SELECT 'refresh_change', universe_id, 'none' FROM r WHERE k = 3""",
+)
 def validate_outcome_lineage(spark: SparkSession, sf: str) -> DataFrame:
+    """Refresh records, three in four with a wrong kind, a reason that nobody knows, or no change."""
+    k = S.whole(F.col("now_ns"), D.DAY_NS) % 4
+    spoiled = lambda c, n, value: F.when(k == n, value).otherwise(F.col(c)).alias(c)
     found = outcomes.refresh_outcome_universes(outcomes.resolve_outcome_markets(listing_documents(spark, sf), outcome_specs(spark)))
-    return lineage.validate_outcome_lineage(found).select("rule", "universe_id", "actual")
+    nothing = F.array().cast("array<string>")
+    broken = found.select("universe_id", "now_ns", spoiled("event_kind", 1, F.lit("startup")), spoiled("rollover_reason", 2, F.lit("mistake")), spoiled("added_instrument_ids", 3, nothing), spoiled("removed_instrument_ids", 3, nothing))
+    return lineage.validate_outcome_lineage(broken).select("rule", "universe_id", "actual")
 
 
 _MEMBERS = f"every AS (SELECT DISTINCT unnest({_IDS}) AS id FROM resolved WHERE error IS NULL), opts AS (SELECT DISTINCT unnest(string_split(ids, ',')) AS id FROM resolved WHERE error IS NULL), perp AS (SELECT DISTINCT underlying || '-PERPETUAL.DERIBIT' AS id FROM resolved WHERE error IS NULL)"

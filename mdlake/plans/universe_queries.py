@@ -205,3 +205,16 @@ def apply_universe_history(spark: SparkSession, sf: str) -> DataFrame:
     resolved = universe.resolve_option_universes(option_requests(spark, sf), D.options(spark, sf)).filter("error IS NULL")
     inside = asof.apply_universe_history(D.quotes(spark, sf), resolved)
     return inside.groupBy("universe_id", "instrument_id").agg(F.count(F.lit(1)).alias("n"), F.min("ts_event_ns").alias("first_ns"), F.max("ts_event_ns").alias("last_ns"))
+
+
+@query(
+    "option_report",
+    """WITH q AS (SELECT instrument_id, count(*) AS n, arg_max(bid_price, seq) AS bid, arg_max(ask_price, seq) AS ask FROM quotes_v GROUP BY 1), l AS (SELECT instrument_id, count(*) AS n, arg_max(mark_iv, seq) AS mark_iv, arg_max(delta, seq) AS delta FROM greeks_v GROUP BY 1)
+    SELECT o.instrument_id, coalesce(q.n, 0) AS quote_rows, coalesce(l.n, 0) AS greek_rows, round((bid + ask) / 2, 6) AS option_mid, round(ask - bid, 6) AS option_spread, round(mark_iv, 6) AS raw_iv, round(CASE WHEN abs(mark_iv) > 3 THEN mark_iv / 100 ELSE mark_iv END, 6) AS iv, round(delta * 2, 6) AS gamma, round(delta * 3, 6) AS vega,
+    CASE WHEN l.n IS NULL THEN 'greeks' WHEN mark_iv IS NULL THEN 'mark_iv' END AS missing FROM options_v o LEFT JOIN q USING (instrument_id) LEFT JOIN l USING (instrument_id)""",
+)
+def option_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Every option with its counts and last known raw figures, or what it lacks."""
+    greeks = D.greeks(spark, sf).withColumns({"gamma": F.col("delta") * 2, "vega": F.col("delta") * 3, "theta": F.col("delta")})
+    found = metrics.option_report(D.options(spark, sf), D.quotes(spark, sf), greeks)
+    return found.select("instrument_id", "quote_rows", "greek_rows", *[F.round(c, 6).alias(c) for c in ("option_mid", "option_spread", "raw_iv", "iv", "gamma", "vega")], "missing")

@@ -43,9 +43,11 @@ def local_session(cpus: int | str = "*", app: str = "mdlake", memory: str = "8g"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name below the one that driver and executors share; a temporary one only where none is set."""
+    """A new folder name below the one that driver and executors share; a temporary one only on one machine where none is set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="mdlake-shared-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

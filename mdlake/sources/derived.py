@@ -10,6 +10,8 @@ from mdlake.functions.scalars import whole
 DAY_NS = 86_400_000_000_000
 FIRST_EXPIRY_NS = 1_704_096_000_000_000_000
 WEEK_NS = 604_800_000_000_000
+#: Events and lines are dealt out among so many options; every row gets one.
+TRADED = 200
 UNDERLYINGS = ("BTC", "ETH", "SOL")
 
 
@@ -26,10 +28,10 @@ def nanos(ts: Column) -> Column:
 
 
 def options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Option definitions: six weekly expiries for each underlying, some strikes unpaired."""
-    part = table(spark, sf_dir, "part").filter("p_partkey % 17 <> 0")
+    """Option definitions, one for each part: six weekly expiries for each underlying, some strikes unpaired."""
+    part = table(spark, sf_dir, "part")
     pair = F.floor(F.col("p_partkey") / 2)
-    e, strike = F.floor(pair / 3) % 6, 100 + 10 * F.floor(pair / 18)
+    e, strike = F.floor(pair / 3) % 6, 100 + 10 * F.floor(pair / 18) + F.when(F.col("p_partkey") % 17 == 0, 5).otherwise(0)
     kind = F.when(F.col("p_partkey") % 2 == 0, "C").otherwise("P")
     return part.select(
         F.concat(_underlying(pair), F.lit("-E"), e, F.lit("-"), strike, F.lit("-"), kind, F.lit(".DERIBIT")).alias("instrument_id"),
@@ -47,7 +49,7 @@ def options(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _on_options(spark: SparkSession, sf_dir: str, types: list[str]) -> DataFrame:
     events = table(spark, sf_dir, "events").filter(F.col("event_type").isin(types))
     ids = options(spark, sf_dir).select("instrument_id", "p_partkey")
-    return events.join(ids, F.col("event_id") % 200 == F.col("p_partkey"))
+    return events.join(ids, F.col("event_id") % TRADED + 1 == F.col("p_partkey"))
 
 
 def _times() -> list[Column]:
@@ -76,7 +78,7 @@ def trades_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades over years, for sinks and layouts; (l_orderkey, l_linenumber) isn't unique, so ties stay ties."""
     lines, ids = table(spark, sf_dir, "lineitem"), options(spark, sf_dir).select("instrument_id", "p_partkey")
     ns = nanos(F.col("l_shipdate"))
-    return lines.join(ids, F.col("l_partkey") % 200 == F.col("p_partkey")).select(
+    return lines.join(ids, F.col("l_partkey") % TRADED + 1 == F.col("p_partkey")).select(
         "instrument_id", (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"), F.col("l_quantity").alias("size"), ns.alias("ts_event_ns"), ns.alias("ts_init_ns"), F.col("l_orderkey").alias("seq")
     )
 

@@ -10,28 +10,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from mdlake.operators.sink import forward_prices, quarantined, seal, with_seal_date, write_chunk
+from mdlake.operators.sealing import due_date, remove, seal, stage
+from mdlake.operators.sink import forward_prices, quarantined, with_seal_date
 from mdlake.sources.catalog import SCHEMAS
 
 
+def _stage_batch(batch: DataFrame, root: str, family: str, batch_id: int) -> None:
+    """Good rows to the staging area, others to quarantine, in folders named by the batch.
+
+    A batch that is tried again replaces its own files. A batch that can't be written as it is (a row breaks a
+    writer's rule) goes to quarantine as text with its error and doesn't end the stream; where that fails too the
+    error is the stream's.
+    """
+    refused = f"{root}/_refused/{family}/batch={batch_id}"
+    try:
+        good, bad = quarantined(batch)
+        stage(with_seal_date(good).drop("seal_end_ns"), f"{root}/_staging/{family}", batch_id)
+        bad.write.mode("overwrite").parquet(f"{root}/_quarantine/{family}/batch={batch_id}")
+    except Exception as error:  # noqa: BLE001
+        rows = batch.select(F.to_json(F.struct("*")).alias("row"), F.lit(str(error)[:1000]).alias("error"))
+        rows.write.mode("overwrite").parquet(refused)
+        remove(batch.sparkSession, f"{root}/_staging/{family}/batch={batch_id}")
+
+
 def start_capture(stream: DataFrame, root: str, family: str, checkpoint: str, seconds: float | None = None) -> StreamingQuery:
     """Append a stream to the family's staging area; without `seconds` it takes what is there and ends."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = quarantined(batch)
-        # The batch id names the files' folder, so a batch that is tried again replaces its own files.
-        dated = with_seal_date(good).drop("seal_end_ns")
-        dated.write.mode("overwrite").parquet(f"{root}/_staging/{family}/batch={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{root}/_quarantine/{family}/batch={batch_id}")
+        _stage_batch(batch, root, family, batch_id)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=f"{seconds} seconds") if seconds else writer.trigger(availableNow=True)).start()
 
 
-def drain(spark: SparkSession, root: str, family: str) -> None:
-    """Seal all that was captured."""
-    schema = SCHEMAS[family]
-    seal(spark, root, family, schema, f"{root}/_staging/{family}")
+def drain(spark: SparkSession, root: str, family: str, now_ns: int | None = None, schema: str | None = None) -> int:
+    """Seal the windows that have ended by now; all that was captured without a time."""
+    until = due_date(now_ns) if now_ns is not None else None
+    return seal(spark, root, family, schema or SCHEMAS[family], f"{root}/_staging/{family}", until)
 
 
 def seal_due(manifest: DataFrame, now_ns: int) -> DataFrame:
@@ -51,9 +66,18 @@ def forward_price_stream(greeks: DataFrame) -> DataFrame:
 
 
 def write_custom_stream(stream: DataFrame, root: str, type_name: str, schema: str, checkpoint: str) -> StreamingQuery:
-    """Append custom rows whose schema is the frozen one; a batch with another schema is an error."""
+    """Stage custom rows whose schema is the frozen one, to be sealed by drain(); another schema is an error.
+
+    Batches are replaced when they are tried again, and rows that can't be placed go to quarantine.
+    """
     frozen = stream.sparkSession.createDataFrame([], schema).schema
     want = {(f.name, f.dataType.simpleString()) for f in frozen}
     if want != {(f.name, f.dataType.simpleString()) for f in stream.schema}:
         raise ValueError(f"{type_name} has another schema than its first batch")
-    return stream.writeStream.foreachBatch(lambda batch, _: write_chunk(batch, f"{root}/custom", type_name)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    write = lambda batch, batch_id: _stage_batch(batch, root, f"custom/{type_name}", batch_id)
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def log_forward_prices(greeks: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append the forward price of each greek that has one to a log of JSON lines, once each."""
+    return forward_price_stream(greeks).writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

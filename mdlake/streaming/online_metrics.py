@@ -49,7 +49,10 @@ class Surface:
             return None
         member = s["members"].get(id_)
         if kind == "quote":
-            mid = (float(bid) + float(ask)) / 2
+            bid, ask = _number(bid), _number(ask)
+            if bid is None or ask is None:
+                return None
+            mid = (bid + ask) / 2
             if id_ == s["perp"]:
                 s["perp_mid"] = mid
             elif member:
@@ -76,6 +79,8 @@ def _snapshots(surface: Surface, key: str, rows: pd.DataFrame, interval_ns: int)
     return out
 
 
+#: Rows that are gone through before their snapshots are handed on.
+_CHUNK = 50_000
 _NAMES = [c.split()[0] for c in SNAPSHOT.split(", ")]
 
 
@@ -91,7 +96,8 @@ class OnlineMetrics(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         surface = Surface(json.loads(self.state.get()[0]) if self.state.exists() else None)
         batch = pd.concat(rows).sort_values(["ts_ns", "seq"])
-        yield pd.DataFrame(_snapshots(surface, key[0], batch, self.interval_ns), columns=_NAMES)
+        for at in range(0, len(batch), _CHUNK):
+            yield pd.DataFrame(_snapshots(surface, key[0], batch.iloc[at : at + _CHUNK], self.interval_ns), columns=_NAMES)
         self.state.update((json.dumps(surface.s),))
 
     def close(self) -> None:

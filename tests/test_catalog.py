@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from mdlake.operators import custom, sink, validate
+from mdlake.operators import custom, presets, sealing, sink, validate
 from mdlake.sources import catalog
 
 TRADES = "instrument_id string, price double, ts_event_ns bigint, ts_init_ns bigint, seq bigint, seal_date date"
@@ -17,23 +17,67 @@ def trades(spark, n=40, ids=("A.X", "B.X")):
     return spark.createDataFrame(rows, "instrument_id string, price double, ts_event_ns bigint, ts_init_ns bigint, seq bigint")
 
 
-def test_seal_is_idempotent_and_sorted(spark, tmp_path):
+def test_seal_is_idempotent_sorted_and_keeps_equal_rows(spark, tmp_path):
     root, staging = f"file://{tmp_path}", f"file://{tmp_path}/_staging/trades"
     rows = sink.with_seal_date(trades(spark)).drop("seal_end_ns").repartition(4)
-    rows.filter("seq < 30").write.parquet(f"{staging}/batch=0")
+    sealing.stage(rows.filter("seq < 30"), staging, 0)
     for again in range(3):
         if again == 2:
-            rows.filter("seq >= 25").write.parquet(f"{staging}/batch=1")
-        sink.seal(spark, root, "trades", TRADES, staging)
+            sealing.stage(rows.filter("seq >= 25"), staging, 1)
+        sealed = sealing.seal(spark, root, "trades", TRADES, staging)
+        assert (sealed > 0) == (again != 1)
         files = glob.glob(f"{tmp_path}/trades/*/*/*.parquet")
         back = catalog.read_family(spark, root, "trades", schema=TRADES)
-        assert back.count() == (30 if again < 2 else 40)
+        assert back.count() == (30 if again < 2 else 45)
         assert len(files) == back.select("instrument_id", "seal_date").distinct().count()
+        assert sealing.staged_windows(spark, staging) == []
     assert validate.check_ascending(validate.file_order(back), "instrument_id").count() == 0
     assert catalog.read_family(spark, root, "trades", ids=["A.X"], start_ns=START + DAY, end_ns=START + 2 * DAY, schema=TRADES).count() == 5
-    assert {(r.instrument_id, r.rows) for r in catalog.count_rows(spark, root, ["trades", "quotes"]).collect()} == {("A.X", 20), ("B.X", 20)}
+    assert {(r.instrument_id, r.rows) for r in catalog.count_rows(spark, root, ["trades", "quotes"]).collect()} == {("A.X", 22), ("B.X", 23)}
+    assert {(r.family, r.instrument_id) for r in catalog.list_families(spark, root).collect()} == {("trades", "A.X"), ("trades", "B.X")}
     files = sink.manifest(spark.read.schema(TRADES).parquet(f"{root}/trades"), "trades").collect()
-    assert sum(r.rows for r in files) == 40 and all(r.bytes > 0 and r.min_ts_ns <= r.max_ts_ns for r in files)
+    assert sum(r.rows for r in files) == 45 and all(r.bytes > 0 and r.min_ts_ns <= r.max_ts_ns for r in files)
+
+
+def test_days_are_sealed_in_turn_and_stay_untouched(spark, tmp_path):
+    root, staging = f"file://{tmp_path}", f"file://{tmp_path}/_staging/trades"
+    rows = sink.with_seal_date(trades(spark, 24)).drop("seal_end_ns")
+    sealing.stage(rows, staging, 0)
+    days = sorted({d for _, d in sealing.staged_windows(spark, staging)})
+    stamps = {}
+    for k, day in enumerate(days):
+        assert sealing.seal(spark, root, "trades", TRADES, staging, until=day) == 1
+        files = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{tmp_path}/trades/*/*/*.parquet")}
+        assert stamps.items() <= files.items() and len(files) > len(stamps)
+        assert {d for _, d in sealing.staged_windows(spark, staging)} == set(days[k + 1 :])
+        stamps = files
+    assert catalog.read_family(spark, root, "trades", schema=TRADES).count() == 24
+    # The same batch delivered again is known and not sealed a second time.
+    sealing.stage(rows, staging, 0)
+    assert sealing.seal(spark, root, "trades", TRADES, staging) == 0
+    assert catalog.read_family(spark, root, "trades", schema=TRADES).count() == 24
+    assert sealing.due_date(START) == "2026-06-21" or sealing.due_date(START) == "2026-06-20"
+
+
+def test_a_plan_that_was_cut_short_is_carried_out_first(spark, tmp_path, monkeypatch):
+    root, staging = f"file://{tmp_path}", f"file://{tmp_path}/_staging/trades"
+    rows = sink.with_seal_date(trades(spark, 16)).drop("seal_end_ns")
+    sealing.stage(rows, staging, 0)
+    real = sealing.remove
+
+    def dies(session, path):
+        if "batch=0" in path:
+            raise RuntimeError("killed")
+        real(session, path)
+
+    monkeypatch.setattr(sealing, "remove", dies)
+    with pytest.raises(RuntimeError):
+        sealing.seal(spark, root, "trades", TRADES, staging)
+    monkeypatch.setattr(sealing, "remove", real)
+    sealing.stage(rows.limit(3), staging, 1)
+    sealing.seal(spark, root, "trades", TRADES, staging)
+    assert catalog.read_family(spark, root, "trades", schema=TRADES).count() == 19
+    assert sealing.seal(spark, root, "trades", TRADES, staging) == 0
 
 
 def test_aliases_parts_and_recovery(spark, tmp_path):
@@ -48,11 +92,19 @@ def test_aliases_parts_and_recovery(spark, tmp_path):
     for name, data in (("a", whole), ("b", whole[:50]), ("c", b"")):
         (tmp_path / "open" / f"{name}.parquet.part").write_bytes(data)
     schema = TRADES.replace(", seal_date date", "")
-    rows, report = sink.recover(spark, f"{root}/open", schema)
-    assert {os.path.basename(r.path)[0]: r.state for r in report.collect()} == {"a": "readable", "b": "corrupt"}
-    assert rows.count() == 5
-    assert validate.no_open_parts(spark, f"{root}/open").count() == 2
-    assert spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{root}/open").count() == 0
+    assert {r.key[-14] for r in validate.no_open_parts(spark, f"{root}/open").collect()} == {"a", "b", "c"}
+    active = {p for p, _ in sealing.open_parts(spark, f"{root}/open") if "b.parquet" in p}
+    report = {os.path.basename(r.path)[0]: r for r in sealing.recover(spark, f"{root}/open", schema, active).collect()}
+    assert {k: r.state for k, r in report.items()} == {"a": "sealed", "c": "empty"}
+    assert report["a"].rows == 5 and "2026-06-2" in report["a"].sealed
+    report = {os.path.basename(r.path)[0]: r for r in sealing.recover(spark, f"{root}/open", schema).collect()}
+    assert {k: r.state for k, r in report.items()} == {"b": "corrupt"}
+    assert validate.no_open_parts(spark, f"{root}/open").count() == 1
+    assert spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{root}/open").count() == 5
+    trades(spark, 5).limit(0).coalesce(1).write.parquet(f"{root}/none")
+    os.rename(glob.glob(f"{tmp_path}/none/*.parquet")[0], tmp_path / "none" / "n.parquet.part")
+    assert [r.state for r in sealing.recover(spark, f"{root}/none", schema).collect()] == ["empty"]
+    assert sealing.recover(spark, f"{root}/nowhere", schema).count() == 0
 
 
 def test_intervals_and_sizes(spark):
@@ -95,3 +147,27 @@ def test_request_replay(spark, lines, want):
     assert [r.action for r in replayed.orderBy("seq").collect()] == want
     total = custom.request_metrics(replayed).filter("job IS NULL").first()
     assert (total.polls, total.skipped, total.timeouts, total.in_flight) == (2, want.count("skip"), want.count("timeout"), 1)
+
+
+def test_presets():
+    assert len(presets.PRESETS) == 7 and all(c.min_rows == 1 for c in presets.PRESETS.values())
+    base = presets.overridden(presets.PRESETS["research"], min_rows=4, contract_state=False, bar_types=(), min_perp_trades=None)
+    assert (base.min_rows, base.contract_state, base.bar_types) == (4, True, (presets.RESEARCH_BARS,))
+    assert presets.overridden(base, bar_types=["x"]).bar_types == ("x",)
+    assert presets.preset_for(bar_types=[presets.RESEARCH_BARS], refresh=True) == "research" == presets.preset_for(custom_types=[presets.RESEARCH_TYPE])
+    assert presets.preset_for(refresh=True, venues=["BYBIT"], families=["trades"]) == "rolling_autorefresh"
+    assert presets.preset_for(venues=["Bybit-1"], families=["trades"]) == "venue_trades"
+    assert presets.preset_for(venues=["Bybit-1"], families=["quotes"]) == presets.preset_for(venues=["DERIBIT"], families=["trades"]) == "post_capture"
+    found = presets.checks_for(bar_types=["b"], venues=["DERIBIT"], families=["trades", "forward_prices"])
+    assert (found.bar_types, found.min_perp_trades, found.min_option_trades, found.forward_prices) == (("b",), 1, 1, True)
+    for bad in ({"min_rows": 0}, {"min_option_deltas": -1}):
+        with pytest.raises(ValueError):
+            presets.Checks(**bad)
+
+
+def test_contract_state_may_be_absent_but_not_wrong(spark):
+    members = spark.createDataFrame([("a",), ("b",)], "instrument_id string")
+    states = spark.createDataFrame([("a", 1, "f", 0), ("a", 3, "f", 1), ("a", 2, "f", 2)], "instrument_id string, ts_init_ns long, __path string, __row long")
+    assert [(r.rule, r.key) for r in validate.contract_state(states, members, "instrument_closes", required=False).collect()] == [("ascending:instrument_closes", "a")]
+    assert sorted(r.rule for r in validate.contract_state(states, members, "s").collect()) == ["ascending:s", "state:s"]
+    assert validate.contract_state(members.limit(0), members, "s", required=False).count() == 0

@@ -32,6 +32,7 @@ def test_surface_golden():
     out = [s.take("greek", i, None, None, None, None, iv, 0.5, t, 10) for i, iv, t in (("a", 40.0, 2), ("b", 35.62, 3), ("c", 35.62, 4), ("d", 32.19, 5), ("d", 32.19, 6), ("a", None, 15), ("a", 40.0, 3))]
     assert [bool(x) for x in out] == [False, False, False, True, False, True, False]
     assert (round(out[3][2], 6), round(out[3][5], 6)) == (0.3562, -0.0781)
+    assert s.take("quote", "PERP", None, None, float("nan"), 1.0, None, None, 18, 10) is None and s.s["perp_mid"] == 62454.25
     s.take("reset", "PERP", None, None, None, None, None, None, 20, 10)
     assert s.take("quote", "PERP", None, None, 1.0, 2.0, None, None, 40, 10) is None
 
@@ -118,6 +119,7 @@ def test_custom_stream_has_a_frozen_schema(spark, tmp_path):
     stream = spark.readStream.schema(rows.schema).parquet(f"file://{tmp_path}/in")
     schema = "value double, index_name string, instrument_id string, ts_event_ns bigint, ts_init_ns bigint, seq bigint"
     capture.write_custom_stream(stream, f"file://{tmp_path}", "DeribitVolatilityIndex", schema, f"file://{tmp_path}/cp").awaitTermination(120)
+    capture.drain(spark, f"file://{tmp_path}", "custom/DeribitVolatilityIndex", schema=f"{schema}, seal_date date")
     assert catalog.read_custom(spark, f"file://{tmp_path}", "DeribitVolatilityIndex").count() == rows.count()
     assert catalog.read_custom(spark, f"file://{tmp_path}", "HyperliquidOpenInterest").count() == 0
     with pytest.raises(ValueError, match="another schema"):
@@ -127,3 +129,37 @@ def test_custom_stream_has_a_frozen_schema(spark, tmp_path):
 def test_delta_batches(spark):
     rows = spark.createDataFrame([("x", [(1.0, 5), (2.0, 6)]), ("y", [])], "instrument_id string, deltas array<struct<price:double,seq:bigint>>")
     assert [(r.instrument_id, r.price, r.seq) for r in sink.explode_deltas(rows).collect()] == [("x", 1.0, 5), ("x", 2.0, 6)]
+
+
+def test_a_batch_that_cannot_be_written_does_not_end_the_stream(spark, tmp_path, monkeypatch):
+    root = f"file://{tmp_path}"
+    rows = spark.createDataFrame([("A.X", 1.0, 10, 10, 1), ("B.X", 2.0, 20, 20, 2)], "instrument_id string, price double, ts_event_ns bigint, ts_init_ns bigint, seq bigint")
+    real, calls = capture.stage, []
+
+    def once(df, staging, batch):
+        calls.append(batch)
+        if batch == 0:
+            raise RuntimeError("disk full")
+        real(df, staging, batch)
+
+    monkeypatch.setattr(capture, "stage", once)
+    for i in range(2):
+        rows.filter(f"seq = {i + 1}").coalesce(1).write.parquet(f"{root}/in/{i}")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{root}/in")
+    query = capture.start_capture(stream, root, "trades", f"{root}/cp")
+    query.awaitTermination(120)
+    assert query.exception() is None and calls == [0, 1]
+    refused = spark.read.parquet(f"{root}/_refused/trades").collect()
+    assert len(refused) == 1 and "disk full" in refused[0].error
+    capture.drain(spark, root, "trades", schema="price double, ts_event_ns bigint, ts_init_ns bigint, seq bigint, instrument_id string, seal_date date")
+    assert spark.read.option("pathGlobFilter", "*.parquet").parquet(f"{root}/trades").count() == 1
+
+
+def test_forward_price_log(spark, tmp_path):
+    greeks = derived.greeks(spark, SF).withColumn("instrument_id", F.col("instrument_id"))
+    greeks.write.parquet(f"file://{tmp_path}/in")
+    stream = spark.readStream.schema(greeks.schema).parquet(f"file://{tmp_path}/in")
+    for _ in range(2):
+        capture.log_forward_prices(stream, f"file://{tmp_path}/log", f"file://{tmp_path}/cp").awaitTermination(120)
+    log = catalog.read_forward_prices(spark, f"file://{tmp_path}/log")
+    assert log.count() == greeks.filter("underlying_price IS NOT NULL").count() > 0
