@@ -4,7 +4,8 @@
    cost nothing further.
 2. Fingerprints within the radius agree on some choice of (blocks - radius) out of `blocks` bit blocks, so one
    row for each choice sends every pair that can link to a common shard. The number of blocks follows the
-   number of fingerprints: shards hold a few dozen of them at any corpus size.
+   number of fingerprints: evenly spread ones leave a few dozen to a shard at any corpus size. Where they crowd,
+   the members of a large shard go to shards of more blocks, so that no task holds more than a bounded number.
 3. A shard's fingerprints form a BK-tree (children keyed by their Hamming distance to the parent). A search
    follows only the edges within the radius of its distance to a node, and skips subtrees that already belong
    to its own component, so that a dense group needs no list of all its pairs. A shard gives the links of a
@@ -44,6 +45,8 @@ from mdlake.llm.components import connected_components
 SEED = 42
 #: Fingerprints that a shard holds on average at most.
 SHARD_ENTRIES = 64
+#: Fingerprints of a shard above which its members move to finer shards.
+SPLIT_ENTRIES = 1 << 16
 #: (query, node) pairs that a search holds at once.
 FRONTIER = 1 << 21
 #: Signature of a text for near copies: BANDS shards, each named by ROWS least shingle hashes.
@@ -120,13 +123,42 @@ def block_masks(radius: int, blocks: int) -> list[int]:
     return [sum(chosen) for chosen in itertools.combinations(block, blocks - radius)]
 
 
-def masks_for(entries: int, radius: int) -> list[int]:
-    """The fewest masks that leave about SHARD_ENTRIES fingerprints or fewer to a shard."""
-    for blocks in range(radius + 1, 2 * radius + 8):
-        bits = 64 * (blocks - radius) / blocks
-        if entries / 2**bits <= SHARD_ENTRIES:
+def blocks_for(entries: int, radius: int) -> int:
+    """The fewest blocks that leave about SHARD_ENTRIES evenly spread fingerprints or fewer to a shard."""
+    return next((n for n in range(radius + 1, 2 * radius + 7) if entries / 2 ** (64 * (n - radius) / n) <= SHARD_ENTRIES), 2 * radius + 7)
+
+
+def _finer(blocks: int, radius: int) -> list[int]:
+    """Numbers of blocks to try one after the other; the last leaves a shard 2**16 different fingerprints at most."""
+    last = 4 * radius if radius else 1
+    return [blocks, *[n for n in range(blocks + 1, last) if (n - blocks) % 2], *([last] if last > blocks else [])]
+
+
+def _routed(entries: DataFrame, radius: int, blocks: int) -> DataFrame:
+    masks = [F.struct(F.lit(1000 * blocks + i).alias("mask"), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("key")) for i, m in enumerate(block_masks(radius, blocks))]
+    return entries.select("fp", "rep", F.explode(F.array(*masks)).alias("shard")).select("shard.mask", "shard.key", "fp", "rep")
+
+
+def shards_of(reps: DataFrame, radius: int) -> DataFrame:
+    """(mask, key, fp, rep): every two fingerprints within the radius meet in a shard.
+
+    Where fingerprints crowd, the members of a shard of more than SPLIT_ENTRIES move to shards of more blocks, until
+    none is larger or the blocks leave it no room for more.
+    """
+    parts, levels = [], _finer(blocks_for(reps.count(), radius), radius)
+    for blocks in levels:
+        routed = _routed(reps, radius, blocks)
+        if blocks == levels[-1]:
+            break
+        crowded = park(routed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SPLIT_ENTRIES).select("mask", "key"), "crowded")
+        if crowded.isEmpty():
             break
-    return block_masks(radius, blocks)
+        crowded = bounded(crowded)
+        parts.append(routed.join(crowded, ["mask", "key"], "left_anti"))
+        reps = park(routed.join(crowded, ["mask", "key"], "left_semi").select("fp", "rep").distinct(), "crowd")
+    for part in parts:
+        routed = routed.unionByName(part)
+    return routed
 
 
 class Forest:
@@ -244,9 +276,7 @@ def _starts(keys: list[np.ndarray]) -> np.ndarray:
 
 def link_fingerprints(reps: DataFrame, radius: int = 3) -> DataFrame:
     """(a, b): links that connect the representatives of fingerprints within the radius. reps: fp, rep."""
-    masks = masks_for(reps.count(), radius)
-    shard = F.explode(F.array(*[F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("key")) for i, m in enumerate(masks)]))
-    routed = reps.select("fp", "rep", shard.alias("shard")).select("shard.mask", "shard.key", "fp", "rep")
+    routed = shards_of(reps, radius)
 
     def search(mask: np.ndarray, key: np.ndarray, fp: np.ndarray, rep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts = _starts([mask, key])

@@ -4,7 +4,9 @@ import random
 import numpy as np
 import xxhash
 
-from mdlake.llm.simhash import block_masks, near_groups, shard_stars, simhash
+from mdlake.llm import simhash as module
+from mdlake.llm.components import connected_components
+from mdlake.llm.simhash import block_masks, drop_near_copies, link_fingerprints, near_groups, shard_stars, shards_of, signature, simhash
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
 
@@ -87,3 +89,49 @@ def test_nulls_repeats_and_empty(spark):
     got = sorted(((r.doc_id, r.component_id) for r in near_groups(spark.createDataFrame(rows, schema)).collect()), key=str)
     assert got == sorted([(4, 4), (4, 4), (None, 4), (None, 2), (2, 2)], key=str)
     assert near_groups(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_crowded_shards_are_split(spark, monkeypatch):
+    """A third of the fingerprints share 40 bits; with a small bound they move to finer shards and lose no link."""
+    monkeypatch.setattr(module, "SPLIT_ENTRIES", 60)
+    rng = random.Random(9)
+    crowd = {0xABCDEF0123 << 24 | rng.getrandbits(24) for _ in range(500)}
+    values = list(crowd | {rng.getrandbits(64) for _ in range(800)} | {x ^ 1 << rng.randrange(64) for x in rng.sample(sorted(crowd), 100)})
+    reps = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v, i) for i, v in enumerate(values)], "fp long, rep long")
+    sizes = [r["count"] for r in shards_of(reps, 3).groupBy("mask", "key").count().collect()]
+    assert max(sizes) <= 60 and shards_of(reps, 3).select("mask").distinct().count() > len(block_masks(3, 4))
+    got = {r.node: r.component for r in connected_components(link_fingerprints(reps)).collect()}
+    want = brute_components(list(range(len(values))), values)
+    assert {i: got.get(i, i) for i in want} == want
+
+
+def test_components_match_union_find(spark):
+    rng = random.Random(4)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000, i) for i in range(1001, 1100)] + [(i, i + 1) for i in range(2000, 2060)] + [(5, 5), (1, 2), (2, 1)]
+    root = {x: x for pair in links for x in pair}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = [(r.node, r.component) for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()]
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    assert len(got) == len(linked) and dict(got) == {x: find(x) for x in linked}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_near_copies_of_a_large_group_and_of_short_texts(spark):
+    rng = random.Random(11)
+    base = rng.choices([f"{a}{b}" for a in WORDS for b in WORDS], k=150)
+    rows = [(10 + i, " ".join(base[:at] + [f"edit{i}"] + base[at + 1 :])) for i in range(120) for at in [rng.randrange(150)]]
+    rows += [(500 + i, " ".join(rng.choices(WORDS, k=60))) for i in range(40)] + [(700, "Two words"), (701, "two  WORDS"), (702, "other"), (703, None), (704, ""), (705, "word " * 100_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS id", "2 AS hash", "3 AS shard").repartition(7)
+    left = drop_near_copies(docs)
+    assert left.columns == docs.columns
+    assert sorted(r.doc_id for r in left.collect()) == [10, *range(500, 540), 700, 702, 703, 704, 705]
+    assert drop_near_copies(docs.limit(0)).count() == 0
+    assert signature(None) == (0, []) and len(signature("a")[1]) == module.BANDS
