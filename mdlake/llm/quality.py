@@ -1,17 +1,20 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model is over characters folded to 32 symbols, in n-grams of four, so it has at most 32**4 entries (4 MB)
+The model is over characters folded to 64 symbols, in n-grams of three, so it has at most 64**3 entries (1 MB)
 whatever the corpus: counts of all trusted text are summed by n-gram in a shuffle, and the finished table of
 conditional probabilities is broadcast. Joining counts to the n-grams of every document instead would move some
-five times the input; with this proven bound nothing of a document is shuffled for its score.
-Trusted rows are found by a join on the id to which texts travel as compressed symbols.
+five times the input; with this proven bound nothing of a document is shuffled for its score. Trusted rows are found
+by a join on the id: up to BROADCAST_IDS ids are sent to the texts, beyond that both are shuffled.
 
 A document's perplexity is smoothed by PRIOR symbols at the model's own entropy, so that a few words can't look
-bad by chance. It is kept up to the QUANTILE of the trusted documents of its language, times MARGIN.
+bad by chance. It is kept up to the QUANTILE of its language's trusted documents. Those are held out: a quarter of
+the trusted rows, by a checksum of their id, aren't counted and set the thresholds. A language with fewer than
+MIN_HELD_OUT such rows doesn't know its own quantile well, and takes that of all languages where it is larger.
 
 Defined cases: null and empty texts have the prior's perplexity. Rows without a language form a group of their
-own; a language without trusted documents takes the quantile of all trusted ones; with no trusted document at all
-every row is kept. Repeated rows get equal results, repeated labels count once, empty tables give empty results.
+own; a language without trusted documents takes the quantile of all trusted ones, and where none is held out that of
+the counted ones is taken; with no trusted document at all every row is kept. Repeated rows get equal results,
+repeated labels count once, empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -22,48 +25,49 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mdlake.llm.common import park
+from mdlake.llm.common import bounded, park, text_batches
 
-BITS, ORDER = 5, 4
+BITS, ORDER = 6, 3
 SYMBOLS = 1 << BITS
-QUANTILE = 0.99
-MARGIN = 1.4
+QUANTILE = 0.995
 PRIOR = 100
-SPACE, DIGIT, STOP, SHOUT, SIGN, OTHER = range(26, 32)
+MIN_HELD_OUT = 200
+#: Trusted ids (8 bytes each) up to which they are broadcast.
+BROADCAST_IDS = 1 << 20
+#: Symbols 0 to 51 are letters, the signs are the last eight.
+LETTERS, SPACE, DIGIT, STOP, QUOTE, SIGN = 52, 52, 53, 54, 55, 56
 
 
 @lru_cache(maxsize=1)
-def _folding() -> tuple[np.ndarray, np.ndarray]:
-    """The symbol of every code point, and whether it is a capital; letters beyond the folded range are OTHER."""
-    symbol, capital = np.full(0x110000, OTHER, np.uint8), np.zeros(0x110000, bool)
+def _folding() -> np.ndarray:
+    """The symbol of every code point: Latin letters by their base and case, others spread over the same symbols."""
+    point = np.arange(0x110000)
+    letter = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+    symbol = np.where(letter, point * 31 % LETTERS, SIGN + point % 8).astype(np.uint8)
     for i in range(0x3000):
         c = chr(i)
-        base = unicodedata.normalize("NFKD", c)[0].lower()
+        base = unicodedata.normalize("NFKD", c)[0]
         if "a" <= base <= "z":
             symbol[i] = ord(base) - 97
+        elif "A" <= base <= "Z":
+            symbol[i] = ord(base) - 65 + 26
         elif c.isspace():
             symbol[i] = SPACE
         elif base.isdigit():
             symbol[i] = DIGIT
-        elif c in ".,;:?'’\"-()":
+        elif c in ".,;:":
             symbol[i] = STOP
-        elif not c.isalpha():
-            symbol[i] = SIGN
-        capital[i] = c.isupper()
-    return symbol, capital
+        elif c in "?'’\"-()":
+            symbol[i] = QUOTE
+    return symbol
 
 
 def symbols(text: str | None) -> np.ndarray:
-    """A text as symbols after ORDER - 1 spaces; a capital after a capital is SHOUT."""
-    points = np.frombuffer((" " * (ORDER - 1) + (text or "")).encode("utf-32-le", "surrogatepass"), np.uint32)
-    symbol, capital = _folding()
-    out, big = symbol[points], capital[points]
-    out[1:][big[1:] & big[:-1]] = SHOUT
-    return out
+    """A text as symbols after ORDER - 1 spaces."""
+    return _folding()[np.frombuffer((" " * (ORDER - 1) + (text or "")).encode("utf-32-le", "surrogatepass"), np.uint32)]
 
 
 def codes(own: np.ndarray) -> np.ndarray:
@@ -98,16 +102,16 @@ def kneser_ney(counts: np.ndarray) -> np.ndarray:
 
 
 def count_ngrams(texts: DataFrame) -> np.ndarray:
-    """Counts of all n-grams over a frame of one column of compressed symbols."""
+    """Counts of all n-grams over a frame of one column of texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, unpack = np.zeros(SYMBOLS**ORDER, np.int64), zstandard.ZstdDecompressor()
+        total = np.zeros(SYMBOLS**ORDER, np.int64)
         held, size = [], 0
         for batch in batches:
-            for x in batch.column(0):
-                held.append(codes(np.frombuffer(unpack.decompress(x.as_py()), np.uint8)))
+            for text in batch.column(0):
+                held.append(codes(symbols(text.as_py())))
                 size += len(held[-1])
-                if size > 1 << 22:
+                if size > 1 << 20:
                     total += np.bincount(np.concatenate(held), minlength=len(total))
                     held, size = [], 0
         if held:
@@ -115,24 +119,15 @@ def count_ngrams(texts: DataFrame) -> np.ndarray:
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["code", "n"])
 
-    sums = texts.mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    sums = text_batches(texts).mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(SYMBOLS**ORDER, np.int64)
     out[sums.column("code").to_numpy()] = sums.column("n").to_numpy()
     return out
 
 
-def trusted_symbols(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The compressed symbols of the rows whose id is in `trusted` (one column, id)."""
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.slice(at, 512)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([packer.compress(symbols(t.as_py()).tobytes()) for t in part.column(1)], pa.binary())], names=["id", "symbols"])
-
-    packed = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(pack, "id long, symbols binary")
-    return packed.join(trusted.hint("merge"), "id", "left_semi").select("symbols")
+def held_out(id_: Column) -> Column:
+    """The quarter of ids that sets thresholds."""
+    return F.crc32(id_.cast("string")) % 4 == 2
 
 
 def perplexities(docs: DataFrame, counts: np.ndarray, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
@@ -151,18 +146,23 @@ def perplexities(docs: DataFrame, counts: np.ndarray, id_col: str = "doc_id", la
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["doc_id", "lang", "perplexity"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang string, perplexity double")
+    return text_batches(rows).mapInArrow(run, "doc_id long, lang string, perplexity double")
 
 
-def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
+def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", quantile: float = QUANTILE) -> DataFrame:
     """(doc_id, lang, perplexity, threshold, kept) of each row. trusted: one column, the ids of trusted documents."""
-    trusted = trusted.select(F.col(trusted.columns[0]).cast("long").alias("id")).distinct()
-    counts = count_ngrams(trusted_symbols(docs, trusted, id_col, text_col))
+    ids = park(trusted.select(F.col(trusted.columns[0]).cast("long").alias("id")).filter("id IS NOT NULL").distinct(), "trusted")
+    trusted = bounded(ids, BROADCAST_IDS)
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(trusted, "id", "left_semi")
+    counts = count_ngrams(texts.filter(~held_out(F.col("id"))).select("text"))
     scores = park(perplexities(docs, counts, id_col, lang_col, text_col), "perplexity")
     good = scores.join(trusted, scores["doc_id"] == trusted["id"], "left_semi")
-    bound = (F.percentile_approx("perplexity", quantile, 10_000) * margin).alias("threshold")
-    by_lang = good.groupBy(F.col("lang").alias("of")).agg(bound)
-    overall = F.lit(good.agg(bound).first()[0]).cast("double")
+    bound = F.percentile_approx("perplexity", quantile, 10_000)
+    apart = good.filter(held_out(F.col("doc_id")))
+    overall = apart.agg(bound).first()[0] or good.agg(bound).first()[0]
+    overall = F.lit(overall).cast("double")
+    own = F.when(F.count(F.lit(1)) >= MIN_HELD_OUT, bound).otherwise(F.greatest(bound, overall))
+    by_lang = apart.groupBy(F.col("lang").alias("of")).agg(own.alias("threshold"))
     marked = scores.join(by_lang, F.col("lang").eqNullSafe(F.col("of")), "left")
     threshold = F.coalesce("threshold", overall)
     return marked.select("doc_id", "lang", "perplexity", threshold.alias("threshold"), F.coalesce(F.col("perplexity") <= threshold, F.lit(True)).alias("kept"))
