@@ -149,13 +149,98 @@ def perplexities(docs: DataFrame, counts: np.ndarray, id_col: str = "doc_id", la
     return text_batches(rows).mapInArrow(run, "doc_id long, lang string, perplexity double")
 
 
-def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", quantile: float = QUANTILE) -> DataFrame:
-    """(doc_id, lang, perplexity, threshold, kept) of each row. trusted: one column, the ids of trusted documents."""
+def _gram_counts(texts: DataFrame, order: int, keyed: bool) -> DataFrame:
+    """Counts of the n-grams of each text (key, code, n), or of all texts of a partition (code, n)."""
+    width = "key long, " if keyed else ""
+
+    def encoded(text: str | None) -> np.ndarray:
+        own = symbols(text)[ORDER - 1 :]
+        own = np.concatenate([np.full(order - 1, SPACE, np.uint8), own]).astype(np.int64)
+        code = np.zeros(len(own) - order + 1, np.int64)
+        for j in range(order):
+            code = code << BITS | own[j : j + len(code)]
+        return code
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if keyed:
+                for key, text in zip(batch.column(0), batch.column(1), strict=True):
+                    code, n = np.unique(encoded(text.as_py()), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), key.as_py())), pa.array(code), pa.array(n)], names=["key", "code", "n"])
+            else:
+                code, n = np.unique(np.concatenate([encoded(t.as_py()) for t in batch.column(0)] or [np.zeros(0, np.int64)]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], names=["code", "n"])
+
+    return text_batches(texts).mapInArrow(run, f"{width}code long, n long")
+
+
+def _level(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(code, c, off) and (context, total, spread) of one order; only four counts of counts come to the driver."""
+    counts = park(counts, "level")
+    n = [r or 0 for r in counts.agg(*[F.count_if(F.col("c") == k) for k in (1, 2, 3, 4)]).first()]
+    y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.5
+    by_count = [min(k + 1.0, max(0.1, k + 1 - (k + 2) * y * n[k + 1] / n[k])) if n[k] else 0.75 for k in range(3)]
+    off = F.when(F.col("c") == 1, by_count[0]).when(F.col("c") == 2, by_count[1]).otherwise(by_count[2])
+    counts = counts.withColumn("off", off)
+    contexts = counts.groupBy(F.shiftright("code", BITS).alias("context")).agg(F.sum("c").alias("total"), F.sum("off").alias("spread"))
+    return counts, contexts
+
+
+def sharded_bits(trusted_texts: DataFrame, wanted: DataFrame, order: int) -> DataFrame:
+    """(code, bits) of the wanted n-grams (code, without repeats) under the model of the trusted texts.
+
+    The model is a table for each order, which grows with the trusted text; n-grams meet it by joins on hashed shards.
+    """
+    levels = [_level(_gram_counts(trusted_texts, order, False).groupBy("code").agg(F.sum("n").alias("c")))]
+    for k in range(order - 1, 0, -1):
+        levels.append(_level(levels[-1][0].groupBy((F.col("code").bitwiseAND((1 << BITS * k) - 1)).alias("code")).agg(F.count(F.lit(1)).alias("c"))))
+    needs = [park(wanted, "wanted")]
+    for k in range(order - 1, 0, -1):
+        needs.append(needs[-1].select(F.col("code").bitwiseAND((1 << BITS * k) - 1).alias("code")).distinct())
+    below = None
+    for k, ((counts, contexts), need) in enumerate(zip(reversed(levels), reversed(needs), strict=True), 1):
+        rows = need.withColumn("context", F.shiftright("code", BITS)).join(counts, "code", "left").join(contexts, "context", "left")
+        if below is None:
+            rows = rows.withColumn("lower", F.lit(1 / SYMBOLS))
+        else:
+            suffix = F.col("code").bitwiseAND((1 << BITS * (k - 1)) - 1)
+            rows = rows.withColumn("suffix", suffix).join(below.select(F.col("code").alias("suffix"), F.col("p").alias("lower")), "suffix")
+        p = F.when(F.col("total").isNull(), F.col("lower")).otherwise(F.coalesce(F.col("c") - F.col("off"), F.lit(0.0)) / F.col("total") + F.col("spread") / F.col("total") * F.col("lower"))
+        below = park(rows.select("code", p.alias("p")), "probability")
+    return below.select("code", (-F.log2("p")).alias("bits"))
+
+
+def sharded_perplexities(docs: DataFrame, trusted_texts: DataFrame, order: int = 5, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """(doc_id, lang, perplexity) by sharded count joins: every document's n-grams meet the model's tables in shuffles.
+
+    trusted_texts: one column. The model has no bound and nothing of it is broadcast or collected, so it can be of any
+    order; but all distinct (text, n-gram) pairs are shuffled, which is several times the input.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(text).alias("key"), text.alias("text"))
+    pairs = _gram_counts(rows.select("key", "text"), order, True)
+    trusted = _gram_counts(trusted_texts, order, False)
+    bits = park(sharded_bits(trusted_texts, pairs.select("code").union(trusted.select("code")).distinct(), order), "bits")
+    sums = trusted.join(bits, "code").agg(F.sum(F.col("n") * F.col("bits")), F.sum("n")).first()
+    entropy = sums[0] / sums[1] if sums[1] else float(BITS)
+    # Equal texts share a key; the mean is the same for any number of them.
+    scored = pairs.join(bits, "code").groupBy("key").agg((F.sum(F.col("n") * F.col("bits")) / F.sum("n")).alias("mean"))
+    long = rows.select("doc_id", "lang", "key", F.char_length("text").alias("size")).join(scored, "key", "left").withColumn("mean", F.coalesce("mean", F.lit(0.0)))
+    smooth = (F.col("mean") * F.col("size") + PRIOR * entropy) / (F.col("size") + PRIOR)
+    return long.select("doc_id", "lang", F.pow(F.lit(2.0), smooth).alias("perplexity"))
+
+
+def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", quantile: float = QUANTILE, sharded_order: int | None = None) -> DataFrame:
+    """(doc_id, lang, perplexity, threshold, kept) of each row. trusted: one column, the ids of trusted documents.
+
+    sharded_order: n-grams of this length by sharded count joins, instead of the broadcast model.
+    """
     ids = park(trusted.select(F.col(trusted.columns[0]).cast("long").alias("id")).filter("id IS NOT NULL").distinct(), "trusted")
     trusted = bounded(ids, BROADCAST_IDS)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(trusted, "id", "left_semi")
-    counts = count_ngrams(texts.filter(~held_out(F.col("id"))).select("text"))
-    scores = park(perplexities(docs, counts, id_col, lang_col, text_col), "perplexity")
+    counted = texts.filter(~held_out(F.col("id"))).select("text")
+    found = sharded_perplexities(docs, counted, sharded_order, id_col, lang_col, text_col) if sharded_order else perplexities(docs, count_ngrams(counted), id_col, lang_col, text_col)
+    scores = park(found, "perplexity")
     good = scores.join(trusted, scores["doc_id"] == trusted["id"], "left_semi")
     bound = F.percentile_approx("perplexity", quantile, 10_000)
     apart = good.filter(held_out(F.col("doc_id")))

@@ -122,3 +122,17 @@ def test_other_scripts_are_told_apart(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {r.doc_id: r.perplexity for r in classify(docs, spark.createDataFrame([(i,) for i in range(40)], "doc_id long")).collect()}
     assert got[91] > 3 * got[90]
+
+
+def test_sharded_joins_give_the_same_model(spark):
+    """The tables of joined counts give the perplexities of the broadcast model for its order."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs = docs.unionByName(docs.limit(2)).unionByName(spark.createDataFrame([(None, None, "en", "s", 0), (-1, "", None, "s", 0)], docs.schema))
+    texts = docs.filter("doc_id % 3 = 0").select("text")
+    want = {(r.doc_id, r.lang): r.perplexity for r in quality.perplexities(docs, quality.count_ngrams(texts)).collect()}
+    got = quality.sharded_perplexities(docs, texts, ORDER).collect()
+    assert len(got) == docs.count()
+    assert {(r.doc_id, r.lang): r.perplexity for r in got} == pytest.approx(want, rel=1e-4)
+    higher = {r.doc_id: r.perplexity for r in quality.sharded_perplexities(docs, texts, 5).collect()}
+    counted = [r.doc_id for r in docs.filter("doc_id % 3 = 0").collect()]
+    assert all(higher[i] < want_i for (i, _), want_i in want.items() if i in counted and want_i > 3)
