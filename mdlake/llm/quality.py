@@ -19,12 +19,15 @@ repeated labels count once, empty tables give empty results.
 
 from __future__ import annotations
 
+import math
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +40,10 @@ PRIOR = 100
 MIN_HELD_OUT = 200
 #: Trusted ids (8 bytes each) up to which they are broadcast.
 BROADCAST_IDS = 1 << 20
+#: Length of the n-grams of the sharded model, and how many of them a task holds of it at most, about.
+SHARDED_ORDER, SHARD_CODES = 4, 1 << 20
+#: Documents and postings of a block.
+_BLOCK_ROWS, _BLOCK_POSTINGS = 1000, 1 << 21
 #: Symbols 0 to 51 are letters, the signs are the last eight.
 LETTERS, SPACE, DIGIT, STOP, QUOTE, SIGN = 52, 52, 53, 54, 55, 56
 
@@ -149,29 +156,24 @@ def perplexities(docs: DataFrame, counts: np.ndarray, id_col: str = "doc_id", la
     return text_batches(rows).mapInArrow(run, "doc_id long, lang string, perplexity double")
 
 
-def _gram_counts(texts: DataFrame, order: int, keyed: bool) -> DataFrame:
-    """Counts of the n-grams of each text (key, code, n), or of all texts of a partition (code, n)."""
-    width = "key long, " if keyed else ""
+def _encoded(text: str | None, order: int) -> np.ndarray:
+    """The n-grams of this length that end at each symbol of the text."""
+    own = np.concatenate([np.full(order - 1, SPACE, np.uint8), symbols(text)[ORDER - 1 :]]).astype(np.int64)
+    code = np.zeros(len(own) - order + 1, np.int64)
+    for j in range(order):
+        code = code << BITS | own[j : j + len(code)]
+    return code
+
 
-    def encoded(text: str | None) -> np.ndarray:
-        own = symbols(text)[ORDER - 1 :]
-        own = np.concatenate([np.full(order - 1, SPACE, np.uint8), own]).astype(np.int64)
-        code = np.zeros(len(own) - order + 1, np.int64)
-        for j in range(order):
-            code = code << BITS | own[j : j + len(code)]
-        return code
+def _gram_counts(texts: DataFrame, order: int) -> DataFrame:
+    """(code, n): counts of the n-grams of a frame of one column of texts, by batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if keyed:
-                for key, text in zip(batch.column(0), batch.column(1), strict=True):
-                    code, n = np.unique(encoded(text.as_py()), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), key.as_py())), pa.array(code), pa.array(n)], names=["key", "code", "n"])
-            else:
-                code, n = np.unique(np.concatenate([encoded(t.as_py()) for t in batch.column(0)] or [np.zeros(0, np.int64)]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], names=["code", "n"])
+            code, n = np.unique(np.concatenate([_encoded(t.as_py(), order) for t in batch.column(0)] or [np.zeros(0, np.int64)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], names=["code", "n"])
 
-    return text_batches(texts).mapInArrow(run, f"{width}code long, n long")
+    return text_batches(texts).mapInArrow(run, "code long, n long")
 
 
 def _level(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -186,12 +188,12 @@ def _level(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return counts, contexts
 
 
-def sharded_bits(trusted_texts: DataFrame, wanted: DataFrame, order: int) -> DataFrame:
-    """(code, bits) of the wanted n-grams (code, without repeats) under the model of the trusted texts.
+def sharded_bits(trusted: DataFrame, wanted: DataFrame, order: int) -> DataFrame:
+    """(code, bits) of the wanted n-grams (code, without repeats) under the model of the trusted ones (code, c).
 
     The model is a table for each order, which grows with the trusted text; n-grams meet it by joins on hashed shards.
     """
-    levels = [_level(_gram_counts(trusted_texts, order, False).groupBy("code").agg(F.sum("n").alias("c")))]
+    levels = [_level(trusted)]
     for k in range(order - 1, 0, -1):
         levels.append(_level(levels[-1][0].groupBy((F.col("code").bitwiseAND((1 << BITS * k) - 1)).alias("code")).agg(F.count(F.lit(1)).alias("c"))))
     needs = [park(wanted, "wanted")]
@@ -210,24 +212,155 @@ def sharded_bits(trusted_texts: DataFrame, wanted: DataFrame, order: int) -> Dat
     return below.select("code", (-F.log2("p")).alias("bits"))
 
 
-def sharded_perplexities(docs: DataFrame, trusted_texts: DataFrame, order: int = 5, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+def _packed(codes_: np.ndarray, at: np.ndarray, n: np.ndarray, packer: zstandard.ZstdCompressor) -> bytes:
+    """Postings in order of code as one compressed buffer: codes as steps, then the text's place and the count of each."""
+    step = np.diff(codes_, prepend=np.int64(0))
+    return len(codes_).to_bytes(4, "little") + packer.compress(step.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() + at.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes() + np.minimum(n, 65535).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes())
+
+
+def _unpacked(data: bytes, unpacker: zstandard.ZstdDecompressor) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = int.from_bytes(data[:4], "little")
+    raw = np.frombuffer(unpacker.decompress(data[4:]), np.uint8)
+    column = lambda start, width, kind: np.ascontiguousarray(raw[start * n : (start + width) * n].reshape(width, n).T).view(kind).ravel()
+    return np.cumsum(column(0, 8, "<i8")), column(8, 2, "<u2").astype(np.int64), column(10, 2, "<u2").astype(np.int64)
+
+
+def _shard_of(code, shards: int):
+    """The shard of a code, as an array or a column."""
+    return code % 1_000_003 * 7919 % shards
+
+
+_POSTINGS = "shard int, kind int, block long, code long, bits double, data binary, ids array<long>, langs array<string>, sizes array<long>"
+
+
+def _postings(rows: DataFrame, order: int, shards: int) -> DataFrame:
+    """The n-grams of documents (doc_id, lang, text) by blocks of documents and shards of codes, in the form _POSTINGS.
+
+    Within a block a document is a place of two bytes. Each block also gives a row of its documents (kind 2), whose
+    place is its shard.
+    """
+    schema = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("block", pa.int64()), ("code", pa.int64()), ("bits", pa.float64()), ("data", pa.binary()), ("ids", pa.list_(pa.int64())), ("langs", pa.list_(pa.string())), ("sizes", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, packer, k = TaskContext.get().partitionId(), zstandard.ZstdCompressor(level=3), 0
+
+        def block(ids: list, langs: list, found: list) -> pa.RecordBatch:
+            code = np.concatenate([c for c, _ in found] or [np.zeros(0, np.int64)])
+            n = np.concatenate([m for _, m in found] or [np.zeros(0, np.int64)])
+            at = np.repeat(np.arange(len(found)), [len(c) for c, _ in found])
+            # A count of more than two bytes is written as several postings.
+            while (big := n > 65535).any():
+                code, at, n = np.concatenate([code, code[big]]), np.concatenate([at, at[big]]), np.concatenate([np.minimum(n, 65535), n[big] - 65535])
+            shard = _shard_of(code, shards)
+            order_ = np.lexsort((at, code, shard))
+            code, at, n, shard = code[order_], at[order_], n[order_], shard[order_]
+            starts = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1]))) if len(shard) else np.zeros(0, np.int64)
+            ends = [*starts[1:], len(shard)]
+            name = task << 32 | k
+            out = [(int(shard[x]), 1, name, None, None, _packed(code[x:y], at[x:y], n[x:y], packer), None, None, None) for x, y in zip(starts, ends, strict=True)] if len(starts) else []
+            out.append((k % shards, 2, name, None, None, None, ids, langs, [int(m.sum()) for _, m in found]))
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(schema.types)], schema=schema)
+
+        ids, langs, found, held = [], [], [], 0
+        for batch in batches:
+            for id_, lang, text in zip(*batch.columns, strict=True):
+                code, n = np.unique(_encoded(text.as_py(), order), return_counts=True)
+                ids.append(id_.as_py())
+                langs.append(lang.as_py())
+                found.append((code, n))
+                held += len(code)
+                if held > _BLOCK_POSTINGS or len(ids) == _BLOCK_ROWS:
+                    yield block(ids, langs, found)
+                    ids, langs, found, held, k = [], [], [], 0, k + 1
+        if ids:
+            yield block(ids, langs, found)
+
+    return text_batches(rows).mapInArrow(run, _POSTINGS)
+
+
+def _partial_sums(meeting: DataFrame) -> DataFrame:
+    """(block, sums, ids, langs, sizes): bits of a block's documents from one shard, or the documents of the block.
+
+    meeting: _POSTINGS rows by shard, those of the model (kind 0) first; a task holds one shard of the model.
+    """
+    schema = pa.schema([("block", pa.int64()), ("sums", pa.binary()), ("ids", pa.list_(pa.int64())), ("langs", pa.list_(pa.string())), ("sizes", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker, own, parts, model = zstandard.ZstdDecompressor(), None, [], None
+        for batch in batches:
+            shard, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            out = []
+            edges = np.flatnonzero(np.concatenate(([True], (shard[1:] != shard[:-1]) | (kind[1:] != kind[:-1])))) if len(shard) else np.zeros(0, np.int64)
+            for x, y in zip(edges.tolist(), [*edges[1:].tolist(), len(shard)], strict=True):
+                if shard[x] != own:
+                    own, parts, model = shard[x], [], None
+                if kind[x] == 0:
+                    parts.append((batch.column(3).slice(x, y - x).to_numpy(zero_copy_only=False), batch.column(4).slice(x, y - x).to_numpy(zero_copy_only=False)))
+                    continue
+                if kind[x] == 1 and model is None:
+                    codes_, bits = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+                    by = np.argsort(codes_)
+                    model, parts = (codes_[by], bits[by]), []
+                for row in batch.slice(x, y - x).to_pylist():
+                    if row["kind"] == 1:
+                        code, at, n = _unpacked(row["data"], unpacker)
+                        sums = np.bincount(at, n * model[1][np.searchsorted(model[0], code)])
+                        out.append((row["block"], sums.astype("<f8").tobytes(), None, None, None))
+                    else:
+                        out.append((row["block"], None, row["ids"], row["langs"], row["sizes"]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(schema.types)], schema=schema)
+
+    return meeting.mapInArrow(run, "block long, sums binary, ids array<long>, langs array<string>, sizes array<long>")
+
+
+def _block_means(partial: DataFrame) -> DataFrame:
+    """(doc_id, lang, size, mean): partial sums of a block added up. partial: sorted by block, its documents first."""
+    schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("size", pa.int64()), ("mean", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = None, None
+
+        def done() -> pa.RecordBatch:
+            sizes = np.array(held["sizes"], np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(held["ids"], pa.int64()), pa.array(held["langs"], pa.string()), pa.array(sizes), pa.array(total / np.maximum(sizes, 1))], schema=schema)
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["ids"] is not None:
+                    if held is not None:
+                        yield done()
+                    held, total = row, np.zeros(len(row["ids"]))
+                else:
+                    sums = np.frombuffer(row["sums"], "<f8")
+                    total[: len(sums)] += sums
+        if held is not None:
+            yield done()
+
+    return partial.mapInArrow(run, "doc_id long, lang string, size long, mean double")
+
+
+def sharded_perplexities(docs: DataFrame, trusted_texts: DataFrame, order: int = SHARDED_ORDER, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """(doc_id, lang, perplexity) by sharded count joins: every document's n-grams meet the model's tables in shuffles.
 
-    trusted_texts: one column. The model has no bound and nothing of it is broadcast or collected, so it can be of any
-    order; but all distinct (text, n-gram) pairs are shuffled, which is several times the input.
+    trusted_texts: one column. The model's tables grow with the trusted text; nothing of them is broadcast or
+    collected. The n-grams of a block of documents are counted and packed by shard before they are shuffled, a task
+    keeps one shard of the model and lets the blocks pass by, and each gives sums for a whole block.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(text).alias("key"), text.alias("text"))
-    pairs = _gram_counts(rows.select("key", "text"), order, True)
-    trusted = _gram_counts(trusted_texts, order, False)
-    bits = park(sharded_bits(trusted_texts, pairs.select("code").union(trusted.select("code")).distinct(), order), "bits")
-    sums = trusted.join(bits, "code").agg(F.sum(F.col("n") * F.col("bits")), F.sum("n")).first()
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    trusted = park(_gram_counts(trusted_texts, order).groupBy("code").agg(F.sum("n").alias("c")), "trusted-grams")
+    wanted = _gram_counts(rows.select("text"), order).select("code").union(trusted.select("code")).distinct()
+    bits = park(sharded_bits(trusted, wanted, order), "bits")
+    sums = trusted.join(bits, "code").agg(F.sum(F.col("c") * F.col("bits")), F.sum("c")).first()
     entropy = sums[0] / sums[1] if sums[1] else float(BITS)
-    # Equal texts share a key; the mean is the same for any number of them.
-    scored = pairs.join(bits, "code").groupBy("key").agg((F.sum(F.col("n") * F.col("bits")) / F.sum("n")).alias("mean"))
-    long = rows.select("doc_id", "lang", "key", F.char_length("text").alias("size")).join(scored, "key", "left").withColumn("mean", F.coalesce("mean", F.lit(0.0)))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(tasks, math.ceil(bits.count() / SHARD_CODES))
+    none = lambda kind: F.lit(None).cast(kind)
+    model = bits.select(_shard_of(F.col("code"), shards).cast("int"), F.lit(0), none("long"), "code", "bits", none("binary"), none("array<long>"), none("array<string>"), none("array<long>"))
+    meeting = _postings(rows, order, shards).union(model).repartition("shard").sortWithinPartitions("shard", "kind")
+    partial = _partial_sums(meeting).repartition("block").sortWithinPartitions("block", F.col("ids").isNull())
     smooth = (F.col("mean") * F.col("size") + PRIOR * entropy) / (F.col("size") + PRIOR)
-    return long.select("doc_id", "lang", F.pow(F.lit(2.0), smooth).alias("perplexity"))
+    return _block_means(partial).select("doc_id", "lang", F.pow(F.lit(2.0), smooth).alias("perplexity"))
 
 
 def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", quantile: float = QUANTILE, sharded_order: int | None = None) -> DataFrame:

@@ -103,7 +103,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_quality_classifier")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0").select("doc_id")
-    return quality.classify(table(spark, sf_dir, "documents"), trusted)
+    return quality.classify(table(spark, sf_dir, "documents"), trusted, sharded_order=quality.SHARDED_ORDER)
 
 
 @query("op6_chat_formatting")
