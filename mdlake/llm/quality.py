@@ -1,10 +1,15 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model is over characters folded to 64 symbols, in n-grams of three, so it has at most 64**3 entries (1 MB)
-whatever the corpus: counts of all trusted text are summed by n-gram in a shuffle, and the finished table of
-conditional probabilities is broadcast. Joining counts to the n-grams of every document instead would move some
-five times the input; with this proven bound nothing of a document is shuffled for its score. Trusted rows are found
-by a join on the id: up to BROADCAST_IDS ids are sent to the texts, beyond that both are shuffled.
+Characters are folded to 64 symbols: Latin letters by base and case, letters of other scripts spread over the same
+symbols, digits, spaces and signs. The query uses n-grams of SHARDED_ORDER symbols. The model is a table for each
+order that grows with the trusted text. The n-grams of a block of documents are counted by document and packed by
+shard of the model before they are shuffled; a task holds one shard's probabilities, lets the blocks pass by and
+gives sums for a whole block, which are added up by block. Nothing of the model or the documents is broadcast or
+collected.
+
+For short n-grams there is also a model that is a table of 64**3 entries (1 MB) at any size, and is broadcast: nothing
+of a document is shuffled for its score then. Trusted rows are found by a join on the id: up to BROADCAST_IDS ids are
+sent to the texts, beyond that both are shuffled.
 
 A document's perplexity is smoothed by PRIOR symbols at the model's own entropy, so that a few words can't look
 bad by chance. It is kept up to the QUANTILE of its language's trusted documents. Those are held out: a quarter of

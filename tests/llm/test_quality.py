@@ -9,14 +9,18 @@ from mdlake.llm import quality, queries
 from mdlake.llm.quality import ORDER, SYMBOLS, classify, codes, kneser_ney, symbols
 
 
-def brute_model(texts):
-    """Interpolated modified Kneser-Ney with dictionaries; returns p(tuple of ORDER symbols)."""
+def padded(text, order):
+    return [quality.SPACE] * (order - 1) + symbols(text)[ORDER - 1 :].tolist()
+
+
+def brute_model(texts, order=ORDER):
+    """Interpolated modified Kneser-Ney with dictionaries; returns p(tuple of `order` symbols)."""
     grams = Counter()
     for t in texts:
-        s = symbols(t).tolist()
-        grams.update(tuple(s[i : i + ORDER]) for i in range(len(s) - ORDER + 1))
-    levels = {ORDER: grams}
-    for k in range(ORDER - 1, 0, -1):
+        s = padded(t, order)
+        grams.update(tuple(s[i : i + order]) for i in range(len(s) - order + 1))
+    levels = {order: grams}
+    for k in range(order - 1, 0, -1):
         levels[k] = Counter(g[1:] for g in levels[k + 1])
     discounts, contexts = {}, {}
     for k, c in levels.items():
@@ -81,15 +85,16 @@ def test_query_matches_brute_force(spark):
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     trusted = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.quality == 1 and r.toxic == 0}
     out = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
-    grams, p = brute_model([d.text for d in docs if d.doc_id in trusted and not out(d.doc_id)])
+    order = quality.SHARDED_ORDER
+    grams, p = brute_model([d.text for d in docs if d.doc_id in trusted and not out(d.doc_id)], order)
     memo = {}
     bits = lambda g: memo[g] if g in memo else memo.setdefault(g, -math.log2(p(g)))
     entropy = sum(n * bits(g) for g, n in grams.items()) / sum(grams.values())
 
     def perplexity(text):
-        s = symbols(text).tolist()
-        n = len(s) - ORDER + 1
-        return 2 ** ((sum(bits(tuple(s[i : i + ORDER])) for i in range(n)) + quality.PRIOR * entropy) / (n + quality.PRIOR))
+        s = padded(text, order)
+        n = len(s) - order + 1
+        return 2 ** ((sum(bits(tuple(s[i : i + order])) for i in range(n)) + quality.PRIOR * entropy) / (n + quality.PRIOR))
 
     want = {d.doc_id: perplexity(d.text) for d in docs}
     aside = {}
@@ -113,7 +118,7 @@ def test_labels_of_the_tables(spark):
     labels = spark.read.parquet(f"{sf}/labels.parquet").collect()
     clean = [kept[r.doc_id] for r in labels if r.quality == 1 and r.toxic == 0]
     junk = [kept[r.doc_id] for r in labels if r.quality == 0]
-    assert sum(clean) >= 0.985 * len(clean) and sum(junk) <= 0.1 * len(junk)
+    assert sum(clean) >= 0.99 * len(clean) and sum(junk) <= 0.08 * len(junk)
 
 
 def test_other_scripts_are_told_apart(spark):
@@ -124,11 +129,12 @@ def test_other_scripts_are_told_apart(spark):
     assert got[91] > 3 * got[90]
 
 
-def test_sharded_joins_give_the_same_model(spark):
+def test_sharded_joins_give_the_same_model(spark, monkeypatch):
     """The tables of joined counts give the perplexities of the broadcast model for its order."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     docs = docs.unionByName(docs.limit(2)).unionByName(spark.createDataFrame([(None, None, "en", "s", 0), (-1, "", None, "s", 0)], docs.schema))
     texts = docs.filter("doc_id % 3 = 0").select("text")
+    monkeypatch.setattr(quality, "_BLOCK_ROWS", 30)
     want = {(r.doc_id, r.lang): r.perplexity for r in quality.perplexities(docs, quality.count_ngrams(texts)).collect()}
     got = quality.sharded_perplexities(docs, texts, ORDER).collect()
     assert len(got) == docs.count()
@@ -136,3 +142,20 @@ def test_sharded_joins_give_the_same_model(spark):
     higher = {r.doc_id: r.perplexity for r in quality.sharded_perplexities(docs, texts, 5).collect()}
     counted = [r.doc_id for r in docs.filter("doc_id % 3 = 0").collect()]
     assert all(higher[i] < want_i for (i, _), want_i in want.items() if i in counted and want_i > 3)
+
+
+def test_postings_pack_losslessly():
+    code = np.array([3, 3, 9, 2**24 - 1, 2**30 - 1])
+    at, n = np.array([0, 65535, 7, 1, 2]), np.array([1, 65535, 300, 2, 9])
+    got = quality._unpacked(quality._packed(code, at, n, quality.zstandard.ZstdCompressor()), quality.zstandard.ZstdDecompressor())
+    assert all((x == y).all() for x, y in zip(got, (code, at, n), strict=True))
+
+
+def test_sharded_odd_rows(spark):
+    rows = [(1, None, "en"), (1, "", "en"), (2, "a" * 200_000, None), (None, "hello there", "en"), (2, "hello there", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "1 AS block", "2 AS code", "3 AS shard")
+    trusted = spark.createDataFrame([(1,), (2,), (2,)], "doc_id long")
+    got = classify(docs, trusted, sharded_order=4).collect()
+    assert len(got) == len(rows) and len({r.perplexity for r in got if r.doc_id == 1}) == 1
+    assert classify(docs.limit(0), trusted, sharded_order=4).count() == 0
+    assert all(r.kept for r in classify(docs, trusted.limit(0), sharded_order=4).collect())
