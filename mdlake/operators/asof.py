@@ -1,8 +1,8 @@
 """Latest state, as-of lookups and carried-forward state.
 
-Windows never span a key's whole history: events are cut by (key, day) and the last state of earlier days is
-carried in from an aggregate that has one row for each key and day, so that one busy instrument is many small
-windows. Every order ends with a unique column.
+Windows never span a key's whole history: events are cut by (key, block), a day unless the caller names a shorter
+block for busier keys, and the last state of earlier blocks is carried in from an aggregate that has one row for each
+key and block and combines before its shuffle, so that one busy instrument is many small windows. Every order ends with a unique column.
 """
 
 from __future__ import annotations
@@ -25,16 +25,16 @@ def latest_state(df: DataFrame, key: str | list[str], columns: list[str], order:
     return df.groupBy(*keys).agg(*[F.expr(f"max_by({c}, struct({', '.join(order)})) FILTER (WHERE {c} IS NOT NULL)").alias(c) for c in columns], F.max(by).alias("__at")).drop("__at")
 
 
-def _day(ns: Column) -> Column:
-    return whole(ns, DAY_NS)
+def _day(ns: Column, block_ns: int = DAY_NS) -> Column:
+    return whole(ns, block_ns)
 
 
-def asof_state(requests: DataFrame, events: DataFrame, key: str, columns: list[str], now: str = "now_ns", order: tuple[str, ...] = ORDER) -> DataFrame:
+def asof_state(requests: DataFrame, events: DataFrame, key: str, columns: list[str], now: str = "now_ns", order: tuple[str, ...] = ORDER, block_ns: int = DAY_NS) -> DataFrame:
     """requests (key, now) with the last non-null value of each column among the key's events up to and including now."""
     request_columns = [c for c in requests.columns if c not in columns]
     rows = requests.select(key, F.col(now).alias("__ts"), F.struct(*request_columns).alias("__request"), *[F.lit(None).cast(events.schema[c].dataType).alias(c) for c in columns], F.lit(None).cast("struct<" + ",".join(f"{c}:bigint" for c in order) + ">").alias("__by"))
     states = events.select(key, F.col(order[0]).alias("__ts"), F.lit(None).cast(rows.schema["__request"].dataType).alias("__request"), *columns, F.struct(*[F.col(c).cast("long").alias(c) for c in order]).alias("__by"))
-    both = rows.union(states).withColumn("__day", _day(F.col("__ts")))
+    both = rows.union(states).withColumn("__day", _day(F.col("__ts"), block_ns))
     last = [F.expr(f"max_by({c}, __by) FILTER (WHERE {c} IS NOT NULL AND __by IS NOT NULL)").alias(c) for c in columns]
     earlier = Window.partitionBy(key).orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
     carried = both.groupBy(key, "__day").agg(*last).select(key, "__day", *[F.last(c, ignorenulls=True).over(earlier).alias(f"__carried_{c}") for c in columns])
@@ -44,10 +44,10 @@ def asof_state(requests: DataFrame, events: DataFrame, key: str, columns: list[s
     return found.join(carried, [key, "__day"]).select("__request.*", *[F.coalesce(f"__last_{c}", f"__carried_{c}").alias(c) for c in columns])
 
 
-def ffill_state(events: DataFrame, key: str, columns: list[str], order: tuple[str, ...] = ORDER) -> DataFrame:
+def ffill_state(events: DataFrame, key: str, columns: list[str], order: tuple[str, ...] = ORDER, block_ns: int = DAY_NS) -> DataFrame:
     """events with each column's null replaced by the key's last earlier value."""
     by = F.struct(*order)
-    dated = events.withColumn("__day", _day(F.col(order[0])))
+    dated = events.withColumn("__day", _day(F.col(order[0]), block_ns))
     last = [F.expr(f"max_by({c}, struct({', '.join(order)})) FILTER (WHERE {c} IS NOT NULL)").alias(c) for c in columns]
     earlier = Window.partitionBy(key).orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
     carried = dated.groupBy(key, "__day").agg(*last).select(key, "__day", *[F.last(c, ignorenulls=True).over(earlier).alias(f"__carried_{c}") for c in columns])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mdlake.functions.scalars import book_summary_id, venue_of
+from mdlake.operators.asof import ffill_state
 
 # Type, channel, venue and required metadata key.
 REGISTRY = [
@@ -48,8 +49,8 @@ def distinct_ids(rows: DataFrame) -> DataFrame:
 def replay_requests(log: DataFrame, timeout_ns: int) -> DataFrame:
     """The log of request jobs (job, ts_ns, seq, kind: tick or response, rows) with what each line did.
 
-    A tick while a request is in flight is skipped, or fires after the timeout; a response ends the request. Lines
-    of a job are streamed in order and only the job's own state is kept.
+    A tick while a request is in flight is skipped, or fires after the timeout; a response ends the request. After a
+    response nothing is in flight, so a job is cut there and its parts are gone through at once, lines in order.
     """
     columns = ["job", "ts_ns", "seq", "kind", "rows"]
 
@@ -58,6 +59,7 @@ def replay_requests(log: DataFrame, timeout_ns: int) -> DataFrame:
         for pdf in batches:
             actions = []
             for job, ts, kind in zip(pdf["job"], pdf["ts_ns"], pdf["kind"], strict=True):
+                # A part begins with its response, which nothing before it changes; only a job's first has none.
                 if job != current:
                     current, busy, fired = job, False, 0
                 if kind == "response":
@@ -68,10 +70,11 @@ def replay_requests(log: DataFrame, timeout_ns: int) -> DataFrame:
                 else:
                     actions.append("timeout" if busy else "fire")
                     busy, fired = True, ts
-            yield pdf.assign(action=actions)
+            yield pdf[columns].assign(action=actions)
 
     schema = log.select(*columns).schema.add("action", "string")
-    return log.select(*columns).repartition("job").sortWithinPartitions("job", "ts_ns", "seq").mapInPandas(run, schema)
+    cut = ffill_state(log.select(*columns).withColumn("__from", F.when(F.col("kind") == "response", F.col("ts_ns"))), "job", ["__from"], ("ts_ns", "seq"))
+    return cut.repartition("job", "__from").sortWithinPartitions("job", F.col("__from").asc_nulls_first(), "ts_ns", "seq").mapInPandas(run, schema)
 
 
 def request_metrics(replayed: DataFrame) -> DataFrame:

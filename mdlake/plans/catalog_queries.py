@@ -336,11 +336,11 @@ def _jobs(spark: SparkSession, sf: str) -> DataFrame:
     """A log of request jobs: purchases are responses, other events ticks."""
     e = D.table(spark, sf, "events")
     kind = F.when(F.col("event_type") == "purchase", "response").otherwise("tick")
-    return e.select((F.col("user_id") % 6).cast("string").alias("job"), D.nanos(F.col("ts")).alias("ts_ns"), F.col("event_id").alias("seq"), kind.alias("kind"), (F.col("event_id") % 10).alias("rows"))
+    return e.select(F.col("user_id").cast("string").alias("job"), D.nanos(F.col("ts")).alias("ts_ns"), F.col("event_id").alias("seq"), kind.alias("kind"), (F.col("event_id") % 10).alias("rows"))
 
 
 _REPLAY = f"""
-lines AS (SELECT (user_id % 6)::VARCHAR AS job, epoch_us(ts) * 1000 AS ts_ns, event_id AS seq, CASE WHEN event_type = 'purchase' THEN 'response' ELSE 'tick' END AS kind, event_id % 10 AS rows, row_number() OVER (PARTITION BY user_id % 6 ORDER BY ts, event_id) AS n FROM events),
+lines AS (SELECT user_id::VARCHAR AS job, epoch_us(ts) * 1000 AS ts_ns, event_id AS seq, CASE WHEN event_type = 'purchase' THEN 'response' ELSE 'tick' END AS kind, event_id % 10 AS rows, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
 r AS (SELECT job, seq, n, rows, CASE WHEN kind = 'response' THEN 'response' ELSE 'fire' END AS action, kind = 'tick' AS busy, ts_ns AS fired FROM lines WHERE n = 1
  UNION ALL SELECT l.job, l.seq, l.n, l.rows, CASE WHEN l.kind = 'response' THEN 'response' WHEN r.busy AND l.ts_ns - r.fired < {MINUTES30} THEN 'skip' WHEN r.busy THEN 'timeout' ELSE 'fire' END, l.kind = 'tick', CASE WHEN l.kind = 'tick' AND NOT (r.busy AND l.ts_ns - r.fired < {MINUTES30}) THEN l.ts_ns ELSE r.fired END
  FROM r JOIN lines l ON l.job = r.job AND l.n = r.n + 1)
@@ -362,9 +362,8 @@ def request_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def surface_events(spark: SparkSession, sf: str) -> DataFrame:
-    """The events of every universe that has greeks, as one stream: a reset, its members, then quotes and greeks."""
-    active = D.greeks(spark, sf).select("instrument_id").distinct()
-    options = D.options(spark, sf).join(active, "instrument_id", "left_semi").withColumn("universe_id", F.concat("underlying", F.lit(":"), F.col("expiration_ns").cast("string")))
+    """The events of every universe, as one stream: a reset, its members, then quotes and greeks."""
+    options = D.options(spark, sf).withColumn("universe_id", F.concat("underlying", F.lit(":"), F.col("expiration_ns").cast("string")))
     null = lambda t="double": F.lit(None).cast(t)
     perp = F.concat("underlying", F.lit("-PERPETUAL.DERIBIT"))
     universes = options.select("universe_id", perp.alias("perp_id")).distinct()

@@ -92,7 +92,7 @@ def atm_reference(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "option_snapshots",
-    """WITH t AS (SELECT r.underlying, r.now_ns, o.expiration_ns, o.instrument_id, o.strike, o.kind FROM requests_v r JOIN options_v o USING (underlying) WHERE o.expiration_ns > r.now_ns AND o.instrument_id IN (SELECT instrument_id FROM greeks_v)),
+    """WITH t AS (SELECT r.underlying, r.now_ns, o.expiration_ns, o.instrument_id, o.strike, o.kind FROM requests_v r JOIN options_v o USING (underlying) WHERE o.expiration_ns > r.now_ns),
     q AS (SELECT t.now_ns, t.instrument_id, arg_max((bid_price + ask_price) / 2, seq) AS option_mid FROM t JOIN quotes_v q ON q.instrument_id = t.instrument_id AND q.ts_event_ns <= t.now_ns GROUP BY 1, 2),
     g AS (SELECT t.now_ns, t.instrument_id, arg_max(CASE WHEN abs(mark_iv) > 3 THEN mark_iv / 100 ELSE mark_iv END, seq) FILTER (WHERE mark_iv IS NOT NULL) AS iv, arg_max(delta, seq) AS delta FROM t JOIN greeks_v g ON g.instrument_id = t.instrument_id AND g.ts_event_ns <= t.now_ns GROUP BY 1, 2),
     p AS (SELECT underlying, now_ns, arg_max((bid_price + ask_price) / 2, seq) AS perp_mid FROM requests_v r JOIN quotes_v q ON q.instrument_id = r.underlying || '-PERPETUAL.DERIBIT' AND q.ts_event_ns <= r.now_ns GROUP BY 1, 2),
@@ -102,8 +102,7 @@ def atm_reference(spark: SparkSession, sf: str) -> DataFrame:
     SELECT underlying, expiration_ns, now_ns, atm_strike, greeks_ready, quotes_ready, round(atm_iv, 6) AS atm_iv, round(hc - lp, 6) AS risk_reversal, round((hc + lp) / 2 - atm_iv, 6) AS wing_richness FROM v WHERE atm_iv IS NOT NULL AND lp IS NOT NULL AND hc IS NOT NULL AND greeks_ready > 0""",
 )
 def option_snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    active = D.options(spark, sf).join(D.greeks(spark, sf).select("instrument_id").distinct(), "instrument_id", "left_semi")
-    found = metrics.option_snapshots(D.requests(spark, sf), active, D.quotes(spark, sf), D.greeks(spark, sf), perps(spark))
+    found = metrics.option_snapshots(D.requests(spark, sf), D.options(spark, sf), D.quotes(spark, sf), D.greeks(spark, sf), perps(spark))
     return found.select("underlying", "expiration_ns", "now_ns", "atm_strike", "greeks_ready", "quotes_ready", *r6("atm_iv", "risk_reversal", "wing_richness"))
 
 

@@ -10,8 +10,10 @@ from mdlake.functions.scalars import whole
 DAY_NS = 86_400_000_000_000
 FIRST_EXPIRY_NS = 1_704_096_000_000_000_000
 WEEK_NS = 604_800_000_000_000
-#: Events and lines are dealt out among so many options; every row gets one.
+#: Lines are dealt out among so many options, events among at least so many; every row gets one.
 TRADED = 200
+#: Of more options events go to one in so many, from both ends of the strikes.
+TRADED_SHARE = 10
 UNDERLYINGS = ("BTC", "ETH", "SOL")
 
 
@@ -49,7 +51,9 @@ def options(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _on_options(spark: SparkSession, sf_dir: str, types: list[str]) -> DataFrame:
     events = table(spark, sf_dir, "events").filter(F.col("event_type").isin(types))
     ids = options(spark, sf_dir).select("instrument_id", "p_partkey")
-    return events.join(ids, F.col("event_id") % TRADED + 1 == F.col("p_partkey"))
+    parts = table(spark, sf_dir, "part").count()
+    x = F.col("event_id") % max(parts // TRADED_SHARE, min(parts, TRADED), 1)
+    return events.withColumn("pk", F.when(x % 2 == 0, whole(x, 2)).otherwise(parts - 1 - whole(x, 2))).join(ids, F.col("pk") == F.col("p_partkey")).drop("pk")
 
 
 def _times() -> list[Column]:

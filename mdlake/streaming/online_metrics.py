@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import json
 from collections.abc import Iterator
 
@@ -18,34 +19,51 @@ def _number(x) -> float | None:
     return None if x is None or x != x else float(x)
 
 
+def _ready(member: dict) -> bool:
+    return member["iv"] is not None and member["delta"] is not None
+
+
 class Surface:
     """Last quotes and greeks of one universe's members, and when it last gave a snapshot."""
 
     def __init__(self, state: dict | None = None):
         self.s = state or {"perp": None, "perp_mid": None, "last": None, "members": {}}
+        self.strikes = None
+
+    def _index(self) -> None:
+        """Members by strike and how many are ready; made anew when a member has come."""
+        members = self.s["members"].values()
+        self.at: dict[float, list[dict]] = {}
+        for m in members:
+            self.at.setdefault(m["strike"], []).append(m)
+        self.strikes = sorted(self.at)
+        self.ready, self.quoted = sum(map(_ready, members)), sum(m["mid"] is not None for m in members)
 
     def _snapshot(self) -> tuple | None:
-        members, mid = list(self.s["members"].values()), self.s["perp_mid"]
-        if mid is None or not members:
+        mid = self.s["perp_mid"]
+        if mid is None or not self.s["members"]:
             return None
+        if self.strikes is None:
+            self._index()
+        near = bisect.bisect_left(self.strikes, mid)
+        atm = min(self.strikes[max(near - 1, 0) : near + 1], key=lambda k: (abs(k - mid), k))
         mean = lambda xs: sum(xs) / len(xs) if xs else None
-        atm = min((m["strike"] for m in members), key=lambda k: (abs(k - mid), k))
-        low, high = min(m["strike"] for m in members), max(m["strike"] for m in members)
-        ivs = lambda strike, kinds: mean([m["iv"] for m in members if m["strike"] == strike and m["kind"] in kinds and m["iv"] is not None])
-        at, put, call = ivs(atm, "CP"), ivs(low, "P"), ivs(high, "C")
-        ready = sum(m["iv"] is not None and m["delta"] is not None for m in members)
-        if at is None or put is None or call is None or not ready:
+        ivs = lambda strike, kinds: mean([m["iv"] for m in self.at[strike] if m["kind"] in kinds and m["iv"] is not None])
+        at, put, call = ivs(atm, "CP"), ivs(self.strikes[0], "P"), ivs(self.strikes[-1], "C")
+        if at is None or put is None or call is None or not self.ready:
             return None
-        return mid, atm, at, put, call, call - put, (put + call) / 2 - at, ready, sum(m["mid"] is not None for m in members), len(members)
+        return mid, atm, at, put, call, call - put, (put + call) / 2 - at, self.ready, self.quoted, len(self.s["members"])
 
     def take(self, kind: str, id_: str, strike, option_kind, bid, ask, iv, delta, ts: int, interval_ns: int) -> tuple | None:
         """Apply one row; a snapshot if the row is data, the interval has passed and the surface is complete."""
         s = self.s
         if kind == "reset":
             s.update(perp=id_, perp_mid=None, last=None, members={})
+            self.strikes = None
             return None
         if kind == "member":
             s["members"][id_] = {"strike": float(strike), "kind": option_kind, "mid": None, "iv": None, "delta": None}
+            self.strikes = None
             return None
         member = s["members"].get(id_)
         if kind == "quote":
@@ -56,12 +74,16 @@ class Surface:
             if id_ == s["perp"]:
                 s["perp_mid"] = mid
             elif member:
+                if self.strikes is not None and member["mid"] is None:
+                    self.quoted += 1
                 member["mid"] = mid
         elif member:
-            iv = _number(iv)
+            was, iv = _ready(member), _number(iv)
             if iv is not None:
                 member["iv"] = iv / 100 if abs(iv) > 3 else iv
             member["delta"] = _number(delta) if _number(delta) is not None else member["delta"]
+            if self.strikes is not None:
+                self.ready += _ready(member) - was
         if s["last"] is not None and max(0, ts - s["last"]) < interval_ns:
             return None
         found = self._snapshot()

@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from mdlake.operators import asof, lineage, metrics, outcomes, planning, universe
@@ -135,3 +137,38 @@ def test_asof_carries_over_days(spark):
     asked = spark.createDataFrame([("a", 4), ("a", 5), ("a", 3 * day + 1), ("a", 4 * day), ("a", 5 * day), ("b", day)], "k string, now_ns long")
     got = {(r.k, r.now_ns): r.v for r in asof.asof_state(asked, events, "k", ["v"]).collect()}
     assert got == {("a", 4): None, ("a", 5): 2.0, ("a", 3 * day + 1): 2.0, ("a", 4 * day): 2.0, ("a", 5 * day): 9.0, ("b", day): None}
+
+
+def test_throttle_equals_a_plain_loop(spark):
+    draw = random.Random(7)
+    rows = [(draw.choice(["a", "b", "", None]), draw.choice([None, *range(-400, 400)]), n, f"r{n}") for n in range(1500)]
+    # One busy key, most rows at equal times, and one whose rows lie blocks apart.
+    rows += [("busy", draw.randrange(300), n, "x") for n in range(5000, 9000)] + [("rare", n * 997, n, "y") for n in range(20)]
+    df = spark.createDataFrame(rows, "k string, t long, seq long, note string").repartition(5)
+    want, last = set(), {}
+    for row in sorted((r for r in rows if r[1] is not None), key=lambda r: (r[1], r[2])):
+        if row[0] not in last or row[1] - last[row[0]] >= 13:
+            last[row[0]] = row[1]
+            want.add(row)
+    for block in (13, 40, 1000):
+        found = list(map(tuple, metrics.throttle(df, "k", "t", 13, block_ns=block).collect()))
+        assert set(found) == want and len(found) == len(want)
+    assert metrics.throttle(df.limit(0), "k", "t", 13).count() == 0
+    # Three perps of one minute's quotes: gaps are all under the interval, so each choice hangs on the one before.
+    dense = spark.range(3000).selectExpr("'p' AS k", "id * 7 AS t", "id AS seq")
+    assert [r.t for r in metrics.throttle(dense, "k", "t", 100, block_ns=400).orderBy("t").collect()] == list(range(0, 21000, 105))
+
+
+def test_asof_state_is_the_same_for_any_block(spark):
+    draw = random.Random(3)
+    events = [(draw.choice("ab"), draw.randrange(500), draw.choice([None, 1.0, 2.0, 3.0]), n) for n in range(400)]
+    asked = [(k, t) for k in "abc" for t in range(0, 500, 37)]
+    df = spark.createDataFrame(events, "instrument_id string, ts_event_ns long, v double, seq long").withColumn("ts_init_ns", F.col("ts_event_ns"))
+    requests = spark.createDataFrame(asked, "instrument_id string, now_ns long")
+    want = {}
+    for k, t in asked:
+        seen = sorted((e[1], e[3], e[2]) for e in events if e[0] == k and e[1] <= t and e[2] is not None)
+        want[k, t] = seen[-1][2] if seen else None
+    for block in (10, 100, 10_000):
+        found = asof.asof_state(requests, df, "instrument_id", ["v"], block_ns=block)
+        assert {(r.instrument_id, r.now_ns): r.v for r in found.collect()} == want
