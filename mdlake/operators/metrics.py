@@ -75,8 +75,8 @@ def option_metrics(options: DataFrame, quotes: DataFrame, greeks: DataFrame, per
     return found.withColumn("risk_reversal", high - low).withColumn("wing_richness", wing)
 
 
-def _ready_counts(keys: list[str], rows: DataFrame, options: DataFrame, quotes: DataFrame, greeks: DataFrame) -> DataFrame:
-    """(keys, now_ns, greeks_ready, quotes_ready) for each of rows: options with volatility and delta, and with a mid, by now.
+def _with_ready_counts(keys: list[str], rows: DataFrame, options: DataFrame, quotes: DataFrame, greeks: DataFrame) -> DataFrame:
+    """rows with greeks_ready and quotes_ready: their universe's options with volatility and delta, and with a mid, by now_ns.
 
     An option is ready from its first values on, so one row for an option and kind stands for all its events.
     """
@@ -84,11 +84,12 @@ def _ready_counts(keys: list[str], rows: DataFrame, options: DataFrame, quotes:
     greek = greeks.groupBy("instrument_id").agg(first("iv").alias("a"), first("delta").alias("b")).filter("a IS NOT NULL AND b IS NOT NULL").select("instrument_id", F.greatest("a", "b").alias("at"), F.lit(1).alias("g"), F.lit(0).alias("q"))
     quote = quotes.groupBy("instrument_id").agg(first("option_mid").alias("at")).filter("at IS NOT NULL").select("instrument_id", "at", F.lit(0).alias("g"), F.lit(1).alias("q"))
     steps = greek.union(quote).join(options.select("instrument_id", *keys), "instrument_id").groupBy(*keys, "at").agg(F.sum("g").alias("g"), F.sum("q").alias("q"))
-    asked = rows.select(*keys, F.col("now_ns").alias("at"), F.lit(0).cast("long").alias("g"), F.lit(0).cast("long").alias("q"), F.lit(True).alias("asked"))
+    none = F.lit(0).cast("long")
+    asked = rows.select(*keys, F.col("now_ns").alias("at"), none.alias("g"), none.alias("q"), F.struct("*").alias("row"))
     by = Window.partitionBy(*keys).orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    both = steps.withColumn("asked", F.lit(False)).union(asked)
-    counted = both.select(*keys, F.col("at").alias("now_ns"), "asked", F.sum("g").over(by).alias("greeks_ready"), F.sum("q").over(by).alias("quotes_ready"))
-    return counted.filter("asked").drop("asked").distinct()
+    both = asked.union(steps.withColumn("row", F.lit(None).cast(asked.schema["row"].dataType)))
+    counted = both.select("row", F.sum("g").over(by).alias("greeks_ready"), F.sum("q").over(by).alias("quotes_ready"))
+    return counted.filter("row IS NOT NULL").select("row.*", "greeks_ready", "quotes_ready")
 
 
 def option_snapshots(requests: DataFrame, options: DataFrame, quotes: DataFrame, greeks: DataFrame, perps: DataFrame) -> DataFrame:
@@ -101,19 +102,20 @@ def option_snapshots(requests: DataFrame, options: DataFrame, quotes: DataFrame,
     keys = ["underlying", "expiration_ns"]
     quotes = quotes.withColumn("option_mid", mid())
     greeks = greeks.withColumn("iv", normalize_iv("mark_iv"))
-    perp = asof_state(requests.select("underlying", "now_ns").distinct().join(perps, "underlying").select("underlying", "now_ns", F.col("perp_id").alias("instrument_id")), quotes.withColumnRenamed("option_mid", "perp_mid"), "instrument_id", ["perp_mid"])
-    perp = perp.filter("perp_mid IS NOT NULL").select("underlying", "now_ns", "perp_mid")
+    perp_quotes = quotes.withColumnRenamed("option_mid", "perp_mid").join(perps.select(F.col("perp_id").alias("instrument_id")), "instrument_id", "left_semi")
+    asked = requests.select("underlying", "now_ns").distinct().join(perps, "underlying").select("underlying", "now_ns", F.col("perp_id").alias("instrument_id"))
+    perp = asof_state(asked, perp_quotes, "instrument_id", ["perp_mid"]).filter("perp_mid IS NOT NULL").select("underlying", "now_ns", "perp_mid")
     listed = options.groupBy(*keys).agg(F.array_sort(F.collect_set("strike")).alias("strikes"), F.count(F.lit(1)).alias("option_count")).filter(F.size("strikes") > 0)
     rows = perp.join(listed, "underlying").filter("expiration_ns > now_ns")
     rows = rows.select(*keys, "now_ns", atm_strike(F.col("strikes"), F.col("perp_mid")).alias("atm_strike"), F.element_at("strikes", 1).alias("low_strike"), F.element_at("strikes", -1).alias("high_strike"), "option_count", "perp_mid")
+    # Each row goes along with the options at its strikes, so that nothing is computed twice and joined back.
     roles = F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.col(f"{r}_strike").alias("strike")) for r in ("atm", "low", "high")])).alias("r")
-    wanted = rows.select(*keys, "now_ns", roles).select(*keys, "now_ns", "r.*").join(options.select(*keys, "strike", "kind", "instrument_id"), [*keys, "strike"])
+    wanted = rows.select(*keys, "now_ns", F.struct("*").alias("row"), roles).select(*keys, "now_ns", "row", "r.*").join(options.select(*keys, "strike", "kind", "instrument_id"), [*keys, "strike"])
     wanted = wanted.filter("role = 'atm' OR (role = 'low' AND kind = 'P') OR (role = 'high' AND kind = 'C')")
-    state = asof_state(wanted, greeks, "instrument_id", ["iv"])
     mean = lambda r: F.avg(F.when(F.col("role") == r, F.col("iv")))
-    means = state.groupBy(*keys, "now_ns").agg(mean("atm").alias("atm_iv"), mean("low").alias("low_put_iv"), mean("high").alias("high_call_iv"))
-    ready = means.filter("atm_iv IS NOT NULL AND low_put_iv IS NOT NULL AND high_call_iv IS NOT NULL")
-    found = rows.join(ready, [*keys, "now_ns"]).join(_ready_counts(keys, rows, options, quotes, greeks), [*keys, "now_ns"]).filter("greeks_ready > 0")
+    means = asof_state(wanted, greeks, "instrument_id", ["iv"]).groupBy(*keys, "now_ns").agg(F.first("row").alias("row"), mean("atm").alias("atm_iv"), mean("low").alias("low_put_iv"), mean("high").alias("high_call_iv"))
+    ready = means.filter("atm_iv IS NOT NULL AND low_put_iv IS NOT NULL AND high_call_iv IS NOT NULL").select("row.*", "atm_iv", "low_put_iv", "high_call_iv")
+    found = _with_ready_counts(keys, ready, options, quotes, greeks).filter("greeks_ready > 0")
     return found.withColumn("risk_reversal", F.col("high_call_iv") - F.col("low_put_iv")).withColumn("wing_richness", (F.col("low_put_iv") + F.col("high_call_iv")) / 2 - F.col("atm_iv"))
 
 
