@@ -242,19 +242,31 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_tex
 
 
 def oracle_sql() -> str:
-    """The same in DuckDB: rules one after the other over a table."""
-    values = ", ".join(f"('{text}', '{id_}')" for id_, text in SENTENCES.items())
-    steps = []
-    for k, (name, ids) in enumerate(RULES):
-        pattern = "".join(f"<{i}>" for i in ids)
-        steps.append(f"r{k + 1} AS (SELECT doc_id, sentence_ids, replace(seq, '{pattern}', '|') AS seq, CASE WHEN contains(seq, '{pattern}') THEN list_append(names, '{name}') ELSE names END AS names FROM r{k})")
-    last = len(RULES)
+    """The same in DuckDB: known runs of lines are joined, then taken in order by a fold, as are the rules."""
+    by_text = known_sentences()
+    starts = sorted({" ".join(x.split(" ")[:2]) for x in by_text} | {f"{x} under" for x in _VERBS} | {f"this {x}" for x in _NOUNS})
+    longest = max(len(x.split(" ")) for x in by_text)
+    values = ", ".join(f"('{text}', '{id_}')" for text, id_ in by_text.items())
+    listed = lambda xs: ", ".join(f"'{x}'" for x in xs)
+    wording = lambda x: f"CASE WHEN contains({x}, ' under ') AND {x} NOT IN ({listed(SENTENCES.values())}) THEN regexp_replace({x}, '{_OPENING}', 'under ') ELSE {x} END"
+    rules = ", ".join(f"{{'rest': '', 'names': []::VARCHAR[], 'p': '{''.join(f'<{i}>' for i in ids)}', 'n': '{name}'}}" for name, ids in all_rules())
     return rf"""
     WITH known(text, id) AS (VALUES {values}),
-    lines AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.!?;:]+(?:[ \t\r\x0B\f\n]|$)', chr(10), 'g'), '[^a-z0-9\n]+', ' ', 'g'), chr(10)) AS lines FROM documents),
-    parts AS (SELECT doc_id, trim(unnest(lines)) AS text, generate_subscripts(lines, 1) AS pos FROM lines),
-    seqs AS (SELECT doc_id, list(id ORDER BY pos) AS ids FROM parts JOIN known USING (text) GROUP BY doc_id),
-    r0 AS (SELECT d.doc_id, coalesce(array_to_string(ids, ','), '') AS sentence_ids, coalesce('<' || array_to_string(ids, '><') || '>', '') AS seq, []::VARCHAR[] AS names FROM documents d LEFT JOIN seqs USING (doc_id)),
-    {", ".join(steps)}
-    SELECT doc_id, array_to_string(list_sort(list_distinct(CASE WHEN contains(seq, '<') THEN list_append(names, '{UNKNOWN}') ELSE names END)), ',') AS licenses, sentence_ids FROM r{last}
+    low AS (SELECT doc_id, replace(replace(translate(coalesce(text, ''), '{_UPPER}' || chr(2), '{_LOWER} '), 'spdx-license-identifier:', 'spdx-license-identifier '), 'license, v.', 'license, v ') AS t FROM documents),
+    cut AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(regexp_replace(t, '[.!?;:]+(?:[ \t\r\x0B\f\n]|$)', chr(2), 'g'), '[^a-z0-9\n\x02]+', ' ', 'g'), '\n(?: ?\n)+', chr(2), 'g'), chr(2)) AS ss FROM low),
+    parts AS (SELECT doc_id, unnest(ss) AS s, generate_subscripts(ss, 1) AS pos FROM cut),
+    alone AS (SELECT doc_id, pos, trim(replace(s, chr(10), ' ')) AS x FROM parts WHERE NOT contains(trim(s), chr(10))),
+    wrapped AS (SELECT doc_id, pos, list_filter(list_transform(string_split(s, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS l FROM parts WHERE contains(trim(s), chr(10))),
+    opens AS (SELECT doc_id, pos, l, unnest(range(1, len(l) + 1)) AS i FROM wrapped),
+    opened AS (SELECT * FROM opens WHERE array_to_string(string_split(array_to_string(l[i:i + 1], ' '), ' ')[1:2], ' ') IN ({listed(starts)})),
+    runs AS (SELECT doc_id, pos, l, i, unnest(range(1, least(len(l) - i + 1, {longest}) + 1)) AS n FROM opened),
+    worded AS (SELECT doc_id, pos, i, n, array_to_string(l[i:i + n - 1], ' ') AS x FROM runs),
+    best AS (SELECT doc_id, pos, i, max(n) AS n, arg_max(id, n) AS id FROM (SELECT *, {wording('x')} AS text FROM worded) JOIN known USING (text) GROUP BY 1, 2, 3),
+    taken AS (SELECT doc_id, pos, list_reduce(list({{'i': i, 'n': n, 'ids': [id]}} ORDER BY i), lambda a, b: CASE WHEN b.i >= a.i + a.n THEN {{'i': b.i, 'n': b.n, 'ids': list_concat(a.ids, b.ids)}} ELSE a END).ids AS ids FROM best GROUP BY 1, 2),
+    every AS (SELECT * FROM taken UNION ALL SELECT doc_id, pos, [id] FROM (SELECT doc_id, pos, {wording('x')} AS text FROM alone) JOIN known USING (text)),
+    seqs AS (SELECT doc_id, flatten(list(ids ORDER BY pos)) AS ids FROM every GROUP BY doc_id),
+    ruled AS (SELECT d.doc_id, coalesce(array_to_string(ids, ','), '') AS sentence_ids,
+      list_reduce(list_prepend({{'rest': coalesce('<' || array_to_string(ids, '><') || '>', ''), 'names': []::VARCHAR[], 'p': '', 'n': ''}}, [{rules}]),
+        lambda a, b: CASE WHEN contains(a.rest, b.p) THEN {{'rest': replace(a.rest, b.p, '|'), 'names': list_append(a.names, b.n), 'p': '', 'n': ''}} ELSE a END) AS r FROM documents d LEFT JOIN seqs USING (doc_id))
+    SELECT doc_id, array_to_string(list_sort(list_distinct(CASE WHEN contains(r.rest, '<') THEN list_append(r.names, '{UNKNOWN}') ELSE r.names END)), ',') AS licenses, sentence_ids FROM ruled
     """

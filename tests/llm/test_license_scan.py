@@ -1,4 +1,7 @@
-from mdlake.llm.license_scan import SENTENCES, UNKNOWN, scan
+import duckdb
+import pandas as pd
+
+from mdlake.llm.license_scan import SENTENCES, UNKNOWN, oracle_sql, scan
 
 
 def sentence(id_):
@@ -100,3 +103,7 @@ def test_texts_as_they_are_wrapped(spark):
     docs = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_id long, text string")
     got = {r.doc_id: (r.licenses, len(r.sentence_ids)) for r in scan(docs).collect()}
     assert got == {i: (sorted(c[1]), c[2]) for i, c in enumerate(cases)}
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(cases)), "text": [c[0] for c in cases]}))
+    rows = {r[0]: r[1:] for r in con.sql("SELECT doc_id, licenses, sentence_ids FROM (" + oracle_sql() + ")").fetchall()}
+    assert rows == {r.doc_id: (",".join(r.licenses), ",".join(r.sentence_ids)) for r in scan(docs).collect()}
