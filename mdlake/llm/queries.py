@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdlake.llm import bpe, chat, decontam, langid, license_scan, line_dedup, quality, warc
+from mdlake.llm import bpe, chat, decontam, langid, license_scan, line_dedup, quality, repair, warc
 from mdlake.llm.common import park, shared_dir, table
 from mdlake.llm.exact_dedup import exact_dedup
 from mdlake.llm.simhash import near_groups
@@ -109,3 +109,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_chat_formatting")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversations(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_conversation_repair", repair.ORACLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return repair.with_all(repair.report(repair.damaged(turns)), "conv_id", turns)
