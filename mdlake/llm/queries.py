@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdlake.llm import bpe, chat, decontam, langid, license_scan, line_dedup, quality, repair, warc
+from mdlake.llm import bpe, chat, decontam, langid, license_scan, line_dedup, negatives, quality, repair, warc
 from mdlake.llm.common import park, shared_dir, table
 from mdlake.llm.exact_dedup import exact_dedup
 from mdlake.llm.simhash import near_groups
@@ -115,3 +115,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     return repair.with_all(repair.report(repair.damaged(turns)), "conv_id", turns)
+
+
+@query("op12_hard_negatives", negatives.ORACLE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(negatives.usable(table(spark, sf_dir, "embeddings"), label), F.col("vec_id") % 100 == 0)
