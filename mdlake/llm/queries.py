@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdlake.llm import bpe, chat, decontam, langid, license_scan, line_dedup, negatives, quality, repair, warc
+from mdlake.llm import bpe, chat, decontam, langid, license_scan, line_dedup, negatives, quality, repair, toxicity, warc
 from mdlake.llm.common import park, shared_dir, table
 from mdlake.llm.exact_dedup import exact_dedup
 from mdlake.llm.simhash import near_groups
@@ -121,3 +121,10 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(negatives.usable(table(spark, sf_dir, "embeddings"), label), F.col("vec_id") % 100 == 0)
+
+
+@query("op11_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted", F.size("spans").cast("long").alias("n_spans"))
