@@ -1,25 +1,37 @@
 """Sealing of staged rows into daily partitions, and recovery of what a crash left.
 
-A staging area holds folders batch=<id>/seal_date=<date>. Sealing moves those whose window has ended; later windows
-are not read and sealed partitions that get no row are not touched. It goes in steps that can each be repeated:
-
-1. The rows of the due folders, with the sealed rows of the partitions that they touch (late rows only), are parked;
-   the list of folders is written before them, and the rows' commit mark makes the plan valid.
-2. The parked rows overwrite just their partitions, as sorted, complete files.
-3. The folders are noted as sealed, removed from staging, and the plan is removed.
-
-A run that was cut short leaves a plan, which the next one carries out first; a folder noted as sealed is not read
-again, so a batch that a stream delivers twice counts once. Equal rows are different events and all stay.
+A staging area holds folders query=<id>/batch=<id>/seal_date=<date>. The query is the stream's own id, which lives in
+its checkpoint, so captures that number their batches alike, or a stream that starts again from nothing, stay apart.
+Sealing moves the folders whose window has ended; later windows are not read and sealed partitions that get no row are
+not touched. It goes in steps that can each be repeated:
+
+1. One pass over the due folders gives rows and a checksum of each. Folders that the ledger holds with the same rows and
+   checksum are replays and are dropped; a known batch with other rows is sealed like a new one. The rest is the plan.
+2. Partitions that are sealed already and get late rows are written beside the plan, old and new rows together.
+3. Rows overwrite just their partitions, as sorted, complete files: late partitions from the plan, others straight
+   from staging. Ranges of (instrument, date, time) keep tasks at TARGET_ROWS rows, so a busy day is several files.
+4. The ledger, a table by date, gets the folders; a mark ends the plan; folders and plan are removed.
+
+A run that was cut short leaves a plan, which the next one carries out first: up to the mark from step 3 on, after it
+only the removal. Equal rows are different events and all stay.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PARTITION = ("instrument_id", "seal_date")
+#: What names a staged folder.
+FOLDER = ("query", "batch", "seal_date")
+_LEDGER = "query string, batch string, seal_date string, rows bigint, checksum decimal(38,0), run string"
+#: Rows that a task sorts and writes, and partitions that it writes to, about.
+TARGET_ROWS, TARGET_PARTITIONS = 2_000_000, 64
 _MARK = b"PAR1"
 #: Parts up to this length are looked into when they give no rows; a larger one without rows has no footer.
 _SMALL = 1 << 20
@@ -41,72 +53,111 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
-def _folders(spark: SparkSession, pattern: str) -> list[str]:
-    fs, hadoop = file_system(spark, pattern)
-    return sorted(s.getPath().toString() for s in fs.globStatus(hadoop) or [] if s.isDirectory())
+def folder_of(staging: str, batch: int | str, query: str = "batch") -> str:
+    return f"{staging}/query={query}/batch={batch}"
 
 
-def stage(df: DataFrame, staging: str, batch: int | str) -> None:
-    """Write dated rows as one batch of a staging area; a batch that is written again replaces itself."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("seal_date").parquet(f"{staging}/batch={batch}")
+def stage(df: DataFrame, staging: str, batch: int | str, query: str = "batch") -> None:
+    """Write dated rows as one batch of a query; a batch that is written again before it is sealed replaces itself."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("seal_date").parquet(folder_of(staging, batch, query))
 
 
-def _staged(folder: str) -> tuple[str, str]:
-    """(batch, date) of a staged folder."""
-    batch, date = folder.rstrip("/").split("/")[-2:]
-    return batch.removeprefix("batch="), date.removeprefix("seal_date=")
+def _staged(spark: SparkSession, staging: str, schema: str = "") -> DataFrame:
+    """Staged rows with the names of their folders as text."""
+    columns = [f for f in spark.createDataFrame([], schema).schema.fields if f.name not in FOLDER] if schema else []
+    types = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in columns), *(f"{c} string" for c in FOLDER)])
+    if not exists(spark, staging):
+        return spark.createDataFrame([], types)
+    return spark.read.schema(types).option("pathGlobFilter", "*.parquet").parquet(staging)
 
 
 def staged_windows(spark: SparkSession, staging: str) -> list[tuple[str, str]]:
-    """(batch, date) of all staged folders."""
-    return [_staged(f) for f in _folders(spark, f"{staging}/batch=*/seal_date=*")]
+    """(batch, date) of all staged folders that hold rows; no column is read."""
+    return sorted(tuple(r) for r in _staged(spark, staging).select("batch", "seal_date").distinct().collect())
+
 
+def ledger(spark: SparkSession, root: str, family: str) -> DataFrame:
+    """The sealed folders of a family: query, batch, seal_date (which prunes files), rows, checksum, run."""
+    path = f"{root}/_sealed/{family}"
+    return spark.read.schema(_LEDGER).parquet(path) if exists(spark, path) else spark.createDataFrame([], _LEDGER)
 
-def _sealed(spark: SparkSession, ledger: str) -> set[tuple[str, str]]:
-    return {tuple(r) for r in spark.read.schema("batch string, seal_date string").parquet(ledger).collect()} if exists(spark, ledger) else set()
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def seal(spark: SparkSession, root: str, family: str, schema: str, staging: str, until: str | None = None) -> int:
     """Seal the staged windows up to the date `until`, all without it; the number of folders that were sealed."""
-    plan, ledger, target = f"{root}/_sealing/{family}", f"{root}/_sealed/{family}", f"{root}/{family}"
-    done = _finish(spark, plan, ledger, target)
-    known = _sealed(spark, ledger)
-    due, stale = [], []
-    for folder in _folders(spark, f"{staging}/batch=*/seal_date=*"):
-        key = _staged(folder)
-        if key in known:
-            stale.append(folder)
-        elif until is None or key[1] <= until:
-            due.append(folder)
-    for folder in stale:
-        remove(spark, folder)
-    if not due:
+    plan = f"{root}/_sealing/{family}"
+    done = _finish(spark, root, family, schema, staging)
+    rows = _staged(spark, staging, schema)
+    if until is not None:
+        rows = rows.filter(F.col("seal_date") <= until)
+    checksum = F.sum(F.xxhash64(*[c for c in rows.columns if c not in FOLDER]).cast("decimal(28,0)")).cast("decimal(38,0)").alias("checksum")
+    instruments = F.hll_sketch_agg("instrument_id").alias("instruments")
+    found = _written(rows.groupBy(*FOLDER).agg(F.count(F.lit(1)).alias("rows"), checksum, instruments), f"{plan}/found")
+    dates = [r[0] for r in found.select("seal_date").distinct().collect()]
+    if not dates:
+        remove(spark, plan)
         return done
-    remove(spark, plan)
-    spark.createDataFrame([(f, *_staged(f)) for f in due], "folder string, batch string, seal_date string").coalesce(1).write.parquet(f"{plan}/folders")
+    same = [*FOLDER, "rows", "checksum"]
+    known = ledger(spark, root, family).filter(F.col("seal_date").isin(dates)).select(*same).distinct()
+    _drop_folders(spark, staging, found.join(known, same, "left_semi").select(*FOLDER).collect())
+    fresh = _written(found.join(known, same, "left_anti"), f"{plan}/folders")
+    if not fresh.take(1):
+        remove(spark, plan)
+        return done
+    target = f"{root}/{family}"
     names = spark.createDataFrame([], schema).columns
-    rows = spark.read.schema(f"{schema}, batch string").option("basePath", staging).parquet(*due).select(*names)
+    late = spark.createDataFrame([], schema)
     if exists(spark, target):
-        dates = sorted({_staged(f)[1] for f in due})
-        old = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(target).filter(F.col("seal_date").cast("string").isin(dates))
-        rows = rows.unionByName(old.join(rows.select(*PARTITION).distinct(), list(PARTITION), "left_semi"))
-    rows.write.parquet(f"{plan}/rows")
-    return done + _finish(spark, plan, ledger, target)
+        there = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(target).filter(F.col("seal_date").cast("string").isin(dates))
+        new = _typed(rows.join(fresh.select(*FOLDER), list(FOLDER), "left_semi"), schema)
+        both = _written(new.select(*PARTITION).distinct().join(there.select(*PARTITION).distinct(), list(PARTITION), "left_semi"), f"{plan}/partitions")
+        if both.take(1):
+            late = there.join(both, list(PARTITION), "left_semi").unionByName(new.join(both, list(PARTITION), "left_semi"))
+    _written(late.select(*names), f"{plan}/late")
+    _written(spark.createDataFrame([(uuid.uuid4().hex,)], "run string").coalesce(1), f"{plan}/ready")
+    return done + _finish(spark, root, family, schema, staging)
 
 
-def _finish(spark: SparkSession, plan: str, ledger: str, target: str) -> int:
-    """Carry out a valid plan; one without its rows' commit mark is dropped by the next."""
-    if not exists(spark, f"{plan}/rows/_SUCCESS"):
+def _drop_folders(spark: SparkSession, staging: str, folders: list) -> None:
+    """Remove sealed folders, several at a time; other dates of their batches stay."""
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(lambda r: remove(spark, f"{folder_of(staging, r['batch'], r['query'])}/seal_date={r['seal_date']}"), folders))
+
+
+def _typed(rows: DataFrame, schema: str) -> DataFrame:
+    wanted = rows.sparkSession.createDataFrame([], schema).schema
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
+
+
+def _finish(spark: SparkSession, root: str, family: str, schema: str, staging: str) -> int:
+    """Carry out a plan that is ready; one that isn't is dropped by the next."""
+    plan, target = f"{root}/_sealing/{family}", f"{root}/{family}"
+    if not exists(spark, f"{plan}/ready/_SUCCESS"):
         return 0
-    rows = spark.read.parquet(f"{plan}/rows")
-    order = [c for c in ("ts_init_ns", "seq") if c in rows.columns]
-    # Partitions are replaced one by one when the job commits; repeating it gives the same files' rows.
-    rows.repartition(*PARTITION).sortWithinPartitions(*PARTITION, *order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION).parquet(target)
     folders = spark.read.parquet(f"{plan}/folders")
-    folders.select("batch", "seal_date").coalesce(1).write.mode("append").parquet(ledger)
-    found = folders.collect()
-    for r in found:
-        remove(spark, r["folder"])
+    if not exists(spark, f"{plan}/done/_SUCCESS"):
+        run = spark.read.parquet(f"{plan}/ready").first()[0]
+        late = spark.read.schema(schema).parquet(f"{plan}/late")
+        rows = _typed(_staged(spark, staging, schema).join(folders.select(*FOLDER), list(FOLDER), "left_semi"), schema)
+        more = late.count()
+        if more:
+            rows = rows.join(late.select(*PARTITION).distinct(), list(PARTITION), "left_anti").unionByName(late)
+        by_date = folders.groupBy("seal_date").agg(F.sum("rows").alias("rows"), F.hll_sketch_estimate(F.hll_union_agg("instruments")).alias("partitions"))
+        size = by_date.agg(F.sum("rows"), F.sum("partitions")).first()
+        tasks = max(math.ceil((size[0] + more) / TARGET_ROWS), math.ceil(size[1] / TARGET_PARTITIONS))
+        order = [*PARTITION, *(c for c in ("ts_init_ns", "seq") if c in rows.columns)]
+        # Partitions are replaced one by one when the job commits; repeating it gives the same files' rows.
+        placed = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION).parquet(target)
+        entries = folders.select("query", "batch", "rows", "checksum", "seal_date", F.lit(run).alias("run"))
+        entries.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("seal_date", "run").parquet(f"{root}/_sealed/{family}")
+        _written(spark.range(1).coalesce(1), f"{plan}/done")
+    found = folders.select(*FOLDER).collect()
+    _drop_folders(spark, staging, found)
     remove(spark, plan)
     return len(found)
 
@@ -134,8 +185,9 @@ def open_parts(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
 def recover(spark: SparkSession, folder: str, schema: str, active: set[str] | None = None) -> DataFrame:
     """Seal the open parts that a crash left; (path, bytes, rows, state, sealed) of each.
 
-    A readable part becomes a complete file named by its times, in its own folder. Parts of no bytes or rows are
-    removed, corrupt ones stay where they are. Parts in `active` still have a writer and are passed over.
+    A readable part becomes a complete file named by its times, in its own folder; where that name is taken a number is
+    added. Parts of no bytes or rows are removed, corrupt ones stay where they are, as do those that can't be renamed
+    (state "failed"; the others go on). Parts in `active` still have a writer and are passed over.
     """
     parts = {p: n for p, n in open_parts(spark, folder) if p not in (active or set())}
     held = {}
@@ -152,11 +204,8 @@ def recover(spark: SparkSession, folder: str, schema: str, active: set[str] | No
     for path, size in parts.items():
         r, sealed = held.get(_plain(path)), None
         if r is not None:
-            fs, source = file_system(spark, path)
-            sealed = f"{path.rsplit('/', 1)[0]}/{_clock(r['low'])}_{_clock(r['high'])}.parquet"
-            if not fs.rename(source, file_system(spark, sealed)[1]):
-                raise OSError(f"{path} can't be renamed to {sealed}")
-            state = "sealed"
+            sealed = _renamed(spark, path, f"{path.rsplit('/', 1)[0]}/{_clock(r['low'])}_{_clock(r['high'])}")
+            state = "sealed" if sealed else "failed"
         elif size == 0 or _plain(path) in whole:
             remove(spark, path)
             state = "empty"
@@ -166,6 +215,17 @@ def recover(spark: SparkSession, folder: str, schema: str, active: set[str] | No
     return spark.createDataFrame(report, "path string, bytes long, rows long, state string, sealed string")
 
 
+def _renamed(spark: SparkSession, path: str, stem: str) -> str | None:
+    """The first free name of a stem that the file took."""
+    fs, source = file_system(spark, path)
+    for k in range(10_000):
+        sealed = f"{stem}{f'_{k}' if k else ''}.parquet"
+        target = file_system(spark, sealed)[1]
+        if not fs.exists(target):
+            return sealed if fs.rename(source, target) else None
+    return None
+
+
 def _plain(path: str) -> str:
     """A path without its scheme, which listings and readers write differently."""
     return "/" + path.split(":", 1)[-1].lstrip("/")

@@ -36,11 +36,12 @@ _SERIES = "array_to_string(string_split(instrument_id, '-')[1:2], '-')"
     f"WITH t AS (SELECT * FROM trades_v UNION ALL SELECT * FROM trades_v WHERE seq % 5 = 0) SELECT {_SERIES} AS instrument_id, strftime({_SEAL_DATE}, '%Y-%m-%d') AS seal_date, count(*) AS rows, round(sum(price), 4) AS price, min(ts_init_ns) AS min_ts_ns, max(ts_init_ns) AS max_ts_ns FROM t GROUP BY 1, 2",
 )
 def seal(spark: SparkSession, sf: str) -> DataFrame:
-    """Trades of two captures, the second with equal rows: windows up to a middle date, then all others, then nothing more."""
+    """Trades of two captures that number their batches alike, the second with equal rows: windows up to a middle date, then
+    all others, then nothing more."""
     root = scratch(spark, "catalog")
     rows = sink.with_seal_date(_by_series(D.trades(spark, sf))).drop("seal_end_ns")
     for k, part in enumerate((rows, rows.filter("seq % 5 = 0"))):
-        sealing.stage(part, f"{root}/_staging/trades", k)
+        sealing.stage(part, f"{root}/_staging/trades", 0, f"capture-{k}")
     dates = sorted(d for _, d in sealing.staged_windows(spark, f"{root}/_staging/trades"))
     for until in (dates[len(dates) // 2] if dates else None, None, None):
         sealing.seal(spark, root, "trades", TRADE_SCHEMA, f"{root}/_staging/trades", until)

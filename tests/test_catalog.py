@@ -105,6 +105,13 @@ def test_aliases_parts_and_recovery(spark, tmp_path):
     os.rename(glob.glob(f"{tmp_path}/none/*.parquet")[0], tmp_path / "none" / "n.parquet.part")
     assert [r.state for r in sealing.recover(spark, f"{root}/none", schema).collect()] == ["empty"]
     assert sealing.recover(spark, f"{root}/nowhere", schema).count() == 0
+    os.makedirs(tmp_path / "twins")
+    for name in "xy":
+        (tmp_path / "twins" / f"{name}.parquet.part").write_bytes(whole)
+    twins = sealing.recover(spark, f"{root}/twins", schema).collect()
+    assert [r.state for r in twins] == ["sealed"] * 2 and len({r.sealed for r in twins}) == 2
+    assert sealing.recover(spark, f"{root}/twins", schema).count() == 0
+    assert spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{root}/twins").count() == 10
 
 
 def test_intervals_and_sizes(spark):

@@ -3,7 +3,7 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
-from mdlake.operators import sink
+from mdlake.operators import sealing, sink
 from mdlake.operators.lineage import smooth_strikes
 from mdlake.plans.catalog_queries import surface_events
 from mdlake.sources import catalog, derived
@@ -136,11 +136,11 @@ def test_a_batch_that_cannot_be_written_does_not_end_the_stream(spark, tmp_path,
     rows = spark.createDataFrame([("A.X", 1.0, 10, 10, 1), ("B.X", 2.0, 20, 20, 2)], "instrument_id string, price double, ts_event_ns bigint, ts_init_ns bigint, seq bigint")
     real, calls = capture.stage, []
 
-    def once(df, staging, batch):
+    def once(df, staging, batch, query):
         calls.append(batch)
         if batch == 0:
             raise RuntimeError("disk full")
-        real(df, staging, batch)
+        real(df, staging, batch, query)
 
     monkeypatch.setattr(capture, "stage", once)
     for i in range(2):
@@ -155,6 +155,136 @@ def test_a_batch_that_cannot_be_written_does_not_end_the_stream(spark, tmp_path,
     assert spark.read.option("pathGlobFilter", "*.parquet").parquet(f"{root}/trades").count() == 1
 
 
+PLAIN = "instrument_id string, price double, ts_event_ns bigint, ts_init_ns bigint, seq bigint"
+SEALED = f"{PLAIN}, seal_date date"
+
+
+def _rows(spark, low, high, ids=("A.X",)):
+    return spark.createDataFrame([(ids[i % len(ids)], float(i), DAY + i, DAY + i, i) for i in range(low, high)], PLAIN)
+
+
+def _capture(spark, source, root, checkpoint, **options):
+    stream = spark.readStream.schema(PLAIN).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(source)
+    query = capture.start_capture(stream, root, "trades", checkpoint, **options)
+    query.awaitTermination(120)
+    return query
+
+
+def test_captures_with_equal_batch_ids_lose_and_double_nothing(spark, tmp_path):
+    """Two streams on one family, each from batch 0, then one of them again from a new checkpoint with other rows."""
+    root = f"file://{tmp_path}"
+    for k, (low, high) in enumerate([(0, 10), (10, 30), (30, 60)]):
+        _rows(spark, low, high).coalesce(1).write.parquet(f"{root}/in{k}")
+    for k in (0, 1):
+        _capture(spark, f"{root}/in{k}", root, f"{root}/cp{k}")
+    staged = spark.read.parquet(f"{root}/_staging/trades")
+    assert {(r.batch, r.n) for r in staged.groupBy("query", "batch").agg(F.count("*").alias("n")).collect()} == {(0, 10), (0, 20)}
+    assert capture.drain(spark, root, "trades", schema=SEALED) == 2
+    # Stopped and started from the same checkpoint: nothing new. From a new one: batch 0 again, with other rows.
+    _capture(spark, f"{root}/in0", root, f"{root}/cp0")
+    _capture(spark, f"{root}/in2", root, f"{root}/cp2")
+    assert capture.drain(spark, root, "trades", schema=SEALED) == 1
+    assert sorted(r.seq for r in catalog.read_family(spark, root, "trades", schema=SEALED).collect()) == list(range(60))
+    assert sealing.ledger(spark, root, "trades").select("query").distinct().count() == 3
+
+
+def test_a_sealed_batch_id_with_other_rows_is_not_lost(spark, tmp_path):
+    root, staging = f"file://{tmp_path}", f"file://{tmp_path}/_staging/trades"
+    for low, high, want in ((0, 5, 5), (0, 5, 5), (5, 9, 9)):
+        sealing.stage(sink.with_seal_date(_rows(spark, low, high)).drop("seal_end_ns"), staging, 0, "q")
+        sealing.seal(spark, root, "trades", SEALED, staging)
+        assert catalog.read_family(spark, root, "trades", schema=SEALED).count() == want
+        assert sealing.staged_windows(spark, staging) == []
+
+
+def test_a_busy_day_is_several_sorted_files(spark, tmp_path, monkeypatch):
+    root, staging = f"file://{tmp_path}", f"file://{tmp_path}/_staging/trades"
+    monkeypatch.setattr(sealing, "TARGET_ROWS", 1000)
+    rows = _rows(spark, 0, 9000).union(spark.createDataFrame([("B.X", 1.0, DAY, DAY, -1)], PLAIN))
+    sealing.stage(sink.with_seal_date(rows).drop("seal_end_ns").repartition(5), staging, 0)
+    sealing.seal(spark, root, "trades", SEALED, staging)
+    sizes = [r.n for r in catalog.read_family(spark, root, "trades", schema=SEALED).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 9001 and len(sizes) >= 9 and max(sizes) <= 2500
+    spans = [(r.low, r.high) for r in catalog.read_family(spark, root, "trades", ids=["A.X"], schema=SEALED).groupBy(F.input_file_name()).agg(F.min("seq").alias("low"), F.max("seq").alias("high")).collect()]
+    assert all(a[1] < b[0] for a, b in zip(sorted(spans), sorted(spans)[1:], strict=False))
+
+
+def test_one_bad_row_of_a_thousand_loses_one_row(spark, tmp_path, monkeypatch):
+    root = f"file://{tmp_path}"
+    _rows(spark, 0, 1000).repartition(3).write.parquet(f"{root}/in")
+    real = capture.stage
+
+    def picky(df, staging, batch, query):
+        if df.filter("seq = 617").take(1):
+            raise RuntimeError("row 617 breaks a rule")
+        real(df, staging, batch, query)
+
+    monkeypatch.setattr(capture, "stage", picky)
+    stream = spark.readStream.schema(PLAIN).parquet(f"{root}/in")
+    query = capture.start_capture(stream, root, "trades", f"{root}/cp")
+    query.awaitTermination(240)
+    assert query.exception() is None
+    capture.drain(spark, root, "trades", schema=SEALED)
+    assert sorted(r.seq for r in catalog.read_family(spark, root, "trades", schema=SEALED).collect()) == [i for i in range(1000) if i != 617]
+    refused = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/_refused").collect()
+    assert len(refused) == 1 and '"seq":617' in refused[0].row and "breaks a rule" in refused[0].error
+
+
+def test_values_that_do_not_fit_are_kept_and_storage_errors_stop_the_stream(spark, tmp_path, monkeypatch):
+    root = f"file://{tmp_path}"
+    text = _rows(spark, 0, 6).withColumn("price", F.when(F.col("seq") == 4, "much").otherwise(F.col("price").cast("string")))
+    text.coalesce(1).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(text.schema).parquet(f"{root}/in")
+    capture.start_capture(stream, root, "trades", f"{root}/cp", schema=PLAIN).awaitTermination(120)
+    capture.drain(spark, root, "trades", schema=SEALED)
+    assert sorted(r.price for r in catalog.read_family(spark, root, "trades", schema=SEALED).collect()) == [0.0, 1.0, 2.0, 3.0, 5.0]
+    refused = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/_refused").collect()
+    assert [r.error for r in refused] == ["does not fit: price"] and '"price":"much"' in refused[0].row
+
+    def full(df, staging, batch, query):
+        raise OSError("no space left")
+
+    real = capture.stage
+    monkeypatch.setattr(capture, "stage", full)
+    with pytest.raises(Exception, match="no space left"):
+        _capture(spark, f"{root}/in2" if _rows(spark, 6, 8).coalesce(1).write.parquet(f"{root}/in2") is None else "", root, f"{root}/cp2")
+    monkeypatch.setattr(capture, "stage", real)
+    _capture(spark, f"{root}/in2", root, f"{root}/cp2")
+    capture.drain(spark, root, "trades", schema=SEALED)
+    assert catalog.read_family(spark, root, "trades", schema=SEALED).count() == 7
+
+
+def test_an_instrument_defined_after_the_start_is_captured_from_then_on(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    define = lambda id_, ts, n: spark.createDataFrame([(id_, ts)], "instrument_id string, ts_init_ns long").coalesce(1).write.parquet(f"{root}/definitions/{n}")
+    define("A.X", 0, 0)
+    _rows(spark, 0, 10, ("A.X", "B.X")).coalesce(1).write.parquet(f"{root}/in/0")
+    _capture(spark, f"{root}/in", root, f"{root}/cp", definitions=f"{root}/definitions")
+    define("B.X", DAY + 12, 1)
+    _rows(spark, 10, 20, ("A.X", "B.X")).coalesce(1).write.parquet(f"{root}/in/1")
+    _capture(spark, f"{root}/in", root, f"{root}/cp", definitions=f"{root}/definitions")
+    capture.drain(spark, root, "trades", schema=SEALED)
+    back = catalog.read_family(spark, root, "trades", schema=SEALED).collect()
+    assert sorted(r.seq for r in back if r.instrument_id == "A.X") == list(range(0, 20, 2))
+    assert sorted(r.seq for r in back if r.instrument_id == "B.X") == [13, 15, 17, 19]
+
+
+def test_the_first_batch_freezes_a_custom_schema(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    rows = _rows(spark, 0, 5).withColumnRenamed("price", "value")
+    rows.write.parquet(f"{root}/in0")
+    rows.withColumn("more", F.lit("x")).write.parquet(f"{root}/in1")
+    for k in (0, 1, 0):
+        source = spark.read.parquet(f"{root}/in{k}").schema
+        capture.write_custom_stream(spark.readStream.schema(source).parquet(f"{root}/in{k}"), root, "Own", None, f"{root}/cp{k}").awaitTermination(120)
+    frozen = capture.frozen_schema(spark, root, "Own")
+    assert "`value` double" in frozen and "more" not in frozen
+    capture.drain(spark, root, "custom/Own", schema=f"{frozen}, seal_date date")
+    assert spark.read.option("pathGlobFilter", "*.parquet").parquet(f"{root}/custom/Own").count() == 5
+    refused = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/_refused/custom/Own").collect()
+    assert len(refused) == 5 and all('"more":"x"' in r.row and "other columns" in r.error for r in refused)
+
+
 def test_forward_price_log(spark, tmp_path):
     greeks = derived.greeks(spark, SF).withColumn("instrument_id", F.col("instrument_id"))
     greeks.write.parquet(f"file://{tmp_path}/in")
