@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from dataclasses import dataclass, replace
 
 
@@ -47,23 +46,51 @@ def overridden(checks: Checks, **given) -> Checks:
     return replace(checks, **{k: tuple(v) if k == "bar_types" else v for k, v in given.items() if v is not None and v is not False and v != ()})
 
 
-def preset_for(bar_types: Iterable[str] = (), custom_types: Iterable[str] = (), refresh: bool = False, venues: Iterable[str] = (), families: Iterable[str] = ()) -> str:
-    """The preset of a capture with these bars, custom types, venues and option families."""
-    if any(RESEARCH_BARS in t for t in bar_types) or RESEARCH_TYPE in custom_types:
-        return "research"
-    if refresh:
-        return "rolling_autorefresh"
-    if "trades" in families and any(name in v.lower() for v in venues for name in _TRADE_VENUES):
-        return "venue_trades"
-    return "post_capture"
-
-
-def checks_for(bar_types: Iterable[str] = (), custom_types: Iterable[str] = (), refresh: bool = False, venues: Iterable[str] = (), families: Iterable[str] = ()) -> Checks:
-    """The checks of a capture: its preset, its own bar types, and what its families call for."""
-    bar_types, families = tuple(bar_types), tuple(families)
-    checks = PRESETS[preset_for(bar_types, custom_types, refresh, venues, families)]
-    if bar_types:
-        checks = replace(checks, bar_types=bar_types)
-    if "trades" in families:
-        checks = replace(checks, min_perp_trades=max(1, checks.min_perp_trades), min_option_trades=max(1, checks.min_option_trades))
-    return replace(checks, forward_prices=True) if "forward_prices" in families else checks
+@dataclass(frozen=True)
+class Capture:
+    """What a capture's settings say: bar types, custom types, whether universes are refreshed, venues, option families."""
+
+    bar_types: tuple[str, ...] = ()
+    custom_types: tuple[str, ...] = ()
+    refresh: bool = False
+    venues: tuple[str, ...] = ()
+    families: tuple[str, ...] = ()
+
+    def has_bars(self, name: str) -> bool:
+        return any(name in t for t in self.bar_types)
+
+    def on(self, names: tuple[str, ...]) -> bool:
+        return any(name in v.lower() for v in self.venues for name in names)
+
+
+#: The first of these that a capture answers names its preset.
+_CALLS = (
+    ("research", lambda c: c.has_bars(RESEARCH_BARS) or RESEARCH_TYPE in c.custom_types),
+    ("rolling_autorefresh", lambda c: c.refresh),
+    ("venue_trades", lambda c: "trades" in c.families and c.on(_TRADE_VENUES)),
+    ("post_capture", lambda c: True),
+)
+#: What families and bars of a capture add to its preset: at least these values.
+_ADDED = (
+    (lambda c: "trades" in c.families, {"min_perp_trades": 1, "min_option_trades": 1}),
+    (lambda c: "forward_prices" in c.families, {"forward_prices": True}),
+)
+
+
+def _capture(given: dict) -> Capture:
+    return Capture(**{k: v if isinstance(v, bool) else tuple(v) for k, v in given.items()})
+
+
+def preset_for(**given) -> str:
+    """The preset of a capture. given: fields of Capture."""
+    return next(name for name, answers in _CALLS if answers(_capture(given)))
+
+
+def checks_for(**given) -> Checks:
+    """The checks of a capture: its preset, its own bar types, and what its families call for. given: fields of Capture."""
+    capture = _capture(given)
+    checks = PRESETS[preset_for(**given)]
+    for called, least in _ADDED:
+        if called(capture):
+            checks = replace(checks, **{k: max(v, getattr(checks, k)) for k, v in least.items()})
+    return replace(checks, bar_types=capture.bar_types or checks.bar_types)

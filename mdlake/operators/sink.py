@@ -61,10 +61,25 @@ def manifest(written: DataFrame, family: str) -> DataFrame:
     return rows.groupBy("instrument_id", "seal_date", "path").agg(F.count(F.lit(1)).alias("rows"), F.max("bytes").alias("bytes"), F.min("ts_init_ns").alias("min_ts_ns"), F.max("ts_init_ns").alias("max_ts_ns")).select(F.lit(family).alias("family"), "*")
 
 
-def partition_stats(df: DataFrame, keys: tuple[str, ...] = PARTITION) -> DataFrame:
-    """Rows and time range of each partition, with its stable key."""
+def partition_stats(df: DataFrame, keys: tuple[str, ...] = PARTITION, family: str = "trades", kind: str = "Trade") -> DataFrame:
+    """Rows and time range of each partition of rows that are still to be written, with its stable key.
+
+    Of written ones catalog.partition_manifest gives bytes and files too, without reading a column.
+    """
     stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.min("ts_init_ns").alias("min_ts_ns"), F.max("ts_init_ns").alias("max_ts_ns"))
-    return stats.withColumn("stable_key", stable_key(F.lit("trades"), F.lit("Trade"), F.col("instrument_id"), F.lit(None).cast("string")))
+    return stats.withColumn("stable_key", stable_key(F.lit(family), F.lit(kind), F.col("instrument_id"), F.lit(None).cast("string")))
+
+
+def write_limited(df: DataFrame, root: str, family: str, file_rows: int) -> None:
+    """Write partitions as files of at most file_rows rows each."""
+    good, _ = quarantined(df)
+    dated = good if "seal_date" in good.columns else with_seal_date(good).drop("seal_end_ns")
+    dated.repartition(*PARTITION).write.mode("append").option("maxRecordsPerFile", file_rows).partitionBy(*PARTITION).parquet(f"{root}/{family}")
+
+
+def flushes(files: DataFrame, file_rows: int) -> DataFrame:
+    """Files (family, bytes, rows) with the reason of their flush: full, or the end of their window."""
+    return files.select("family", "rows", "bytes", F.when(F.col("rows") >= file_rows, "rows").otherwise("seal").alias("reason"))
 
 
 def disjoint_intervals(batches: DataFrame, key: str, order: str, start: str = "start_ns", end: str = "end_ns", seed: str | None = None) -> DataFrame:
@@ -111,8 +126,11 @@ def capture_metrics(writes: DataFrame, dropped: DataFrame) -> DataFrame:
 
 
 def metrics_ok(metrics: DataFrame) -> DataFrame:
-    """Broken rules of run metrics: dropped rows, or a family that accepted none."""
-    rules = F.array(F.when(F.col("dropped") > 0, F.lit("dropped")), F.when(F.coalesce("accepted", F.lit(0)) <= 0, F.lit("accepted")))
+    """Broken rules of run metrics: dropped rows, a family that accepted none, or, where it is counted, fewer than no active partitions."""
+    rules = [F.when(F.col("dropped") > 0, F.lit("dropped")), F.when(F.coalesce("accepted", F.lit(0)) <= 0, F.lit("accepted"))]
+    if "active" in metrics.columns:
+        rules.append(F.when(F.coalesce("active", F.lit(-1)) < 0, F.lit("active")))
+    rules = F.array(*rules)
     return metrics.select("family", F.explode(F.array_compact(rules)).alias("rule"))
 
 

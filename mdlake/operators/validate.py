@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mdlake.functions.scalars import finite, sample_center
 from mdlake.operators.presets import Checks
-from mdlake.operators.sealing import open_parts
+from mdlake.operators.sealing import exists, open_parts
 
 VIOLATION = "rule string, key string, expected string, actual string"
 
@@ -164,10 +164,80 @@ def validate_readback(universes: DataFrame, families: dict[str, DataFrame], chec
     return all_violations(parts)
 
 
-def no_open_parts(spark: SparkSession, root: str) -> DataFrame:
-    """Open parts that are left under a folder, those of no bytes too."""
+_EXPECTED = "checks string, family string, role string, scope string, least int"
+
+
+def expectations(spark: SparkSession, named: dict[str, Checks]) -> DataFrame:
+    """Checks as a table: checks, family, role, scope, least.
+
+    scope says whose rows count: `each` member of the role, the `best` option of a universe, `some` rows of a
+    universe's options in a log, a bar `type`, or `records` of a universe's lineage.
+    """
+    rows = []
+    for name, c in named.items():
+        own = [("instruments", "any", "each", 1)]
+        if c.skip_options:
+            own.append(("order_book_deltas", "option", "best", c.min_option_deltas))
+        else:
+            own += [(f, "perp", "each", c.min_rows) for f in ("quotes", "mark_prices", "index_prices")] + [(f, "option", "each", c.min_rows) for f in ("quotes", "mark_prices", "option_greeks")]
+            own += [("funding_rate_update", "perp", "each", 1), ("trades", "perp", "each", c.min_perp_trades), ("trades", "option", "best", c.min_option_trades)]
+            own += [(f, "any", "each", int(c.contract_state)) for f in ("instrument_status", "instrument_closes")]
+        own += [("forward_prices", "option", "some", int(c.forward_prices)), ("refresh", "any", "records", int(c.refresh_change))]
+        own += [(t, "any", "type", c.min_rows) for t in c.bar_types]
+        rows += [(name, *r) for r in own if r[-1] > 0]
+    return spark.createDataFrame(rows, _EXPECTED)
+
+
+def validate_manifest(universes: DataFrame, counts: DataFrame, bars: DataFrame, log: DataFrame, records: DataFrame, expected: DataFrame) -> DataFrame:
+    """(checks, rule, key, expected, actual): what a catalog lacks of its expectations, from counts alone.
+
+    universes: universe_id, instrument_id, role; counts: family, instrument_id, rows (from footers); bars: bar_type, rows;
+    log: instrument_id of logged forward prices; records: universe_id, event_kind of the lineage.
+    """
+    members = universes.select("universe_id", "instrument_id", "role").distinct()
+    of = lambda scope: expected.filter(F.col("scope") == scope)
+    by_role = lambda scope: members.join(of(scope).withColumnRenamed("role", "asked"), (F.col("asked") == "any") | (F.col("asked") == F.col("role")))
+    options = members.filter("role = 'option'")
+    every = members.select("universe_id").distinct()
+    n = F.coalesce("rows", F.lit(0)).cast("long")
+
+    def short(rows: DataFrame, rule: Column, key: str) -> DataFrame:
+        found = rows.filter(F.coalesce("rows", F.lit(0)) < F.col("least"))
+        return found.select("checks", rule.alias("rule"), F.col(key).alias("key"), F.col("least").cast("string").alias("expected"), n.cast("string").alias("actual"))
+
+    each = by_role("each").select("checks", "family", "instrument_id", "least").distinct().join(counts, ["family", "instrument_id"], "left")
+    best = by_role("best").join(counts, ["family", "instrument_id"], "left").groupBy("checks", "family", "universe_id", "least").agg(F.max(n).alias("rows"))
+    logged = options.join(log.groupBy("instrument_id").agg(F.count(F.lit(1)).alias("n")), "instrument_id", "left").groupBy("universe_id").agg(F.sum("n").alias("rows"))
+    some = logged.join(of("some"))
+    refreshed = every.join(records.filter("event_kind = 'refresh'").groupBy("universe_id").agg(F.count(F.lit(1)).alias("rows")), "universe_id", "left").join(of("records"))
+    typed = of("type").join(bars, F.col("family") == F.col("bar_type"), "left")
+    return all_violations([
+        short(each, F.concat(F.lit("min_rows:"), "family"), "instrument_id"), short(best, F.concat(F.lit("any:"), "family"), "universe_id"),
+        short(some, F.lit("forward_prices"), "universe_id"), short(refreshed, F.lit("refresh_change"), "universe_id"), short(typed, F.lit("bars"), "family"),
+    ])
+
+
+def inspect(manifest: DataFrame) -> DataFrame:
+    """What a catalog holds, in the columns of a report: instruments, rows and time range of each family."""
+    found = manifest.groupBy("family").agg(F.countDistinct("instrument_id").alias("ids"), F.sum("rows").alias("rows"), F.min("min_ts_ns").alias("low"), F.max("max_ts_ns").alias("high"))
+    lines = F.array(*[F.struct(F.lit(name).alias("rule"), F.col(c).cast("string").alias("actual")) for name, c in (("instruments", "ids"), ("rows", "rows"), ("first_ns", "low"), ("last_ns", "high"))])
+    return _out(found.select("family", F.explode(lines).alias("l")), F.col("l.rule"), F.col("family"), F.lit(None).cast("string"), F.col("l.actual"))
+
+
+def suite(**sections: DataFrame) -> DataFrame:
+    """(section, rule, key, expected, actual): all reports of a validation, such as inspect, lineage, readback and catalog."""
+    return all_violations([report.select(F.lit(name).alias("section"), "rule", "key", "expected", "actual") for name, report in sections.items()])
+
+
+def no_open_parts(spark: SparkSession, root: str, least_sealed: int = 0) -> DataFrame:
+    """Open parts that are left under a folder, those of no bytes too, and fewer sealed files than `least_sealed`."""
     parts = spark.createDataFrame(open_parts(spark, root), "path string, length long")
-    return _out(parts, "open_part", F.col("path"), F.lit(0), F.col("length"))
+    found = _out(parts, "open_part", F.col("path"), F.lit(0), F.col("length"))
+    if not least_sealed:
+        return found
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(root) if exists(spark, root) else spark.createDataFrame([], "path string")
+    sealed = names.select("path").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") < least_sealed)
+    return found.union(_out(sealed, "sealed_files", F.lit(root), F.lit(least_sealed), F.col("n")))
 
 
 def validate_outcome_capture(records: DataFrame, discovered: DataFrame, rows: DataFrame, least: int = 1) -> DataFrame:

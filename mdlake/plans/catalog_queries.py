@@ -67,13 +67,13 @@ def recover(spark: SparkSession, sf: str) -> DataFrame:
     return back.groupBy("instrument_id").agg(F.count(F.lit(1)).alias("rows"), F.min("ts_init_ns").alias("min_ts_ns"), F.max("ts_init_ns").alias("max_ts_ns"))
 
 
-@query("manifest", f"SELECT 'trades' AS family, {_SERIES} AS instrument_id, count(*) AS rows, min(ts_init_ns) AS min_ts_ns, max(ts_init_ns) AS max_ts_ns, true AS has_bytes FROM trades_v GROUP BY 2")
+@query("manifest", f"SELECT 'trades' AS family, {_SERIES} AS instrument_id, count(*) AS rows, min(ts_init_ns) AS min_ts_ns, max(ts_init_ns) AS max_ts_ns, count(DISTINCT {_SEAL_DATE}) AS partitions, true AS has_bytes FROM trades_v GROUP BY 2")
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
-    """Trades written as chunks, and the manifest read from the files."""
+    """Trades written as chunks, and the manifest from the files' footers and sizes."""
     root = scratch(spark, "catalog")
     sink.write_chunk(_by_series(D.trades(spark, sf)), root, "trades")
-    files = sink.manifest(spark.read.schema(TRADE_SCHEMA).parquet(f"{root}/trades"), "trades")
-    return files.groupBy("family", "instrument_id").agg(F.sum("rows").alias("rows"), F.min("min_ts_ns").alias("min_ts_ns"), F.max("max_ts_ns").alias("max_ts_ns"), (F.min("bytes") > 0).alias("has_bytes"))
+    parts = catalog.partition_manifest(spark, root, ["trades"])
+    return parts.groupBy("family", "instrument_id").agg(F.sum("rows").alias("rows"), F.min("min_ts_ns").alias("min_ts_ns"), F.max("max_ts_ns").alias("max_ts_ns"), F.count(F.lit(1)).alias("partitions"), ((F.min("bytes") > 0) & (F.min("files") > 0)).alias("has_bytes"))
 
 
 @query("count_rows", f"SELECT 'quotes' AS family, {_SERIES} AS instrument_id, count(*) AS rows FROM quotes_v GROUP BY 2 UNION ALL SELECT 'trades', {_SERIES}, count(*) FROM trades_v GROUP BY 2")
@@ -103,16 +103,25 @@ def capacity_report(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("instrument_id", "rows", F.round("rows_per_s", 9).alias("rows_per_s"), "groups_per_day", "least_group_rows")
 
 
+_FILE_ROWS = 7
+
+
 @query(
     "capture_metrics",
-    f"""WITH f AS (SELECT CASE WHEN instrument_id LIKE '%-C.%' THEN 'calls' ELSE 'puts' END AS family, count(*) AS rows, count(*) * 40 AS bytes, CASE WHEN count(*) > 3 THEN 'rows' ELSE 'seal' END AS reason FROM trades_hist_v GROUP BY instrument_id, {_SEAL_DATE}, family)
-    SELECT family, sum(rows)::BIGINT AS accepted, count(*) AS files, sum(bytes)::BIGINT AS bytes, count(*) FILTER (WHERE reason = 'rows') AS flush_rows, count(*) FILTER (WHERE reason = 'seal') AS flush_seal, floor(sum(bytes) / count(*))::BIGINT AS mean_file_bytes, 0::BIGINT AS dropped FROM f GROUP BY ROLLUP (family)""",
+    f"""WITH t AS (SELECT CASE WHEN instrument_id LIKE '%-C.%' THEN 'calls' ELSE 'puts' END AS family, {_SERIES} AS series, {_SEAL_DATE} AS day FROM trades_v), f AS (SELECT family, count(*) AS n FROM t GROUP BY family, series, day)
+    SELECT family, sum(n)::BIGINT AS accepted, sum(ceil(n / {_FILE_ROWS}))::BIGINT AS files, sum(n // {_FILE_ROWS})::BIGINT AS flush_rows, count(*) FILTER (WHERE n % {_FILE_ROWS} > 0) AS flush_seal, true AS has_bytes, true AS mean_fits, 0::BIGINT AS dropped FROM f GROUP BY ROLLUP (family)""",
 )
 def capture_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    family = F.when(F.col("instrument_id").like("%-C.%"), "calls").otherwise("puts")
-    writes = _files(spark, sf).select(family.alias("family"), "rows", (F.col("rows") * 40).alias("bytes"), F.when(F.col("rows") > 3, "rows").otherwise("seal").alias("reason"))
-    dropped = sink.quarantined(_histories(spark, sf))[1].groupBy(family.alias("family")).agg(F.count(F.lit(1)).alias("n"))
-    return sink.capture_metrics(writes, dropped).select("family", "accepted", "files", "bytes", "flush_rows", "flush_seal", "mean_file_bytes", "dropped")
+    """Trades of calls and puts in files of a few rows; files, bytes and rows are those that were written."""
+    root = scratch(spark, "catalog")
+    rows, names = D.trades(spark, sf), {"calls": "instrument_id LIKE '%-C.%'", "puts": "NOT instrument_id LIKE '%-C.%'"}
+    for family, which in names.items():
+        sink.write_limited(_by_series(rows.filter(which)), root, family, _FILE_ROWS)
+    files = catalog.file_sizes(spark, root, "calls").union(catalog.file_sizes(spark, root, "puts"))
+    dropped = sink.quarantined(rows)[1].groupBy(F.lit("calls").alias("family")).agg(F.count(F.lit(1)).alias("n"))
+    found = sink.capture_metrics(sink.flushes(files, _FILE_ROWS), dropped)
+    fits = (F.col("mean_file_bytes") * F.col("files") <= F.col("bytes")) & ((F.col("mean_file_bytes") + 1) * F.col("files") > F.col("bytes"))
+    return found.select("family", "accepted", "files", "flush_rows", "flush_seal", (F.col("bytes") > F.col("files")).alias("has_bytes"), fits.alias("mean_fits"), "dropped")
 
 
 @query(
@@ -278,6 +287,104 @@ def validate_skipping_options(spark: SparkSession, sf: str) -> DataFrame:
     return validate.validate_readback(_roles(spark, sf), families, checks)
 
 
+def _small_catalog(spark: SparkSession, sf: str) -> tuple[str, list[str]]:
+    """A catalog by series and month that lacks something of every kind, some families under their other names."""
+    root = scratch(spark, "catalog")
+    series = F.substring_index("instrument_id", "-", 2)
+    month = F.trunc(F.timestamp_micros(S.whole(F.col("ts_init_ns"), 1000)).cast("date"), "month")
+    quotes, trades, greeks = (f(spark, sf).select(series.alias("instrument_id"), "ts_init_ns", "seq", month.alias("seal_date")) for f in (D.quotes, D.trades, D.greeks))
+    perps = quotes.filter("instrument_id LIKE '%-PERPETUAL.%'")
+    families = {
+        "instruments": quotes.filter("instrument_id NOT LIKE 'ETH-E2%'").groupBy("instrument_id", "seal_date").agg(F.min("ts_init_ns").alias("ts_init_ns"), F.min("seq").alias("seq")).select("instrument_id", "ts_init_ns", "seq", "seal_date"),
+        "quotes": quotes,
+        "mark_prices": quotes.filter("instrument_id NOT LIKE 'SOL-P%'"),
+        "index_prices": perps.filter("instrument_id NOT LIKE 'SOL-%'"),
+        "funding_rates": perps.filter("seq % 8 = 0"),
+        "trades": trades.filter("instrument_id NOT LIKE 'ETH-%'"),
+        "book_deltas": trades.filter("instrument_id LIKE 'BTC-%'"),
+        "option_greeks": greeks.filter("instrument_id NOT LIKE 'BTC-E0%'"),
+        "instrument_status": perps,
+    }
+    for name, rows in families.items():
+        rows.repartition("instrument_id", "seal_date").write.partitionBy("instrument_id", "seal_date").parquet(f"{root}/{name}")
+    return root, ["instruments", "quotes", "mark_prices", "index_prices", "funding_rate_update", "trades", "order_book_deltas", "option_greeks", "instrument_status", "instrument_closes"]
+
+
+_SMALL = f"""q AS (SELECT {_SERIES} AS instrument_id, ts_init_ns, seq FROM quotes_v), t AS (SELECT {_SERIES} AS instrument_id, ts_init_ns FROM trades_v), g AS (SELECT {_SERIES} AS instrument_id, ts_init_ns FROM greeks_v),
+rows AS (SELECT 'instruments' AS family, instrument_id, min(ts_init_ns) AS ts FROM q WHERE instrument_id NOT LIKE 'ETH-E2%' GROUP BY instrument_id, date_trunc('month', make_timestamp((ts_init_ns // 1000)::BIGINT)) UNION ALL SELECT 'quotes', instrument_id, ts_init_ns FROM q
+  UNION ALL SELECT 'mark_prices', instrument_id, ts_init_ns FROM q WHERE instrument_id NOT LIKE 'SOL-P%' UNION ALL SELECT 'index_prices', instrument_id, ts_init_ns FROM q WHERE instrument_id LIKE '%-PERPETUAL.%' AND instrument_id NOT LIKE 'SOL-%'
+  UNION ALL SELECT 'funding_rate_update', instrument_id, ts_init_ns FROM q WHERE instrument_id LIKE '%-PERPETUAL.%' AND seq % 8 = 0 UNION ALL SELECT 'trades', instrument_id, ts_init_ns FROM t WHERE instrument_id NOT LIKE 'ETH-%'
+  UNION ALL SELECT 'order_book_deltas', instrument_id, ts_init_ns FROM t WHERE instrument_id LIKE 'BTC-%' UNION ALL SELECT 'option_greeks', instrument_id, ts_init_ns FROM g WHERE instrument_id NOT LIKE 'BTC-E0%' UNION ALL SELECT 'instrument_status', instrument_id, ts_init_ns FROM q WHERE instrument_id LIKE '%-PERPETUAL.%'),
+n AS (SELECT family, instrument_id, count(*) AS n FROM rows GROUP BY 1, 2),
+m AS (SELECT DISTINCT split_part(instrument_id, '-', 1) AS universe_id, {_SERIES} AS instrument_id, 'option' AS role FROM options_v UNION ALL SELECT DISTINCT split_part(instrument_id, '-', 1), instrument_id, 'perp' FROM q WHERE instrument_id LIKE '%-PERPETUAL.%')"""
+
+CHECK_SETS = {
+    "plain": presets.checks_for(venues=["DERIBIT"], families=["quotes"]),
+    "trades": presets.checks_for(venues=["OKX-1"], families=["trades"]),
+    "forward": presets.checks_for(families=["forward_prices"]),
+    "refresh": presets.Checks(refresh_change=True),
+    "state": presets.Checks(contract_state=True, min_rows=40),
+    "deltas": presets.overridden(presets.PRESETS["book_deltas_smoke"], min_option_deltas=3),
+    "bars": presets.overridden(presets.PRESETS["bars_smoke"], bar_types=("BTC-PERPETUAL.DERIBIT-1-DAY-BID", "SOL-PERPETUAL.DERIBIT-1-DAY-BID")),
+}
+
+
+@query(
+    "validate_manifest",
+    f"""WITH {_SMALL},
+    sets(checks, least) AS (VALUES ('plain', 1), ('trades', 1), ('forward', 1), ('refresh', 1), ('state', 40), ('deltas', NULL), ('bars', NULL)),
+    want AS (SELECT checks, 'instruments' AS family, 'any' AS role, 1 AS least FROM sets UNION ALL SELECT checks, f, r, least FROM sets, (VALUES ('quotes', 'perp'), ('mark_prices', 'perp'), ('index_prices', 'perp'), ('quotes', 'option'), ('mark_prices', 'option'), ('option_greeks', 'option')) x(f, r) WHERE least IS NOT NULL
+      UNION ALL SELECT checks, 'funding_rate_update', 'perp', 1 FROM sets WHERE least IS NOT NULL UNION ALL VALUES ('trades', 'trades', 'perp', 1), ('state', 'instrument_status', 'any', 1), ('state', 'instrument_closes', 'any', 1)),
+    best(checks, family, least) AS (VALUES ('trades', 'trades', 1), ('deltas', 'order_book_deltas', 3)),
+    d AS (SELECT underlying, row_number() OVER (PARTITION BY underlying ORDER BY now_ns) AS i FROM requests_v)
+    SELECT checks, 'min_rows:' || w.family AS rule, m.instrument_id AS key, least::VARCHAR AS expected, coalesce(n, 0)::VARCHAR AS actual FROM want w JOIN m ON w.role IN ('any', m.role) LEFT JOIN n ON n.family = w.family AND n.instrument_id = m.instrument_id WHERE coalesce(n, 0) < least
+    UNION ALL SELECT checks, 'any:' || b.family, universe_id, any_value(least)::VARCHAR, max(coalesce(n, 0))::VARCHAR FROM best b CROSS JOIN m LEFT JOIN n ON n.family = b.family AND n.instrument_id = m.instrument_id WHERE m.role = 'option' GROUP BY checks, b.family, universe_id HAVING max(coalesce(n, 0)) < any_value(least)
+    UNION ALL SELECT 'forward', 'forward_prices', universe_id, '1', '0' FROM m WHERE role = 'option' GROUP BY universe_id HAVING count(*) FILTER (WHERE instrument_id IN (SELECT instrument_id FROM g WHERE instrument_id LIKE 'BTC-%')) = 0
+    UNION ALL SELECT 'refresh', 'refresh_change', universe_id, '1', '0' FROM (SELECT DISTINCT universe_id FROM m) WHERE universe_id NOT IN (SELECT underlying FROM d WHERE i > 1 AND i % 5 = 0 AND underlying <> 'SOL')
+    UNION ALL SELECT 'bars', 'bars', 'SOL-PERPETUAL.DERIBIT-1-DAY-BID', '1', '0'""",
+)
+def validate_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Seven sets of checks against one catalog, by footers, a forward-price log and the refreshes of universes; each switch asks for rows that some lack."""
+    root, families = _small_catalog(spark, sf)
+    counts = catalog.count_rows(spark, root, families)
+    options = D.options(spark, sf).select(F.col("underlying").alias("universe_id"), F.substring_index("instrument_id", "-", 2).alias("instrument_id"), F.lit("option").alias("role")).distinct()
+    perps = counts.filter("family = 'quotes' AND instrument_id LIKE '%-PERPETUAL.%'").select(F.substring_index("instrument_id", "-", 1).alias("universe_id"), "instrument_id", F.lit("perp").alias("role"))
+    log = f"{root}/forward_prices"
+    sink.write_forward_prices(_by_series(D.greeks(spark, sf).filter("instrument_id LIKE 'BTC-%'")), log)
+    place = Window.partitionBy("underlying").orderBy("now_ns")
+    records = D.requests(spark, sf).select(F.col("underlying").alias("universe_id"), F.row_number().over(place).alias("i")).filter("i = 1 OR (i % 5 = 0 AND universe_id <> 'SOL')").select("universe_id", F.when(F.col("i") == 1, "startup").otherwise("refresh").alias("event_kind"))
+    bars = D.quotes(spark, sf).filter("instrument_id LIKE 'BTC-PERPETUAL.%'").groupBy(F.concat("instrument_id", F.lit("-1-DAY-BID")).alias("bar_type")).agg(F.count(F.lit(1)).alias("rows"))
+    return validate.validate_manifest(options.union(perps), counts, bars, catalog.read_forward_prices(spark, log), records, validate.expectations(spark, CHECK_SETS))
+
+
+@query(
+    "inspect_catalog",
+    f"""WITH {_SMALL}, f AS (SELECT family, count(DISTINCT instrument_id) AS ids, count(*) AS n, min(ts) AS low, max(ts) AS high FROM rows GROUP BY 1)
+    SELECT 'inspect' AS section, 'instruments' AS rule, family AS key, NULL::VARCHAR AS expected, ids::VARCHAR AS actual FROM f UNION ALL SELECT 'inspect', 'rows', family, NULL, n::VARCHAR FROM f UNION ALL SELECT 'inspect', 'first_ns', family, NULL, low::VARCHAR FROM f UNION ALL SELECT 'inspect', 'last_ns', family, NULL, high::VARCHAR FROM f
+    UNION ALL SELECT 'catalog', 'min_rows:trades', instrument_id, '1', '0' FROM m WHERE role = 'option' AND instrument_id NOT IN (SELECT instrument_id FROM n WHERE family = 'trades')""",
+)
+def inspect_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """What a catalog holds and what it lacks of trades, as sections of one report."""
+    root, families = _small_catalog(spark, sf)
+    found = catalog.partition_manifest(spark, root, families)
+    options = D.options(spark, sf).select(F.lit("trades").alias("family"), F.substring_index("instrument_id", "-", 2).alias("instrument_id"), F.lit(1).alias("least")).distinct()
+    return validate.suite(inspect=validate.inspect(found), catalog=validate.min_rows(options, catalog.count_rows(spark, root, ["trades"])))
+
+
+@query(
+    "readback_families",
+    f"""WITH {_SMALL}, b AS (SELECT instrument_id, ts_init_ns // 86400000000000 AS day FROM q WHERE instrument_id LIKE '%-PERPETUAL.%')
+    SELECT family, instrument_id AS key, n AS rows FROM n UNION ALL SELECT 'bars', instrument_id || '-1-DAY-BID', count(DISTINCT day) FROM b GROUP BY instrument_id""",
+)
+def readback_families(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of every family by instrument, of bars by bar type."""
+    root, families = _small_catalog(spark, sf)
+    perps = D.quotes(spark, sf).filter("instrument_id LIKE '%-PERPETUAL.%'")
+    bars = perps.select(F.concat("instrument_id", F.lit("-1-DAY-BID")).alias("instrument_id"), S.whole(F.col("ts_init_ns"), D.DAY_NS).alias("day")).distinct()
+    counts = catalog.count_rows(spark, root, families).union(validate.family_counts(bars, "bars"))
+    return counts.select("family", F.col("instrument_id").alias("key"), "rows")
+
+
 @query(
     "contract_state",
     """WITH s AS (SELECT 'I' || (user_id % 50) AS instrument_id, 'I' || (event_id % 50) AS partition_id, event_id, event_type FROM events WHERE event_type IN ('signup', 'error')),

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 
 _EVENT = "ts_event_ns bigint, ts_init_ns bigint, seq bigint, instrument_id string, seal_date date"
@@ -91,33 +96,77 @@ def read_listings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("snapshot_id"), F.col("value").alias("payload"))
 
 
+@contextmanager
+def _aggregating(spark: SparkSession) -> Iterator[None]:
+    """Parquet frames made inside are of the second data source version, which can answer aggregates from footers."""
+    settings = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+_PLACED = "ts_init_ns bigint, instrument_id string, seal_date date"
+
+
+def read_footers(spark: SparkSession, root: str, family: str) -> DataFrame:
+    """(family, instrument_id, seal_date, rows, min_ts_ns, max_ts_ns) of a family's sealed files, from their footers alone."""
+    path = resolve_family_dir(spark, root, family)
+    if path is None:
+        return spark.createDataFrame([], "family string, instrument_id string, seal_date date, rows bigint, min_ts_ns bigint, max_ts_ns bigint")
+    with _aggregating(spark):
+        files = spark.read.schema(_PLACED).option("pathGlobFilter", "*.parquet").parquet(path)
+    found = files.groupBy("instrument_id", "seal_date").agg(F.count(F.lit(1)).alias("rows"), F.min("ts_init_ns").alias("min_ts_ns"), F.max("ts_init_ns").alias("max_ts_ns"))
+    return found.select(F.lit(family).alias("family"), "*")
+
+
+def file_sizes(spark: SparkSession, root: str, family: str) -> DataFrame:
+    """(family, instrument_id, seal_date, path, bytes, rows) of each sealed file; no column is read."""
+    path = resolve_family_dir(spark, root, family)
+    if path is None:
+        return spark.createDataFrame([], "family string, instrument_id string, seal_date date, path string, bytes bigint, rows bigint")
+    files = spark.read.schema(_PLACED).option("pathGlobFilter", "*.parquet").parquet(path)
+    by_file = files.groupBy("instrument_id", "seal_date", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).agg(F.count(F.lit(1)).alias("rows"))
+    return by_file.select(F.lit(family).alias("family"), "instrument_id", "seal_date", "path", "bytes", "rows")
+
+
+def partition_manifest(spark: SparkSession, root: str, families: list[str]) -> DataFrame:
+    """(family, instrument_id, seal_date, files, bytes, rows, min_ts_ns, max_ts_ns) of every sealed partition, without its columns."""
+    keys = ["family", "instrument_id", "seal_date"]
+    sizes = reduce(DataFrame.union, [file_sizes(spark, root, f) for f in families]).groupBy(*keys).agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+    return sizes.join(reduce(DataFrame.union, [read_footers(spark, root, f) for f in families]), keys)
+
+
 def count_rows(spark: SparkSession, root: str, families: list[str]) -> DataFrame:
-    """(family, instrument_id, rows) of every sealed file; only partition values are read, no data column."""
-    parts = []
-    for family in families:
-        if path := resolve_family_dir(spark, root, family):
-            df = spark.read.schema(SCHEMAS.get(family, _EVENT)).option("pathGlobFilter", "*.parquet").parquet(path)
-            parts.append(df.groupBy("instrument_id").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(family).alias("family"), "instrument_id", "rows"))
-    out = spark.createDataFrame([], "family string, instrument_id string, rows bigint")
-    for part in parts:
-        out = out.union(part)
-    return out
+    """(family, instrument_id, rows) of every sealed file, by footers; the first existing name of a family is taken."""
+    found = reduce(DataFrame.union, [read_footers(spark, root, f) for f in families])
+    return found.groupBy("family", "instrument_id").agg(F.sum("rows").alias("rows"))
 
 
 def list_families(spark: SparkSession, root: str) -> DataFrame:
-    """(family, instrument_id) present in the catalog."""
-    return count_rows(spark, root, list(SCHEMAS)).select("family", "instrument_id")
+    """(family, instrument_id) present in the catalog, by the names of its partitions."""
+    there = [(f, p) for f in SCHEMAS if (p := resolve_family_dir(spark, root, f))]
+    parts = [spark.read.schema("instrument_id string, seal_date date").option("pathGlobFilter", "*.parquet").parquet(p).select(F.lit(f).alias("family"), "instrument_id").distinct() for f, p in there]
+    return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], "family string, instrument_id string")
+
+
+def _without(spark: SparkSession, schema: str, *names: str) -> StructType:
+    return StructType([f for f in spark.createDataFrame([], schema).schema if f.name not in names])
 
 
 def stream_family(spark: SparkSession, path: str, family: str, files_per_trigger: int = 100) -> DataFrame:
     """A family's landed files as a stream."""
-    return spark.readStream.schema(SCHEMAS[family].replace(", seal_date date", "")).option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+    return spark.readStream.schema(_without(spark, SCHEMAS[family], "seal_date")).option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
 def stream_snapshots(spark: SparkSession, path: str, type_name: str) -> DataFrame:
     """Landed poll responses (JSON documents with an array `rows`) of a custom type as a stream of rows."""
-    schema = f"identifier string, rows array<struct<{CUSTOM_SCHEMAS[type_name]}, instrument_id string, ts_event_ns bigint, ts_init_ns bigint, seq bigint>>".replace(" string", ":string").replace(" double", ":double").replace(" bigint", ":bigint")
-    schema = schema.replace("identifier:string, rows ", "identifier string, rows ")
+    rows = _without(spark, f"{CUSTOM_SCHEMAS[type_name]}, {_EVENT}", "seal_date")
+    schema = StructType([StructField("identifier", StringType()), StructField("rows", ArrayType(rows))])
     return spark.readStream.schema(schema).json(path).select("identifier", F.inline("rows"))
 
 

@@ -178,3 +178,29 @@ def test_contract_state_may_be_absent_but_not_wrong(spark):
     assert [(r.rule, r.key) for r in validate.contract_state(states, members, "instrument_closes", required=False).collect()] == [("ascending:instrument_closes", "a")]
     assert sorted(r.rule for r in validate.contract_state(states, members, "s").collect()) == ["ascending:s", "state:s"]
     assert validate.contract_state(members.limit(0), members, "s", required=False).count() == 0
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    sink.write_chunk(trades(spark, 50), root, "trades")
+    footers, sizes = catalog.read_footers(spark, root, "trades"), catalog.file_sizes(spark, root, "trades")
+    plan = footers._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(ts_init_ns), MAX(ts_init_ns)]" in plan and "PushedGroupBy: [instrument_id, seal_date]" in plan
+    assert "ReadSchema: struct<>" in sizes._jdf.queryExecution().executedPlan().toString()
+    assert "V1" not in spark.conf.get("spark.sql.sources.useV1SourceList", "") and "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+    files = glob.glob(f"{tmp_path}/trades/*/*/*.parquet")
+    parts = catalog.partition_manifest(spark, root, ["trades", "quotes"]).collect()
+    assert sum(r.files for r in parts) == len(files) and sum(r.bytes for r in parts) == sum(map(os.path.getsize, files)) and sum(r.rows for r in parts) == 50
+    assert (min(r.min_ts_ns for r in parts), max(r.max_ts_ns for r in parts)) == (START, START + 49 * DAY // 8)
+    assert validate.no_open_parts(spark, root, least_sealed=1).count() == 0
+    assert [(r.rule, r.actual) for r in validate.no_open_parts(spark, f"{root}/quotes", least_sealed=2).collect()] == [("sealed_files", "0")]
+
+
+def test_files_of_a_few_rows(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    sink.write_limited(trades(spark, 20).withColumn("seal_date", F.lit("2026-06-21").cast("date")), root, "trades", 4)
+    files = catalog.file_sizes(spark, root, "trades")
+    found = sink.capture_metrics(sink.flushes(files, 4), spark.createDataFrame([], "family string, n long")).filter("family IS NULL").first()
+    assert (found.accepted, found.files, found.flush_rows, found.flush_seal) == (20, 6, 4, 2) and found.bytes == sum(map(os.path.getsize, glob.glob(f"{tmp_path}/trades/*/*/*.parquet")))
+    active = spark.createDataFrame([("q", 5, 0, -1), ("r", 5, 0, 0), ("s", 5, 0, None)], "family string, accepted long, dropped long, active long")
+    assert sorted((r.family, r.rule) for r in sink.metrics_ok(active).collect()) == [("q", "active"), ("s", "active")]
