@@ -8,12 +8,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-#: Nanosecond arithmetic and day windows assume UTC; description maps keep the last of repeated keys.
+#: Nanosecond arithmetic and day windows assume UTC; description maps keep the last of repeated keys; counts and times of
+#: second-version Parquet frames come from footers.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 

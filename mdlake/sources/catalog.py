@@ -98,16 +98,14 @@ def read_listings(spark: SparkSession, path: str) -> DataFrame:
 
 @contextmanager
 def _aggregating(spark: SparkSession) -> Iterator[None]:
-    """Parquet frames made inside are of the second data source version, which can answer aggregates from footers."""
-    settings = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
+    """Parquet frames made inside are of the second data source version, which answers aggregates from footers (see SETTINGS)."""
+    key = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "")
     try:
         yield
     finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        spark.conf.set(key, before)
 
 
 _PLACED = "ts_init_ns bigint, instrument_id string, seal_date date"

@@ -187,7 +187,7 @@ def test_counts_come_from_footers(spark, tmp_path):
     plan = footers._jdf.queryExecution().executedPlan().toString()
     assert "PushedAggregation: [COUNT(*), MIN(ts_init_ns), MAX(ts_init_ns)]" in plan and "PushedGroupBy: [instrument_id, seal_date]" in plan
     assert "ReadSchema: struct<>" in sizes._jdf.queryExecution().executedPlan().toString()
-    assert "V1" not in spark.conf.get("spark.sql.sources.useV1SourceList", "") and "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
     files = glob.glob(f"{tmp_path}/trades/*/*/*.parquet")
     parts = catalog.partition_manifest(spark, root, ["trades", "quotes"]).collect()
     assert sum(r.files for r in parts) == len(files) and sum(r.bytes for r in parts) == sum(map(os.path.getsize, files)) and sum(r.rows for r in parts) == 50
