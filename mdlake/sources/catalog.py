@@ -112,12 +112,17 @@ _PLACED = "ts_init_ns bigint, instrument_id string, seal_date date"
 
 
 def read_footers(spark: SparkSession, root: str, family: str) -> DataFrame:
-    """(family, instrument_id, seal_date, rows, min_ts_ns, max_ts_ns) of a family's sealed files, from their footers alone."""
+    """(family, instrument_id, seal_date, rows, min_ts_ns, max_ts_ns) of a family's sealed files, from their footers alone.
+
+    Footers are read by the place of a column, so a family's files must have their columns in one order, as the writers
+    of this library give them; the schema is that of a file.
+    """
     path = resolve_family_dir(spark, root, family)
     if path is None:
         return spark.createDataFrame([], "family string, instrument_id string, seal_date date, rows bigint, min_ts_ns bigint, max_ts_ns bigint")
     with _aggregating(spark):
-        files = spark.read.schema(_PLACED).option("pathGlobFilter", "*.parquet").parquet(path)
+        files = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+    files = files.withColumns({"instrument_id": F.col("instrument_id").cast("string"), "seal_date": F.col("seal_date").cast("date")})
     found = files.groupBy("instrument_id", "seal_date").agg(F.count(F.lit(1)).alias("rows"), F.min("ts_init_ns").alias("min_ts_ns"), F.max("ts_init_ns").alias("max_ts_ns"))
     return found.select(F.lit(family).alias("family"), "*")
 
