@@ -30,6 +30,7 @@ one, judges rows without an id like others (they come last), and leaves texts wi
 from __future__ import annotations
 
 import itertools
+import uuid
 import math
 from collections.abc import Iterator
 
@@ -247,24 +248,30 @@ def shard_stars(values: np.ndarray, starts: np.ndarray, radius: int) -> np.ndarr
 
 
 def _shards(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
-    """Columns of whole shards, from batches sorted by their first `keys` columns."""
-    held = None
-    for batch in itertools.chain(batches, [None]):
-        if batch is not None:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            held = columns if held is None else [np.concatenate(x) for x in zip(held, columns, strict=True)]
-            if not len(held[0]):
-                continue
-            # The last shard may go on in the next batch.
-            other = np.zeros(len(held[0]), bool)
-            for c in held[:keys]:
-                other |= c != c[-1]
-            cut = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
-        else:
-            cut = len(held[0]) if held is not None else 0
-        if cut:
-            yield [c[:cut] for c in held]
-            held = [c[cut:] for c in held]
+    """Columns of whole shards, from batches sorted by their first `keys` columns; a long shard is joined once."""
+    held: list[list[np.ndarray]] = []
+
+    def whole() -> list[np.ndarray]:
+        return [np.concatenate(c) for c in zip(*held, strict=True)]
+
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if not len(columns[0]):
+            continue
+        # The last shard may go on in the next batch; what came before it is whole.
+        other = np.zeros(len(columns[0]), bool)
+        for c in columns[:keys]:
+            other |= c != c[-1]
+        cut = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+        if held and (cut or any(c[0] != h[-1] for c, h in zip(columns[:keys], held[-1], strict=False))):
+            held.append([c[:cut] for c in columns])
+            yield whole()
+            held = []
+        elif cut:
+            yield [c[:cut] for c in columns]
+        held.append([c[cut:] for c in columns])
+    if held:
+        yield whole()
 
 
 def _starts(keys: list[np.ndarray]) -> np.ndarray:
@@ -302,8 +309,11 @@ def near_groups(docs: DataFrame, radius: int = 3, size: int = 3, id_col: str = "
     """(doc_id, fingerprint, component_id): the smallest doc_id that each row reaches through links within the radius."""
     rows = park(fingerprints(docs, size, id_col, text_col), "simhash")
     reps = rows.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    linked = connected_components(link_fingerprints(reps.filter("rep IS NOT NULL"), radius))
-    classes = reps.join(linked, reps["rep"] == linked["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+    # Fingerprints are linked, not ids: those of rows without an id connect others too.
+    linked = connected_components(link_fingerprints(reps.select("fp", F.col("fp").alias("rep")), radius))
+    rooted = reps.join(linked, reps["fp"] == linked["node"], "left").select("fp", "rep", F.coalesce("component", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    classes = rooted.join(least, "root").select("fp", "component_id")
     return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -402,6 +412,7 @@ def similar_pairs(docs: DataFrame, similarity: float = NEAR_SIMILARITY, size: in
 def drop_near_copies(docs: DataFrame, similarity: float = NEAR_SIMILARITY, size: int = NEAR_SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay: of each group of similar texts the document with the smallest id."""
     groups = connected_components(similar_pairs(docs, similarity, size, id_col, text_col))
-    gone = park(groups.filter("node <> component").select(F.col("node.id").alias("__id"), F.col("node.hash").alias("__hash")), "near-copies")
-    own = (F.coalesce(docs[id_col].cast("long"), F.lit(_LAST)) == F.col("__id")) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("__hash"))
+    id_, hash_ = (f"{name}_{uuid.uuid4().hex}" for name in ("id", "hash"))
+    gone = park(groups.filter("node <> component").select(F.col("node.id").alias(id_), F.col("node.hash").alias(hash_)), "near-copies")
+    own = (F.coalesce(docs[id_col].cast("long"), F.lit(_LAST)) == F.col(id_)) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col(hash_))
     return docs.join(bounded(gone, 1 << 20), own, "left_anti")

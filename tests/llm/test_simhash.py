@@ -135,3 +135,30 @@ def test_near_copies_of_a_large_group_and_of_short_texts(spark):
     assert sorted(r.doc_id for r in left.collect()) == [10, *range(500, 540), 700, 702, 703, 704, 705]
     assert drop_near_copies(docs.limit(0)).count() == 0
     assert signature(None) == (0, []) and len(signature("a")[1]) == module.BANDS
+
+
+def test_rows_without_an_id_connect_others(spark, monkeypatch):
+    """Fingerprints 0, 7 and 63 are a chain over a row without an id."""
+    rows = [(1, 0), (None, 7), (2, 63), (None, 0xFFFFF00000), (None, 0xFFFFF00001)]
+    monkeypatch.setattr(module, "fingerprints", lambda *_: spark.createDataFrame(rows, "doc_id long, fp long"))
+    got = module.near_groups(spark.createDataFrame([], "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, int(r.fingerprint, 16), r.component_id) for r in got), key=lambda r: r[1]) == [(1, 0, 1), (None, 7, 1), (2, 63, 1), (None, 0xFFFFF00000, None), (None, 0xFFFFF00001, None)]
+
+
+def test_helper_names_do_not_clash(spark):
+    text = " ".join(WORDS) + " tail"
+    docs = spark.createDataFrame([(1, text), (2, text + " end"), (3, "else altogether here")], "doc_id long, text string").selectExpr("*", "1 AS __id", "2 AS __hash", "3 AS id", "4 AS node")
+    kept = module.drop_near_copies(docs)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {1, 3}
+
+
+def test_long_shards_over_many_batches():
+    import pyarrow as pa
+
+    shard = np.sort(np.random.default_rng(4).choice([1, 2, 2, 2, 2, 5, 6], 5000))
+    other = np.arange(5000)
+    batches = [pa.RecordBatch.from_arrays([pa.array(shard[a : a + 37]), pa.array(other[a : a + 37])], names=["s", "o"]) for a in range(0, 5000, 37)]
+    got = list(module._shards(iter(batches), 1))
+    assert all((np.diff(np.concatenate([g[k] for g in got])) >= 0).all() for k in (0, 1)) and sum(len(g[0]) for g in got) == 5000
+    ends = [set(g[0].tolist()) for g in got]
+    assert all(not a & b for i, a in enumerate(ends) for b in ends[i + 1 :])
