@@ -13,8 +13,8 @@ sent to the texts, beyond that both are shuffled.
 
 A document's perplexity is smoothed by PRIOR symbols at the model's own entropy, so that a few words can't look
 bad by chance. It is kept up to the QUANTILE of its language's trusted documents. Those are held out: a quarter of
-the trusted rows, by a checksum of their id, aren't counted and set the thresholds. A language with fewer than
-MIN_HELD_OUT such rows doesn't know its own quantile well, and takes that of all languages where it is larger.
+the trusted rows, by a checksum of their id, aren't counted and set the thresholds, each language's its own, however
+few its held-out rows are.
 
 Defined cases: null and empty texts have the prior's perplexity. Rows without a language form a group of their
 own; a language without trusted documents takes the quantile of all trusted ones, and where none is held out that of
@@ -42,7 +42,6 @@ BITS, ORDER = 6, 3
 SYMBOLS = 1 << BITS
 QUANTILE = 0.995
 PRIOR = 100
-MIN_HELD_OUT = 200
 #: Trusted ids (8 bytes each) up to which they are broadcast.
 BROADCAST_IDS = 1 << 20
 #: Length of the n-grams of the sharded model, and how many of them a task holds of it at most, about.
@@ -384,8 +383,7 @@ def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", lang_c
     apart = good.filter(held_out(F.col("doc_id")))
     overall = apart.agg(bound).first()[0] or good.agg(bound).first()[0]
     overall = F.lit(overall).cast("double")
-    own = F.when(F.count(F.lit(1)) >= MIN_HELD_OUT, bound).otherwise(F.greatest(bound, overall))
-    by_lang = apart.groupBy(F.col("lang").alias("of")).agg(own.alias("threshold"))
+    by_lang = apart.groupBy(F.col("lang").alias("of")).agg(bound.alias("threshold"))
     marked = scores.join(by_lang, F.col("lang").eqNullSafe(F.col("of")), "left")
     threshold = F.coalesce("threshold", overall)
     return marked.select("doc_id", "lang", "perplexity", threshold.alias("threshold"), F.coalesce(F.col("perplexity") <= threshold, F.lit(True)).alias("kept"))

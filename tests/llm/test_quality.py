@@ -103,10 +103,11 @@ def test_query_matches_brute_force(spark):
             aside.setdefault(d.lang, []).append(want[d.doc_id])
     every = [x for own in aside.values() for x in own]
     at = lambda xs: sorted(xs)[math.ceil(quality.QUANTILE * len(xs)) - 1]
+    assert len({at(own) for own in aside.values()}) == len(aside) >= 4  # every language has a threshold of its own
     got = queries.op2(spark, sf).collect()
     assert len(got) == len(docs)
     for r in got:
-        bound = max(at(aside[r.lang]), at(every)) if r.lang in aside else at(every)
+        bound = at(aside.get(r.lang, every))
         assert r.perplexity == pytest.approx(want[r.doc_id], rel=1e-4) and r.threshold == pytest.approx(bound, rel=1e-4)
         assert r.kept == (r.perplexity <= r.threshold)
 
