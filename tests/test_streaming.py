@@ -8,7 +8,7 @@ from mdlake.operators.lineage import smooth_strikes
 from mdlake.plans.catalog_queries import surface_events
 from mdlake.sources import catalog, derived
 from mdlake.streaming import capture
-from mdlake.streaming.online_metrics import EVENTS, Surface, option_metrics_stream, replay_option_metrics
+from mdlake.streaming.online_metrics import EVENTS, StoredMembers, Surface, option_metrics_stream, replay_option_metrics
 from mdlake.streaming.smoothing import RESOLUTIONS, smooth_strikes_stream
 
 SF = "/root/testdata/sf0.001"
@@ -37,6 +37,68 @@ def test_surface_golden():
     assert s.take("quote", "PERP", None, None, 1.0, 2.0, None, None, 40, 10) is None
 
 
+class FakeMap(dict):
+    """A map state that counts what is read and written."""
+
+    def __init__(self):
+        super().__init__()
+        self.reads, self.writes = [], []
+
+    def containsKey(self, key):
+        return key in self
+
+    def getValue(self, key):
+        self.reads.append(key[0])
+        return self[key]
+
+    def updateValue(self, key, value):
+        self.writes.append(key[0])
+        self[key] = value
+
+    def removeKey(self, key):
+        self.pop(key, None)
+
+
+class FakeValue:
+    value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+def test_a_batch_touches_only_its_members():
+    state = FakeMap(), FakeMap(), FakeValue()
+    store = StoredMembers(*state)
+    s = Surface(store)
+    s.take("reset", "PERP", None, None, None, None, None, None, 0, 10)
+    for i in range(1000):
+        s.take("member", f"o{i}", 100 + i // 2, "CP"[i % 2], None, None, None, None, 0, 10)
+    store.flush()
+    head = tuple(s.s.values())
+    assert len(state[0]) == 1000 and len(state[2].value[0]) == 500
+    state[0].writes.clear()
+    store = StoredMembers(*state)
+    s = Surface(store, head)
+    for t, (id_, iv) in enumerate((("o1", 0.5), ("o998", 0.4), ("o500", 0.3), ("o500", 0.2)), 1):
+        s.take("greek", id_, None, None, None, None, iv, 0.5, t, 10)
+    found = s.take("quote", "PERP", None, None, 350.0, 350.2, None, None, 5, 10)
+    assert found and found[1] == 350.0 and found[2] == 0.2 and found[7:] == (3, 0, 1000)
+    store.flush()
+    assert sorted(state[0].writes) == ["o1", "o500", "o998"] and len(state[0].reads) <= 8
+    s.take("member", "o500", 99.0, "P", None, None, None, None, 6, 10)
+    store.flush()
+    assert state[2].value[0][0] == 99.0 and state[1][(350.0,)] == (["o501"],) and s.s["ready"] == 2 and s.s["count"] == 1000
+
+
 def test_stream_equals_replay(rocksdb, tmp_path):
     spark = rocksdb
     events = surface_events(spark, SF).filter("universe_id LIKE 'BTC:%'")
