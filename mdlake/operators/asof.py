@@ -29,17 +29,44 @@ def _day(ns: Column, block_ns: int = DAY_NS) -> Column:
     return whole(ns, block_ns)
 
 
+#: Rows of a key's block that one task is meant to hold.
+BLOCK_ROWS = 1_000_000
+
+
+def block_length(events: DataFrame, key: str, ts: str = ORDER[0], rows: int = BLOCK_ROWS) -> int:
+    """A length of blocks by counts: a day, cut in halves until no key has more than `rows` events in one, down to a second.
+
+    Only the key and the time are read; counts by key and second combine before the shuffle, and one row comes back.
+    """
+    second = 1_000_000_000
+    counts = events.groupBy(key, whole(F.col(ts), second).alias("__s")).agg(F.count(F.lit(1)).alias("n"))
+    for k in range(17):
+        length = DAY_NS // second >> k
+        busiest = counts.groupBy(key, whole(F.col("__s"), length)).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
+        if (busiest or 0) <= rows:
+            return length * second
+    return second
+
+
 def asof_state(requests: DataFrame, events: DataFrame, key: str, columns: list[str], now: str = "now_ns", order: tuple[str, ...] = ORDER, block_ns: int = DAY_NS) -> DataFrame:
-    """requests (key, now) with the last non-null value of each column among the key's events up to and including now."""
+    """requests (key, now) with the last non-null value of each column among the key's events up to and including now.
+
+    Events are read and shuffled once, by (key, block): the search within a block and the last values of each block both
+    start from that exchange. block_ns: from block_length() where keys are busy.
+    """
     request_columns = [c for c in requests.columns if c not in columns]
-    rows = requests.select(key, F.col(now).alias("__ts"), F.struct(*request_columns).alias("__request"), *[F.lit(None).cast(events.schema[c].dataType).alias(c) for c in columns], F.lit(None).cast("struct<" + ",".join(f"{c}:bigint" for c in order) + ">").alias("__by"))
-    states = events.select(key, F.col(order[0]).alias("__ts"), F.lit(None).cast(rows.schema["__request"].dataType).alias("__request"), *columns, F.struct(*[F.col(c).cast("long").alias(c) for c in order]).alias("__by"))
-    both = rows.union(states).withColumn("__day", _day(F.col("__ts"), block_ns))
-    last = [F.expr(f"max_by({c}, __by) FILTER (WHERE {c} IS NOT NULL AND __by IS NOT NULL)").alias(c) for c in columns]
+    # A request comes after the events of its own nanosecond.
+    at = lambda t, late, by: F.struct(t.cast("long").alias("t"), F.lit(late).alias("late"), *[x.cast("long").alias(f"o{k}") for k, x in enumerate(by)])
+    rows = requests.select(key, at(F.col(now), 1, [F.lit(None)] * len(order)).alias("__at"), F.struct(*request_columns).alias("__request"), *[F.lit(None).cast(events.schema[c].dataType).alias(c) for c in columns])
+    states = events.select(key, at(F.col(order[0]), 0, [F.col(c) for c in order]).alias("__at"), F.lit(None).cast(rows.schema["__request"].dataType).alias("__request"), *columns)
+    both = rows.union(states).withColumn("__day", _day(F.col("__at.t"), block_ns))
+    # Both sides below use every column of `both`, and rows that meet nothing go before, so that they share its exchange.
+    both = both.filter(F.col(key).isNotNull() & F.col("__day").isNotNull()).repartition(key, "__day")
+    last = [F.expr(f"max_by({c}, __at) FILTER (WHERE {c} IS NOT NULL AND __request IS NULL)").alias(c) for c in columns]
     earlier = Window.partitionBy(key).orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
-    carried = both.groupBy(key, "__day").agg(*last).select(key, "__day", *[F.last(c, ignorenulls=True).over(earlier).alias(f"__carried_{c}") for c in columns])
-    # A request comes after the events of its own nanosecond: a null order is last.
-    within = Window.partitionBy(key, "__day").orderBy("__ts", F.col("__by").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    sums = both.groupBy(key, "__day").agg(*last, F.count("__request").alias("__asked"))
+    carried = sums.select(key, "__day", "__asked", *[F.last(c, ignorenulls=True).over(earlier).alias(f"__carried_{c}") for c in columns]).filter("__asked > 0").drop("__asked")
+    within = Window.partitionBy(key, "__day").orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
     found = both.select("*", *[F.last(c, ignorenulls=True).over(within).alias(f"__last_{c}") for c in columns]).filter("__request IS NOT NULL")
     return found.join(carried, [key, "__day"]).select("__request.*", *[F.coalesce(f"__last_{c}", f"__carried_{c}").alias(c) for c in columns])
 

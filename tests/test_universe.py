@@ -1,4 +1,5 @@
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -172,3 +173,22 @@ def test_asof_state_is_the_same_for_any_block(spark):
     for block in (10, 100, 10_000):
         found = asof.asof_state(requests, df, "instrument_id", ["v"], block_ns=block)
         assert {(r.instrument_id, r.now_ns): r.v for r in found.collect()} == want
+
+
+def test_asof_reads_and_shuffles_events_once(spark, tmp_path):
+    path = f"file://{tmp_path}/events"
+    # One key holds most events, all of them on one day.
+    spark.range(6000).selectExpr("IF(id % 6 = 0, concat('k', id % 5), 'busy') AS k", "id * 1000000000 AS ts_event_ns", "id AS ts_init_ns", "id AS seq", "IF(id % 4 = 0, NULL, id * 1.0D) AS v").write.parquet(path)
+    events = spark.read.parquet(path)
+    requests = spark.createDataFrame([("busy", 5_000_000_000_000), ("busy", 17), ("busy", -1), ("k0", 4_000_000_000_000), ("nobody", 5), (None, 5)], "k string, now_ns long")
+    block = asof.block_length(events, "k", rows=500)
+    assert block < 700 * 1_000_000_000 and asof.block_length(events, "k") == asof.DAY_NS
+    found = asof.asof_state(requests, events, "k", ["v"], block_ns=block)
+    got = {(r.k, r.now_ns): r.v for r in found.collect()}
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and len(re.findall(r"\+- Exchange hashpartitioning\(k#\d+, __day", plan)) == 1 and "ReusedExchange" in plan
+    rows = events.filter("v IS NOT NULL").collect()
+    for (k, now), v in got.items():
+        best = max(((r.ts_event_ns, r.v) for r in rows if r.k == k and r.ts_event_ns <= now), default=(0, None))[1]
+        assert v == best
+    assert set(got) == {("busy", 5_000_000_000_000), ("busy", 17), ("busy", -1), ("k0", 4_000_000_000_000), ("nobody", 5)}
