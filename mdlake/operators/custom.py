@@ -27,7 +27,7 @@ def registry(spark: SparkSession) -> DataFrame:
 
 def check_custom(rows: DataFrame, known: DataFrame) -> DataFrame:
     """(type_name, identifier, seq, rule) of rows that don't conform. rows: type_name, channel, identifier, instrument_id, metadata, seq."""
-    joined = rows.join(F.broadcast(known), "type_name", "left")
+    joined = rows.join(known, "type_name", "left")
     meta = lambda k: F.try_element_at("metadata", k)
     summary = F.col("type_name") == "DeribitBookSummary"
     rules = F.array(

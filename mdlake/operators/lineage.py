@@ -123,13 +123,71 @@ def resolution_records(resolutions: DataFrame, confirmations: int = 2) -> DataFr
     )
 
 
+#: The outcome log's own record.
+OUTCOME_SCHEMA = (
+    "event_kind string, venue_id string, underlying string, period string, market_class string, resolved_at_ns bigint, resolved_at_iso8601 string, question_id bigint, expiration_ns bigint, expiration_iso8601 string, outcome_ids array<bigint>, perp_instrument_id string, "
+    "outcome_instrument_ids array<string>, all_instrument_ids array<string>, added_instrument_ids array<string>, removed_instrument_ids array<string>, rollover_reason string"
+)
+
+
+def outcome_records(resolutions: DataFrame, refreshes: DataFrame, specs: DataFrame, key: str = "universe_id", at: str = "now_ns") -> DataFrame:
+    """The outcome log of a resolution history in its 17 fields: a startup record for each universe and its refreshes.
+
+    resolutions: as from resolve_outcome_markets; refreshes: as from refresh_outcome_universes; specs: the universes.
+    """
+    none = F.array().cast("array<string>")
+    first = resolutions.groupBy(key).agg(F.min_by(F.struct(*[c for c in resolutions.columns if c != key]), at).alias("r")).select(key, "r.*")
+    first = first.withColumns({"added_instrument_ids": none, "removed_instrument_ids": none, "rollover_reason": F.lit(None).cast("string"), "event_kind": F.lit("startup")})
+    rows = first.unionByName(refreshes.select(*first.columns)).join(specs.select(key, "market_class", "spec_underlying", "spec_period"), key)
+    return rows.select(
+        "event_kind", F.col(key).alias("venue_id"), F.col("spec_underlying").alias("underlying"), F.col("spec_period").alias("period"), "market_class", F.col(at).alias("resolved_at_ns"), iso8601(at).alias("resolved_at_iso8601"), "question_id", "expiration_ns", iso8601("expiration_ns").alias("expiration_iso8601"),
+        F.col("outcome_ids").cast("array<bigint>").alias("outcome_ids"), "perp_instrument_id", "outcome_instrument_ids", "all_instrument_ids", "added_instrument_ids", "removed_instrument_ids", "rollover_reason",
+    )
+
+
 def append_resolutions(records: DataFrame, path: str) -> None:
+    """Append records of either log as JSON lines."""
     records.write.mode("append").json(path)
 
 
-def read_resolutions(spark: SparkSession, path: str, schema: str = RESOLUTION_SCHEMA) -> DataFrame:
-    """The log; blank lines are skipped and a bad line is an error."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+_BAD = "__bad"
+
+
+def _parsed(lines: DataFrame, schema: str) -> DataFrame:
+    """lines with `r`, the record of each line that isn't blank, and in r.__bad the line if it is none."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+    return lines.filter(F.trim("value") != "").withColumn("r", F.from_json("value", f"{schema}, {_BAD} string", options))
+
+
+def bad_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(path, line, text) of the lines that are no record of the log; lines count from 1 in each file.
+
+    Lines are judged in one scan; only files that hold a bad one are read again as a whole, to count their lines.
+    """
+    judged = _parsed(spark.read.text(path).withColumn("path", F.col("_metadata.file_path")), schema)
+    files = [r[0] for r in judged.filter(f"r.{_BAD} IS NOT NULL").select("path").distinct().collect()]
+    if not files:
+        return spark.createDataFrame([], "path string, line int, text string")
+    texts = spark.read.text(files, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", "\r?\n")).alias("at", "value"))
+    return _parsed(texts, schema).filter(f"r.{_BAD} IS NOT NULL").select("path", (F.col("at") + 1).alias("line"), F.col("value").alias("text"))
+
+
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A log of JSON lines; blank lines are skipped, and a line that is no record is an error that names its file and line."""
+    if found := bad_lines(spark, path, schema).orderBy("path", "line").take(1):
+        raise ValueError(f"{found[0]['path']}, line {found[0]['line']}: not a record of the log: {found[0]['text'][:200]}")
+    names = spark.createDataFrame([], schema).columns
+    return _parsed(spark.read.text(path), schema).select(*[F.col(f"r.{c}").alias(c) for c in names])
+
+
+def read_resolutions(spark: SparkSession, path: str) -> DataFrame:
+    """The option-universe log."""
+    return read_log(spark, path, RESOLUTION_SCHEMA)
+
+
+def read_outcome_resolutions(spark: SparkSession, path: str) -> DataFrame:
+    """The outcome-universe log."""
+    return read_log(spark, path, OUTCOME_SCHEMA)
 
 
 def summarize_resolutions(records: DataFrame) -> DataFrame:

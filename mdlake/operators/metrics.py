@@ -17,23 +17,34 @@ HOUR_NS = 3_600_000_000_000
 
 
 def _surface(keys: list[str], members: DataFrame, reference: Column) -> DataFrame:
-    """Conditional averages over members: keys, strike, kind, iv, delta, option_mid, perp_mid."""
-    atm = members.groupBy(*keys).agg(
-        F.min_by("strike", F.struct(F.abs(F.col("strike") - reference).alias("d"), F.col("strike").alias("s"))).alias("atm_strike"),
-        F.min("strike").alias("low_strike"),
-        F.max("strike").alias("high_strike"),
-        F.count(F.lit(1)).alias("option_count"),
-        F.count_if(F.col("iv").isNotNull() & F.col("delta").isNotNull()).alias("greeks_ready"),
-        F.count_if(F.col("option_mid").isNotNull()).alias("quotes_ready"),
-        F.first("perp_mid").alias("perp_mid"),
+    """Conditional averages over members: keys, strike, kind, iv, delta, option_mid, perp_mid.
+
+    Members combine by strike before they meet by key, so a key's many options are few rows there, and nothing is joined back.
+    """
+    of = lambda kind: F.when(F.col("kind") == kind, F.col("iv"))
+    by_strike = members.groupBy(*keys, "strike").agg(
+        F.min(F.abs(F.col("strike") - reference)).alias("away"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("iv").isNotNull() & F.col("delta").isNotNull()).alias("ready"),
+        F.count_if(F.col("option_mid").isNotNull()).alias("quoted"),
+        F.first("perp_mid").alias("perp"),
+        F.avg("iv").alias("iv"),
+        F.avg(of("P")).alias("put_iv"),
+        F.avg(of("C")).alias("call_iv"),
     )
-    joined = members.drop("perp_mid").join(atm, keys)
-    means = joined.groupBy(*keys).agg(
-        F.avg(F.when(F.col("strike") == F.col("atm_strike"), F.col("iv"))).alias("atm_iv"),
-        F.avg(F.when((F.col("strike") == F.col("low_strike")) & (F.col("kind") == "P"), F.col("iv"))).alias("low_put_iv"),
-        F.avg(F.when((F.col("strike") == F.col("high_strike")) & (F.col("kind") == "C"), F.col("iv"))).alias("high_call_iv"),
+    row = F.struct("strike", "iv", "put_iv", "call_iv")
+    whole_key = by_strike.groupBy(*keys).agg(
+        F.min_by(row, F.struct("away", "strike")).alias("atm"),
+        F.min_by(row, "strike").alias("low"),
+        F.max_by(row, "strike").alias("high"),
+        F.sum("n").alias("option_count"),
+        F.sum("ready").alias("greeks_ready"),
+        F.sum("quoted").alias("quotes_ready"),
+        F.first("perp").alias("perp_mid"),
     )
-    return atm.join(means, keys)
+    ends = [F.col("atm.strike").alias("atm_strike"), F.col("low.strike").alias("low_strike"), F.col("high.strike").alias("high_strike")]
+    means = [F.col("atm.iv").alias("atm_iv"), F.col("low.put_iv").alias("low_put_iv"), F.col("high.call_iv").alias("high_call_iv")]
+    return whole_key.select(*keys, *ends, "option_count", "greeks_ready", "quotes_ready", "perp_mid", *means)
 
 
 def option_state(options: DataFrame, quotes: DataFrame, greeks: DataFrame) -> DataFrame:

@@ -46,10 +46,6 @@ def expand_outcome_universe(resolutions: DataFrame, families: list[str] | None =
     return _expand(rows, OUTCOME_SCOPES, {"all": "all_instrument_ids", "outcomes": "outcome_instrument_ids", "perp": "__perp"}, families)
 
 
-def _same(left: DataFrame, right: DataFrame):
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in PLAN])
-
-
 def plan_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Specs of left that right lacks; a spec is equal only as a whole, so another depth is another spec."""
     a, b = left.alias("a"), right.select(*PLAN).distinct().alias("b")

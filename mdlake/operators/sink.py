@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mdlake.functions.scalars import finite, next_seal_ns, stable_key, whole
+from mdlake.functions.scalars import next_seal_ns, stable_key, whole
 from mdlake.operators.sealing import PARTITION
 
 # Rows of a memory flush and of a row group by family, and the ranges they are held to.
@@ -43,9 +43,12 @@ def quarantined(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def write_chunk(df: DataFrame, root: str, family: str, compression: str = "snappy") -> None:
     """Append a batch as complete files, one for each partition that it touches.
 
-    Rows are written by the tasks that hold them: no shuffle, and a busy instrument's day may be several files.
+    Rows are written by the tasks that hold them: no shuffle, and a busy instrument's day may be several files. Rows
+    without an id or time are appended to the family's quarantine.
     """
-    good, _ = quarantined(df)
+    good, bad = quarantined(df)
+    if bad.take(1):
+        bad.write.mode("append").parquet(f"{root}/_quarantine/{family}")
     dated = good if "seal_date" in good.columns else with_seal_date(good).drop("seal_end_ns")
     dated.write.mode("append").option("compression", compression).partitionBy(*PARTITION).parquet(f"{root}/{family}")
 
@@ -146,7 +149,3 @@ def write_forward_prices(greeks: DataFrame, path: str) -> None:
 def explode_deltas(batches: DataFrame) -> DataFrame:
     """Batches of book deltas (instrument_id, deltas array) as one row for each delta."""
     return batches.select("instrument_id", F.inline("deltas"))
-
-
-def valid_prices(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(finite(column) & (F.col(column) > 0))

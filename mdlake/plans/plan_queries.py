@@ -9,6 +9,7 @@ from mdlake.functions import scalars as S
 from mdlake.operators import lineage, outcomes, planning, universe
 from mdlake.plans.registry import query
 from mdlake.plans.universe_queries import RESOLVED, option_requests
+from mdlake.session import parked, scratch
 from mdlake.sources import derived as D
 
 
@@ -50,6 +51,23 @@ def refresh_outcome_universes(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("universe_id", "now_ns", "rollover_reason", F.size("added_instrument_ids").cast("long").alias("added"), F.size("removed_instrument_ids").cast("long").alias("removed"))
 
 
+@query(
+    "outcome_log",
+    f"""WITH {MARKETS}, p AS (SELECT *, lag(ids) OVER w AS before, lag(question_id) OVER w AS q, lag(expiration_ns) OVER w AS e, row_number() OVER w AS i FROM market WINDOW w AS (PARTITION BY universe_id ORDER BY now_ns))
+    SELECT CASE WHEN i = 1 THEN 'startup' ELSE 'refresh' END AS event_kind, universe_id AS venue_id, lower(und) AS underlying, '1d' AS period, 'PRICEBINARY' AS market_class, now_ns AS resolved_at_ns, strftime(make_timestamp((now_ns // 1000)::BIGINT), '%Y-%m-%d') AS day, question_id, expiration_ns, ids,
+      outcome_id::VARCHAR AS outcomes, CASE WHEN i = 1 THEN NULL WHEN q <> question_id THEN 'question_roll' WHEN e <> expiration_ns THEN 'expiry_roll' END AS rollover_reason FROM p WHERE i = 1 OR before <> ids""",
+)
+def outcome_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The outcome log written as JSON lines and read back."""
+    path = scratch(spark, "outcome-log")
+    specs = outcome_specs(spark)
+    found = parked(outcomes.resolve_outcome_markets(listing_documents(spark, sf), specs), "outcomes")
+    lineage.append_resolutions(lineage.outcome_records(found, outcomes.refresh_outcome_universes(found), specs), path)
+    back = lineage.read_outcome_resolutions(spark, path)
+    texts = [F.array_join("all_instrument_ids", ",").alias("ids"), F.array_join(F.col("outcome_ids").cast("array<string>"), ",").alias("outcomes")]
+    return back.select("event_kind", "venue_id", "underlying", "period", "market_class", "resolved_at_ns", F.substring("resolved_at_iso8601", 1, 10).alias("day"), "question_id", "expiration_ns", *texts, "rollover_reason")
+
+
 @query("parse_description", "SELECT question, CASE WHEN description LIKE '%period%' THEN 5 ELSE 4 END::BIGINT AS fields, trim(regexp_extract(description, 'period *: *([^|]*)', 1)) AS period, regexp_extract(description, 'targetPrice:([0-9]+)', 1)::DOUBLE AS target, epoch_us(strptime(regexp_extract(description, 'expiry:([0-9]+-[0-9]+)', 1), '%Y%m%d-%H%M')) * 1000 AS expiry_ns FROM listings_v")
 def parse_description(spark: SparkSession, sf: str) -> DataFrame:
     rows = D.listings(spark, sf).withColumn("f", S.parse_description("description"))

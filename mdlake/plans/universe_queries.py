@@ -56,7 +56,8 @@ def latest_state(spark: SparkSession, sf: str) -> DataFrame:
 )
 def asof_state(spark: SparkSession, sf: str) -> DataFrame:
     asked = D.requests(spark, sf).withColumn("instrument_id", F.concat("underlying", F.lit("-PERPETUAL.DERIBIT")))
-    found = asof.asof_state(asked, D.quotes(spark, sf).withColumn("perp_mid", S.mid()), "instrument_id", ["perp_mid"])
+    quotes = D.quotes(spark, sf).withColumn("perp_mid", S.mid())
+    found = asof.asof_state(asked, quotes, "instrument_id", ["perp_mid"], block_ns=asof.block_length(quotes, "instrument_id"))
     return found.select("underlying", "now_ns", *r6("perp_mid"))
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Nanosecond arithmetic and day windows assume UTC; description maps keep the last of repeated keys; counts and times of
 #: second-version Parquet frames come from footers.
@@ -53,3 +53,10 @@ def scratch(spark: SparkSession, name: str) -> str:
         root = "file://" + tempfile.mkdtemp(prefix="mdlake-shared-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def parked(df: DataFrame, name: str) -> DataFrame:
+    """A frame that is written to the shared folder and read again, so that its uses don't compute it anew."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -93,7 +93,7 @@ def read_forward_prices(spark: SparkSession, path: str) -> DataFrame:
 
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
     """Listing documents, one a file: snapshot_id (the path), payload."""
-    return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("snapshot_id"), F.col("value").alias("payload"))
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("snapshot_id"), F.col("value").alias("payload"))
 
 
 @contextmanager

@@ -204,3 +204,23 @@ def test_files_of_a_few_rows(spark, tmp_path):
     assert (found.accepted, found.files, found.flush_rows, found.flush_seal) == (20, 6, 4, 2) and found.bytes == sum(map(os.path.getsize, glob.glob(f"{tmp_path}/trades/*/*/*.parquet")))
     active = spark.createDataFrame([("q", 5, 0, -1), ("r", 5, 0, 0), ("s", 5, 0, None)], "family string, accepted long, dropped long, active long")
     assert sorted((r.family, r.rule) for r in sink.metrics_ok(active).collect()) == [("q", "active"), ("s", "active")]
+
+
+def test_definitions_and_rows_that_cannot_be_placed(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    columns = [c.split()[0] for c in catalog.SCHEMAS["instruments"].split(", ") if "seal_date" not in c and c != "10)"]
+    rows = trades(spark, 4).select(*[F.col(c) if c in ("instrument_id", "ts_event_ns", "ts_init_ns", "seq") else F.lit(None).alias(c) if c != "strike" else F.col("price").cast("decimal(28,10)").alias(c) for c in columns])
+    schema = {f.name: f.dataType for f in spark.createDataFrame([], catalog.SCHEMAS["instruments"]).schema}
+    rows = rows.select(*[F.col(c).cast(schema[c]).alias(c) for c in columns])
+    sink.write_instruments(rows, root)
+    assert {r.instrument_id: float(r.strike) for r in catalog.read_instruments(spark, root).collect()} == {"A.X": 2.0, "B.X": 3.0}
+    assert [r.instrument_id for r in catalog.read_instruments(spark, root, ["A.X"]).collect()] == ["A.X"]
+    lost = trades(spark, 3).withColumn("instrument_id", F.when(F.col("seq") > 0, F.col("instrument_id")))
+    sink.write_chunk(lost, root, "trades")
+    assert spark.read.parquet(f"{root}/_quarantine/trades").count() == 1 and catalog.count_rows(spark, root, ["trades"]).agg(F.sum("rows")).first()[0] == 2
+
+
+def test_listing_documents_are_whole_files(spark, tmp_path):
+    for name, text in (("a", '{\n "questions": []\n}\n'), ("b", "{}")):
+        (tmp_path / f"{name}.json").write_text(text)
+    assert sorted(r.payload for r in catalog.read_listings(spark, f"file://{tmp_path}").collect()) == ['{\n "questions": []\n}\n', "{}"]

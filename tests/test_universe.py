@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from mdlake.operators import asof, lineage, metrics, outcomes, planning, universe
@@ -192,3 +193,25 @@ def test_asof_reads_and_shuffles_events_once(spark, tmp_path):
         best = max(((r.ts_event_ns, r.v) for r in rows if r.k == k and r.ts_event_ns <= now), default=(0, None))[1]
         assert v == best
     assert set(got) == {("busy", 5_000_000_000_000), ("busy", 17), ("busy", -1), ("k0", 4_000_000_000_000), ("nobody", 5)}
+
+
+def test_bad_log_lines_are_named_by_file_and_line(spark, tmp_path):
+    good = '{"event_kind":"startup","venue_id":"v","underlying":"BTC","resolved_at_ns":5,"selected_strikes":["1"]}'
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "a.json").write_text(f"{good}\n\n  \n{good}\n")
+    path = f"file://{tmp_path}/log"
+    assert [(r.venue_id, r.resolved_at_ns, r.selected_strikes) for r in lineage.read_resolutions(spark, path).collect()] == [("v", 5, ["1"])] * 2
+    (tmp_path / "log" / "b.json").write_text(f'{good}\n\n{good}\n{{"event_kind":"refr\n{good}\n{{"resolved_at_ns":"soon"}}\n')
+    assert sorted((r.path[-6:], r.line) for r in lineage.bad_lines(spark, path, lineage.RESOLUTION_SCHEMA).collect()) == [("b.json", 4), ("b.json", 6)]
+    with pytest.raises(ValueError, match=r"b\.json, line 4: not a record"):
+        lineage.read_resolutions(spark, path)
+
+
+def test_outcome_log_round_trip(spark, tmp_path):
+    resolutions = spark.createDataFrame([("s1", "u", 10, 7, "q", 100, [1, 2], ["a", "b"], "p", ["p", "a", "b"]), ("s2", "u", 20, 8, "q", 200, [3], ["c"], "p", ["p", "c"]), ("s3", "u", 30, 8, "q", 200, [3], ["c"], "p", ["p", "c"])], "snapshot_id string, universe_id string, now_ns long, question_id long, name string, expiration_ns long, outcome_ids array<long>, outcome_instrument_ids array<string>, perp_instrument_id string, all_instrument_ids array<string>")
+    specs = spark.createDataFrame([("u", "PRICEBINARY", "btc", "1d", True)], "universe_id string, market_class string, spec_underlying string, spec_period string, include_perp boolean")
+    path = f"file://{tmp_path}/outcomes"
+    lineage.append_resolutions(lineage.outcome_records(resolutions, outcomes.refresh_outcome_universes(resolutions), specs), path)
+    back = lineage.read_outcome_resolutions(spark, path).orderBy("resolved_at_ns").collect()
+    assert back[0].__fields__ == [c.split()[0] for c in lineage.OUTCOME_SCHEMA.split(", ")]
+    assert [(r.event_kind, r.question_id, r.outcome_ids, r.added_instrument_ids, r.removed_instrument_ids, r.rollover_reason) for r in back] == [("startup", 7, [1, 2], [], [], None), ("refresh", 8, [3], ["c"], ["a", "b"], "question_roll")]
