@@ -6,7 +6,8 @@
 2. Filters of one block are merged two by two along their sorted remainders; counts add up and nothing is lost.
 3. Only texts whose fingerprint has a count above one are compared byte by byte (Spark groups them by the
    whole text), so that fingerprint collisions never join different texts. Up to BROADCAST_FINGERPRINTS repeated
-   fingerprints are sent to the texts, which are sorted out where they are; beyond that all texts are grouped,
+   fingerprints are sent to the texts, which are sorted out where they are; beyond that a sieve of them is (16 bits
+   for each, 2**MAX_SIEVE_POWER at most), which lets one text in sixteen or so through to the comparison as well,
    with the same result. Copies are combined before they are shuffled either way.
 
 Defined cases: null text is the empty text, and all empty texts are one group. Rows with equal doc_id and
@@ -17,7 +18,7 @@ A null doc_id comes last in ties. Empty tables give empty results; other columns
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mdlake.llm.common import bounded, park, strip_space, text_or_empty, within_bound
+from mdlake.llm.common import bounded, park, strip_space, text_batches, text_or_empty
 
 QUOTIENT_BITS = 8
 #: Fingerprints that a merged block holds on average; bounds the memory of a merging task.
@@ -34,6 +35,9 @@ BLOCK_ENTRIES = 1 << 20
 FLUSH_ENTRIES = 1 << 22
 #: Repeated fingerprints (8 bytes each) up to which their table is broadcast.
 BROADCAST_FINGERPRINTS = 1 << 20
+#: Largest sieve (64 MB), and the segments that it is made in.
+MAX_SIEVE_POWER, SEGMENT_BITS = 29, 6
+SEGMENTS = 1 << SEGMENT_BITS
 _ESCAPE = 255
 
 
@@ -149,10 +153,54 @@ def _best_id(best: Column) -> Column:
     return F.when(rank > 0, (_whole(2**63) - rank).cast("long"))
 
 
-def _repeated(fingerprints: DataFrame) -> DataFrame | None:
-    """The repeated fingerprints to be broadcast; None if there are too many."""
+def _bits_of(fingerprints: np.ndarray, power: int) -> np.ndarray:
+    """The bit of a sieve of 2**power bits that each fingerprint has; its lowest bits name the segment."""
+    segment = fingerprints & np.uint64(SEGMENTS - 1)
+    inside = (fingerprints * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - power + SEGMENT_BITS)
+    return segment << np.uint64(power - SEGMENT_BITS) | inside
+
+
+def _sieve(found: DataFrame, rows: int) -> tuple[np.ndarray, int]:
+    """Bits of the repeated fingerprints, made by segment in tasks; 2**MAX_SIEVE_POWER bits at most come to the driver."""
+    power = min(MAX_SIEVE_POWER, max(12, math.ceil(math.log2(16 * rows))))
+
+    def make(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(1 << (power - SEGMENT_BITS), bool)
+        bits[_bits_of(group["fingerprint"].to_numpy().view(np.uint64), power) & np.uint64(len(bits) - 1)] = True
+        return pd.DataFrame({"segment": [key[0]], "bits": [np.packbits(bits).tobytes()]})
+
+    made = found.groupBy(F.pmod("fingerprint", F.lit(SEGMENTS)).alias("segment")).applyInPandas(make, "segment long, bits binary").collect()
+    out = np.zeros((SEGMENTS, 1 << (power - SEGMENT_BITS - 3)), np.uint8)
+    for r in made:
+        out[r["segment"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel(), power
+
+
+def _repeated(fingerprints: DataFrame) -> Callable[[DataFrame, bool], DataFrame]:
+    """Splits a frame with a fingerprint column: rows that may have a repeated fingerprint, or those that have none.
+
+    Repeated fingerprints are broadcast up to BROADCAST_FINGERPRINTS; beyond that a sieve of them is, which lets a few
+    others through to the byte comparison. Either way only suspects leave their place.
+    """
     found = park(repeated_fingerprints(fingerprints, fingerprints.count()).select("fingerprint"), "repeated")
-    return F.broadcast(found) if within_bound(found, BROADCAST_FINGERPRINTS) else None
+    rows = found.count()
+    if rows <= BROADCAST_FINGERPRINTS:
+        return lambda df, hit: df.join(F.broadcast(found), "fingerprint", "left_semi" if hit else "left_anti")
+    bits, power = _sieve(found, rows)
+    shared = fingerprints.sparkSession.sparkContext.broadcast(bits)
+
+    def split(df: DataFrame, hit: bool) -> DataFrame:
+        at = df.columns.index("fingerprint")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                bit = _bits_of(batch.column(at).to_numpy(zero_copy_only=False).view(np.uint64), power)
+                there = (shared.value[(bit >> np.uint64(3)).astype(np.int64)] >> (7 - (bit & np.uint64(7))).astype(np.uint8)) & 1
+                yield batch.filter(pa.array(there == hit))
+
+        return text_batches(df).mapInArrow(run, df.schema)
+
+    return split
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -161,8 +209,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # The original text stays behind: only its length goes along with the normalised one.
     base = docs.select(F.col(id_col).alias("doc_id"), F.char_length(text).cast("long").alias("n_chars"), strip_space(text).alias("norm"))
     rows = park(base.select("doc_id", "n_chars", F.xxhash64("norm").alias("fingerprint"), F.sha2("norm", 256).alias("text_sha256")), "texts")
-    repeated = _repeated(rows.select("fingerprint"))
-    suspects = base if repeated is None else base.withColumn("fingerprint", F.xxhash64("norm")).join(repeated, "fingerprint", "left_semi")
+    suspects = _repeated(rows.select("fingerprint"))(base.withColumn("fingerprint", F.xxhash64("norm")), True)
     # Grouping by the whole text is the byte comparison; copies are combined before they are shuffled.
     classes = (
         suspects.groupBy("norm")
@@ -184,10 +231,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text = text_or_empty(text_col)
     best = F.struct(_best(F.col(id_col), F.char_length(text).cast("long")).alias("best"), F.xxhash64(text).alias("tie"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), strip_space(text).alias("norm"), best.alias("best"))
-    repeated = _repeated(docs.select(F.xxhash64(strip_space(text)).alias("fingerprint")))
-    alone = None
-    if repeated is not None:
-        marked = rows.withColumn("fingerprint", F.xxhash64("norm"))
-        alone, rows = marked.join(repeated, "fingerprint", "left_anti").select("row.*"), marked.join(repeated, "fingerprint", "left_semi")
-    first = rows.groupBy("norm").agg(F.max_by("row", "best").alias("row")).select("row.*")
-    return first if alone is None else alone.unionByName(first)
+    split = _repeated(docs.select(F.xxhash64(strip_space(text)).alias("fingerprint")))
+    marked = rows.withColumn("fingerprint", F.xxhash64("norm"))
+    first = split(marked, True).groupBy("norm").agg(F.max_by("row", "best").alias("row"))
+    return split(marked, False).select("row.*").unionByName(first.select("row.*"))

@@ -45,3 +45,19 @@ def test_matches_brute_force_with_colliding_fingerprints(spark, monkeypatch):
     left = drop_copies(docs)
     assert left.columns == docs.columns and left.count() == len(want)
     assert drop_copies(docs.limit(0)).count() == 0
+
+
+def test_sieve_gives_the_same_result_and_lets_few_others_through(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["hot text", "hot  text"]) if i % 3 == 0 else f"text {rng.randint(0, 200)}" if i % 3 == 1 else f"alone {i}") for i in range(600)] + [(None, None), (5, ""), (6, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'k' AS fingerprint", "1 AS norm").repartition(4)
+    want = sorted(map(tuple, exact_dedup.exact_dedup(docs).collect()), key=str)
+    left = sorted(map(tuple, drop_copies(docs).collect()), key=str)
+    monkeypatch.setattr(exact_dedup, "BROADCAST_FINGERPRINTS", 0)
+    assert sorted(map(tuple, exact_dedup.exact_dedup(docs).collect()), key=str) == want
+    assert sorted(map(tuple, drop_copies(docs).collect()), key=str) == left
+    known = spark.range(20_000).selectExpr("xxhash64(id) AS fingerprint")
+    bits, power = exact_dedup._sieve(known, 20_000)
+    hit = lambda df: exact_dedup._bits_of(df.toPandas()["fingerprint"].to_numpy().view(np.uint64), power)
+    there = lambda at: np.unpackbits(bits)[at.astype(np.int64)]
+    assert there(hit(known)).all() and there(hit(spark.range(50_000, 70_000).selectExpr("xxhash64(id) AS fingerprint"))).mean() < 0.08
