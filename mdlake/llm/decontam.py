@@ -33,7 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mdlake.llm.common import text_batches
+from mdlake.llm.common import park, text_batches
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -186,27 +186,34 @@ class BenchmarkIndex:
         return best
 
 
-def _indexes(benchmark: DataFrame, item_col: str, item_text_col: str, threshold: float) -> Iterator[BenchmarkIndex]:
-    """Indexes of the benchmark, one for each chunk of at most about MAX_INDEX_BYTES of text."""
+def _indexes(benchmark: DataFrame, item_col: str, item_text_col: str, threshold: float) -> Iterator[tuple[BenchmarkIndex, bool]]:
+    """Indexes of the benchmark, one for each chunk of at most about MAX_INDEX_BYTES of text, and whether there are several."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-size // MAX_INDEX_BYTES))
     for k in range(chunks):
         chunk = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(chunks)) == k)
-        yield BenchmarkIndex([tuple(r) for r in chunk.collect()], threshold)
+        yield BenchmarkIndex([tuple(r) for r in chunk.collect()], threshold), chunks > 1
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, similarity, start): the items found in each document, at the best window's first word."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    parts = [_contaminated(rows, index) for index in _indexes(benchmark, item_col, item_text_col, threshold)]
+    parts = []
+    for index, more in _indexes(benchmark, item_col, item_text_col, threshold):
+        part, shared = _contaminated(rows, index)
+        if more:
+            # A chunk's matches are written and its index is freed before the next one is made.
+            part = park(part, "matches")
+            shared.destroy()
+        parts.append(part)
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
     return found.groupBy("doc_id", "item_id").agg(F.max_by("similarity", F.struct("similarity", -F.col("start"))).alias("similarity"), F.max_by("start", F.struct("similarity", -F.col("start"))).alias("start"))
 
 
-def _contaminated(rows: DataFrame, own: BenchmarkIndex) -> DataFrame:
+def _contaminated(rows: DataFrame, own: BenchmarkIndex) -> tuple[DataFrame, Broadcast]:
     shared = rows.sparkSession.sparkContext.broadcast(own)
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()), ("start", pa.int64())])
 
@@ -216,14 +223,19 @@ def _contaminated(rows: DataFrame, own: BenchmarkIndex) -> DataFrame:
             found = [(id_.as_py(), index.items[i][0], *hit) for id_, text in zip(*batch.columns, strict=True) for i, hit in index.matches(text.as_py()).items()]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], t) for k, t in enumerate(schema.types)], schema=schema)
 
-    return text_batches(rows).mapInArrow(run, "doc_id long, item_id long, similarity double, start long")
+    return text_batches(rows).mapInArrow(run, "doc_id long, item_id long, similarity double, start long"), shared
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs in which no benchmark item was found; each row is judged by its own text."""
     at = docs.columns.index(text_col)
-    for own in _indexes(benchmark, item_col, item_text_col, threshold):
-        docs = _clean(docs, docs.sparkSession.sparkContext.broadcast(own), at)
+    for own, more in _indexes(benchmark, item_col, item_text_col, threshold):
+        shared = docs.sparkSession.sparkContext.broadcast(own)
+        docs = _clean(docs, shared, at)
+        if more:
+            # As above: what is left after a chunk is written, and the chunk's index freed.
+            docs = park(docs, "clean")
+            shared.destroy()
     return docs
 
 
