@@ -230,7 +230,7 @@ def suite(**sections: DataFrame) -> DataFrame:
 
 
 def no_open_parts(spark: SparkSession, root: str, least_sealed: int = 0) -> DataFrame:
-    """Open parts that are left under a folder, those of no bytes too, and fewer sealed files than `least_sealed`."""
+    """Open parts that are left under a folder, those of no bytes too, and fewer sealed files with bytes than `least_sealed`."""
     parts = spark.createDataFrame(open_parts(spark, root), "path string, length long")
     found = _out(parts, "open_part", F.col("path"), F.lit(0), F.col("length"))
     if not least_sealed:
