@@ -130,6 +130,52 @@ MORE_RULES = [
     ("Unlicense", ["unlicense-grant"]),
     ("EPL-2.0", ["epl2-terms"]),
 ]
+
+_GNU_TITLES = {"GPL-2.0": "gnu general public license version 2 june 1991", "GPL-3.0": "gnu general public license version 3 29 june 2007", "LGPL-2.1": "gnu lesser general public license version 2 1 february 1999", "LGPL-3.0": "gnu lesser general public license version 3 29 june 2007", "AGPL-3.0": "gnu affero general public license version 3 19 november 2007"}
+_CREATIVE = {"CC-BY-4.0": "attribution", "CC-BY-SA-4.0": "attribution sharealike", "CC-BY-NC-4.0": "attribution noncommercial", "CC-BY-ND-4.0": "attribution noderivatives", "CC-BY-NC-SA-4.0": "attribution noncommercial sharealike", "CC-BY-NC-ND-4.0": "attribution noncommercial noderivatives"}
+#: Titles, grants and conditions of whole licence texts, and the header of a foundation.
+TEXT_SENTENCES = {
+    "apache-text": [f"apache license version 2 0 january 2004{x}" for x in ("", " http www apache org licenses", " https www apache org licenses")],
+    "apache-text-terms": ["terms and conditions for use reproduction and distribution"],
+    "apache-text-copyright": ["subject to the terms and conditions of this license each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license to reproduce prepare derivative works of publicly display publicly perform sublicense and distribute the work and such derivative works in source or object form"],
+    "asf-contributors": ["licensed to the apache software foundation asf under one or more contributor license agreements"],
+    "asf-notice": ["see the notice file distributed with this work for additional information regarding copyright ownership"],
+    "asf-license": ["the asf licenses this file to you under the apache license version 2 0 the license"],
+    "gnu-verbatim": ["everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"],
+    "gnu-preamble": [f"the gnu {x}general public license is a free copyleft license for software and other kinds of works{y}" for x, y in (("", ""), ("affero ", " specifically designed to ensure cooperation with the community in the case of network server software"))],
+    "mpl-text": ["mozilla public license version 2 0"],
+    "mpl-obtain": [f"if a copy of the mpl was not distributed with this file you can obtain one at {x} mozilla org mpl 2 0" for x in ("http", "https")],
+    "boost-text": ["boost software license version 1 0 august 17th 2003"],
+    "boost-grant": ["permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following"],
+    "zlib-warranty": ["this software is provided as is without any express or implied warranty"],
+    "zlib-liability": ["in no event will the authors be held liable for any damages arising from the use of this software"],
+    "zlib-grant": ["permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"],
+    "zlib-origin": ["the origin of this software must not be misrepresented"],
+    "zlib-claim": ["you must not claim that you wrote the original software"],
+    "0bsd-grant": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"],
+    "cc0-text": ["cc0 1 0 universal"],
+} | {f"{name}-text": [title] for name, title in _GNU_TITLES.items()} | {
+    f"{name}-text": [f"creative commons {x} 4 0 international public license", f"under a creative commons {x} 4 0 international license", f"under the creative commons {x} 4 0 international license"] for name, x in _CREATIVE.items()
+}
+TEXT_RULES = [
+    ("Apache-2.0", ["apache-text", "apache-text-terms", "apache-text-copyright"]),
+    *[("Apache-2.0", [x]) for x in ("apache-text", "apache-text-terms", "apache-text-copyright")],
+    ("Apache-2.0", ["asf-contributors", "asf-notice", "asf-license", "apache-use", "apache-copy", "apache-warranty", "apache-terms"]),
+    ("Apache-2.0", ["asf-license", "apache-use", "apache-copy", "apache-warranty", "apache-terms"]),
+    ("Apache-2.0", ["asf-license", "apache-use"]),
+    *[(name, [f"{name}-text", *rest]) for name in _GNU_TITLES for rest in (["gnu-verbatim", "gnu-preamble"], ["gnu-verbatim"], [])],
+    ("MPL-2.0", ["mpl-notice", "mpl-obtain"]),
+    ("MPL-2.0", ["mpl-text"]),
+    ("BSL-1.0", ["boost-text", "boost-grant"]),
+    ("BSL-1.0", ["boost-grant"]),
+    ("BSL-1.0", ["boost-text"]),
+    ("Zlib", ["zlib-warranty", "zlib-liability", "zlib-grant", "zlib-origin", "zlib-claim"]),
+    ("Zlib", ["zlib-grant", "zlib-origin", "zlib-claim"]),
+    ("Zlib", ["zlib-grant"]),
+    ("0BSD", ["0bsd-grant"]),
+    ("CC0-1.0", ["cc0-text"]),
+    *[(name, [f"{name}-text"]) for name in _CREATIVE],
+]
 _CLOSINGS = [[w, "gpl-merchant", see] for w in ("gpl-warranty", "lgpl-warranty") for see in ("gpl-see", "lgpl-see", "agpl-see")]
 _VERSIONED = ["{} version {}", "{} v{}", "{} v {}", "{} {}"]
 _NAMES = {
@@ -142,6 +188,9 @@ _NAMES = {
     "Unlicense": ["unlicense"],
     "MPL-2.0": [x.format(y, "2 0") for x in _VERSIONED for y in ("mozilla public license", "mpl")],
     "EPL-2.0": [x.format(y, "2 0") for x in _VERSIONED for y in ("eclipse public license", "epl")],
+    "BSL-1.0": ["boost software license version 1 0", "boost software license"],
+    "Zlib": ["zlib license", "zlib libpng license"],
+    "0BSD": ["0bsd license", "zero clause bsd license"],
     "CC0-1.0": ["cc0 1 0"],
     "CC-BY-4.0": ["cc by 4 0"],
     "CC-BY-SA-4.0": ["cc by sa 4 0"],
@@ -153,14 +202,14 @@ _NAMES = {
 _NOUNS, _VERBS = ("software", "project", "program", "library", "package", "code", "file", "work"), ("licensed", "released", "distributed", "available")
 #: Openings of a notice; where a sentence isn't one of SENTENCES they are read as `under`.
 _OPENING = f"^(?:this (?:{'|'.join(_NOUNS)}) is )?(?:{'|'.join(_VERBS)}) under (?:the terms of )?(?:the )?"
-_SPDX = ["MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Unlicense", "EPL-2.0", "MPL-2.0", "CC0-1.0"] + [f"{x}-{y}" for x in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for y in ("only", "or-later")]
+_SPDX = ["MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Unlicense", "EPL-2.0", "MPL-2.0", "BSL-1.0", "Zlib", "0BSD", "CC0-1.0", *_CREATIVE] + [f"{x}-{y}" for x in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for y in ("only", "or-later")]
 
 
 def known_sentences() -> dict[str, str]:
     """Identifier by wording; SENTENCES go first."""
     found = {f"under {x}": f"{name}-named" for name, own in _NAMES.items() for x in own}
     found |= {f"spdx license identifier {x.lower().replace('-', ' ').replace('.', ' ')}": f"{x}-spdx" for x in _SPDX}
-    found |= {text: id_ for id_, texts in MORE_SENTENCES.items() for text in texts}
+    found |= {text: id_ for id_, texts in (MORE_SENTENCES | TEXT_SENTENCES).items() for text in texts}
     return found | {text: id_ for id_, text in SENTENCES.items()}
 
 
@@ -168,7 +217,8 @@ def all_rules() -> list[tuple[str, list[str]]]:
     """RULES and the further ones, longer texts first where they share a beginning."""
     closed = [(name, ids + tail) for name, ids in MORE_RULES if ids[0] in ("gpl-free", "lgpl-free") for tail in _CLOSINGS]
     named = [(name, [f"{name}-named"]) for name in _NAMES] + [(x, [f"{x}-spdx"]) for x in _SPDX]
-    return [r for r in MORE_RULES if r[1][0] == "bsd-grant"] + RULES + closed + MORE_RULES + named
+    first = [r for r in MORE_RULES if r[1][0] == "bsd-grant"] + [r for r in TEXT_RULES if r[1][0] == "mpl-notice"]
+    return first + RULES + closed + MORE_RULES + TEXT_RULES + named
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

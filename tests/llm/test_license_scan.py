@@ -81,6 +81,79 @@ distributed under the License is distributed on an "AS IS" BASIS, WITHOUT
 WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
 """
 
+ASF = """# Licensed to the Apache Software Foundation (ASF) under one or more
+# contributor license agreements.  See the NOTICE file distributed with
+# this work for additional information regarding copyright ownership.
+# The ASF licenses this file to You under the Apache License, Version 2.0
+# (the "License"); you may not use this file except in compliance with
+# the License.  You may obtain a copy of the License at
+#
+#    http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+import os
+"""
+APACHE_TEXT = """
+                                 Apache License
+                           Version 2.0, January 2004
+                        http://www.apache.org/licenses/
+
+   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION
+
+   1. Definitions.
+
+   2. Grant of Copyright License. Subject to the terms and conditions of
+      this License, each Contributor hereby grants to You a perpetual,
+      worldwide, non-exclusive, no-charge, royalty-free, irrevocable
+      copyright license to reproduce, prepare Derivative Works of,
+      publicly display, publicly perform, sublicense, and distribute the
+      Work and such Derivative Works in Source or Object form.
+"""
+GPL_TEXT = """                    GNU GENERAL PUBLIC LICENSE
+                       Version 3, 29 June 2007
+
+ Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>
+ Everyone is permitted to copy and distribute verbatim copies
+ of this license document, but changing it is not allowed.
+
+                            Preamble
+
+  The GNU General Public License is a free, copyleft license for
+software and other kinds of works.
+"""
+MPL_TEXT = "Mozilla Public License Version 2.0\n==================================\n\n1. Definitions\n--------------\n"
+MPL_HEADER = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+"""
+BOOST = """Boost Software License - Version 1.0 - August 17th, 2003
+
+Permission is hereby granted, free of charge, to any person or organization
+obtaining a copy of the software and accompanying documentation covered by
+this license (the "Software") to use, reproduce, display, distribute,
+execute, and transmit the Software, and to prepare derivative works of the
+Software, and to permit third-parties to whom the Software is furnished to
+do so, all subject to the following:
+"""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not
+   claim that you wrote the original software. If you use this software
+   in a product, an acknowledgment in the product documentation would be
+   appreciated but is not required.
+"""
+CC = "Attribution-ShareAlike 4.0 International\n\nCreative Commons Attribution-ShareAlike 4.0 International Public\nLicense\n\nBy exercising the Licensed Rights"
+
 
 def test_texts_as_they_are_wrapped(spark):
     cases = [
@@ -97,6 +170,19 @@ def test_texts_as_they_are_wrapped(spark):
         ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.", ["ISC"], 1),
         ("This is free and unencumbered software released into the\npublic domain.", ["Unlicense"], 1),
         ("Released under the MIT License\nwith some more words\n" * 3, ["MIT"], 3),
+        (ASF, ["Apache-2.0"], 7),
+        (APACHE_TEXT, ["Apache-2.0"], 3),
+        (GPL_TEXT, ["GPL-3.0"], 3),
+        (GPL_TEXT.replace("GENERAL", "LESSER GENERAL").partition("Preamble")[0], ["LGPL-3.0"], 2),
+        (MPL_TEXT, ["MPL-2.0"], 1),
+        (MPL_HEADER, ["MPL-2.0"], 2),
+        (BOOST, ["BSL-1.0"], 2),
+        ("// Distributed under the Boost Software License, Version 1.0.\n// (See accompanying file)", ["BSL-1.0"], 1),
+        (ZLIB, ["Zlib"], 5),
+        (ZLIB.partition("Permission")[0], [UNKNOWN], 2),
+        (CC, ["CC-BY-SA-4.0"], 1),
+        ("This work is licensed under a Creative Commons\nAttribution 4.0 International License.", ["CC-BY-4.0"], 1),
+        ("CC0 1.0 Universal\n\nStatement of Purpose", ["CC0-1.0"], 1),
         ("\n\n \n", [], 0),
         ("the\n" * 3000, [], 0),
     ]
