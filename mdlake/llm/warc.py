@@ -170,10 +170,11 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, archive_by
 
     folder is a URI that driver and executors share. The archives are written when the manifest is computed.
     """
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload")).withColumn("digest", F.sha1("payload"))
-    groups = rows.filter(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("response"), F.count(F.lit(1)).alias("n"))
-    marked = rows.join(groups.filter("n > 1").drop("n"), "digest", "left")
-    in_group = (F.octet_length("payload") >= min_bytes) & F.col("response").isNotNull()
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload")).withColumns({"digest": F.sha1("payload"), "sha256": F.unhex(F.sha2("payload", 256)), "bytes": F.octet_length("payload")})
+    same = ["digest", "sha256", "bytes"]  # SHA-1 alone has known collisions
+    groups = rows.filter(F.col("bytes") >= min_bytes).groupBy(*same).agg(F.max("page_id").alias("response"), F.count(F.lit(1)).alias("n"))
+    marked = rows.join(groups.filter("n > 1").drop("n"), same, "left")
+    in_group = (F.col("bytes") >= min_bytes) & F.col("response").isNotNull()
     revisit = F.coalesce(in_group & ~F.col("page_id").eqNullSafe(F.col("response")), F.lit(False))
     marked = marked.select("page_id", "url", "payload", "digest", F.when(revisit, F.col("response")).alias("refers_to"), revisit.alias("revisit"))
 
