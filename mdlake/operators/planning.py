@@ -21,15 +21,11 @@ OUTCOME_SCOPES = {"instruments": "all", "quotes": "outcomes", "trades": "outcome
 
 
 def _expand(resolutions: DataFrame, scopes: dict[str, str], ids: dict[str, str], families: list[str] | None) -> DataFrame:
-    """One branch for each scope, so that a scope's ids are exploded once whatever the number of its families."""
-    parts = []
-    for scope, source in ids.items():
-        chosen = [f for f, s in scopes.items() if s == scope and (families is None or f in families)]
-        if not chosen:
-            continue
-        each = resolutions.select(F.explode(source).alias("instrument_id")).distinct()
-        parts.append(each.select(F.explode(F.array(*map(F.lit, chosen))).alias("family"), "instrument_id"))
-    plan = reduce(DataFrame.union, parts)
+    """Ids are exploded once for each scope that a chosen family has, and the resolutions are gone through once."""
+    chosen = {scope: [f for f, s in scopes.items() if s == scope and (families is None or f in families)] for scope in ids}
+    lists = [F.struct(F.array(*map(F.lit, chosen[scope])).alias("families"), F.col(source).alias("ids")) for scope, source in ids.items() if chosen[scope]]
+    each = resolutions.select(F.explode(F.array(*lists)).alias("s")).select("s.families", F.explode("s.ids").alias("instrument_id")).distinct()
+    plan = each.select(F.explode("families").alias("family"), "instrument_id")
     book = F.when(F.col("family") == "book_deltas", "L2_MBP")
     null = F.lit(None).cast("string")
     return plan.select("family", "instrument_id", null.alias("bar_type"), null.alias("data_type"), book.alias("book_type"), F.lit(None).cast("int").alias("depth"))

@@ -215,3 +215,15 @@ def test_outcome_log_round_trip(spark, tmp_path):
     back = lineage.read_outcome_resolutions(spark, path).orderBy("resolved_at_ns").collect()
     assert back[0].__fields__ == [c.split()[0] for c in lineage.OUTCOME_SCHEMA.split(", ")]
     assert [(r.event_kind, r.question_id, r.outcome_ids, r.added_instrument_ids, r.removed_instrument_ids, r.rollover_reason) for r in back] == [("startup", 7, [1, 2], [], [], None), ("refresh", 8, [3], ["c"], ["a", "b"], "question_roll")]
+
+
+def test_plan_and_pairs_from_one_pass(spark):
+    """A plan goes through its resolutions once, and chosen strikes aren't looked up in a list for each pair."""
+    schema = "all_instrument_ids array<string>, option_instrument_ids array<string>, perp_instrument_id string"
+    plan = planning.expand_universe(spark.createDataFrame([(["o", "p"], ["o"], "p")], schema))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("LogicalRDD") + text.count("LocalRelation") <= 1
+    assert plan.count() == 6 * 2 + 2 + 3
+    row = spark.createDataFrame([("u", NOW, "BTC", None, True, "p", 45, "all", 1, 1, 2, 65100.0)], REQUEST)
+    found = universe.resolve_option_universes(row, options(spark))
+    assert "array_contains" not in found._jdf.queryExecution().optimizedPlan().toString()
