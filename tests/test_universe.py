@@ -227,3 +227,13 @@ def test_plan_and_pairs_from_one_pass(spark):
     row = spark.createDataFrame([("u", NOW, "BTC", None, True, "p", 45, "all", 1, 1, 2, 65100.0)], REQUEST)
     found = universe.resolve_option_universes(row, options(spark))
     assert "array_contains" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_smoothing_takes_no_ids(spark):
+    """Python gets no id list, whatever the universe's size."""
+    rows = [("u", n, "all", None, 1, "1.0", [1.0, 2.0 + n], "p", ["a"], ["a", f"b{n}"], "BTC", None) for n in range(3)]
+    schema = "universe_id string, resolved_at_ns long, strike_mode string, top_n int, selected_expiry_ns long, atm_reference string, selected_strikes array<double>, perp_instrument_id string, option_instrument_ids array<string>, all_instrument_ids array<string>, underlying string, error string"
+    records = lineage.resolution_records(spark.createDataFrame(rows, schema))
+    python = [line for line in records._jdf.queryExecution().optimizedPlan().toString().splitlines() if "MapInPandas" in line]
+    assert python and not any("instrument_ids" in line for line in python)
+    assert [(r.event_kind, r.added_instrument_ids, r.rollover_reason) for r in records.orderBy("resolved_at_ns").collect()] == [("startup", [], None), ("refresh", ["b1"], "strike_window_shift"), ("refresh", ["b2"], "strike_window_shift")]
