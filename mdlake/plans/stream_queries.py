@@ -165,7 +165,7 @@ def catalog_families(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "resolution_log",
     f"""WITH RECURSIVE {RESOLVED}, good AS (SELECT * FROM resolved WHERE error IS NULL), {SMOOTHED.format(source='good')}
-    SELECT CASE WHEN n = 1 THEN 'startup' ELSE 'refresh' END AS event_kind, universe_id AS venue_id, resolved_at_ns, mode AS strike_selection_mode, reason AS rollover_reason, ids || ',' || split_part(ids, '-', 1) || '-PERPETUAL.DERIBIT' AS ids FROM st WHERE n = 1 OR reason IS NOT NULL""",
+    SELECT CASE WHEN n = 1 THEN 'startup' ELSE 'refresh' END AS event_kind, universe_id AS venue_id, resolved_at_ns, mode AS strike_selection_mode, reason AS rollover_reason, array_to_string(list_sort(string_split(ids || ',' || split_part(ids, '-', 1) || '-PERPETUAL.DERIBIT', ',')), ',') AS ids FROM st WHERE n = 1 OR reason IS NOT NULL""",
 )
 def resolution_log(spark: SparkSession, sf: str) -> DataFrame:
     """The option-universe log, appended twice and read back."""
