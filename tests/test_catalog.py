@@ -224,3 +224,13 @@ def test_listing_documents_are_whole_files(spark, tmp_path):
     for name, text in (("a", '{\n "questions": []\n}\n'), ("b", "{}")):
         (tmp_path / f"{name}.json").write_text(text)
     assert sorted(r.payload for r in catalog.read_listings(spark, f"file://{tmp_path}").collect()) == ['{\n "questions": []\n}\n', "{}"]
+
+
+def test_ascending_across_blocks_of_a_file(spark, tmp_path, monkeypatch):
+    """No window spans a whole file, and a step back between two of its blocks is found once."""
+    spark.range(0, 40, 1, 1).selectExpr("CASE WHEN id = 16 OR id = 21 THEN 0 ELSE id END AS ts_init_ns").write.parquet(f"{tmp_path}/f")
+    monkeypatch.setattr(validate, "BLOCK_ROWS", 8)
+    found = validate.check_ascending(validate.file_order(spark.read.parquet(f"{tmp_path}/f")))
+    assert sorted(map(tuple, found.collect())) == [("ascending", "all", "15", "0"), ("ascending", "all", "20", "0")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert all("__block" in line for line in plan.splitlines() if "Window [" in line)
