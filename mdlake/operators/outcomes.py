@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mdlake.functions import scalars as S
+from mdlake.session import parked
 
 LISTING_SCHEMA = (
     "questions array<struct<question:bigint,name:string,description:string,namedOutcomes:array<bigint>,fallbackOutcome:bigint>>,"
@@ -19,13 +20,17 @@ def candidates(listings: DataFrame, include_fallback: bool = False) -> DataFrame
     Questions without an id or named outcomes and outcomes without an id are skipped; an outcome is its own question.
     """
     parsed = listings.select("snapshot_id", "now_ns", F.from_json("payload", LISTING_SCHEMA).alias("p"))
-    ids = F.filter(F.col("q.namedOutcomes"), lambda x: x.isNotNull())
-    with_fallback = F.when(F.col("q.fallbackOutcome").isNotNull(), F.concat(ids, F.array("q.fallbackOutcome"))).otherwise(ids) if include_fallback else ids
-    questions = parsed.select("snapshot_id", "now_ns", F.explode("p.questions").alias("q")).filter(F.col("q.question").isNotNull() & (F.size(ids) > 0))
-    outcomes = parsed.select("snapshot_id", "now_ns", F.explode("p.outcomes").alias("o")).filter("o.outcome IS NOT NULL")
-    return questions.select("snapshot_id", "now_ns", F.col("q.question").alias("question_id"), F.col("q.name").alias("name"), F.coalesce("q.description", F.lit("")).alias("description"), with_fallback.alias("outcome_ids")).union(
-        outcomes.select("snapshot_id", "now_ns", F.col("o.outcome"), F.col("o.name"), F.coalesce("o.description", F.lit("")), F.array("o.outcome"))
-    )
+    item = lambda id_, x, ids: F.struct(id_.alias("question_id"), x["name"].alias("name"), F.coalesce(x["description"], F.lit("")).alias("description"), ids.alias("outcome_ids"))
+
+    def named(q: Column) -> Column:
+        ids = F.filter(q["namedOutcomes"], lambda x: x.isNotNull())
+        return F.when(q["fallbackOutcome"].isNotNull(), F.concat(ids, F.array(q["fallbackOutcome"]))).otherwise(ids) if include_fallback else ids
+
+    # A document is parsed once for both of its lists.
+    questions = F.transform(F.filter("p.questions", lambda q: q["question"].isNotNull() & (F.size(F.filter(q["namedOutcomes"], lambda x: x.isNotNull())) > 0)), lambda q: item(q["question"], q, named(q)))
+    outcomes = F.transform(F.filter("p.outcomes", lambda o: o["outcome"].isNotNull()), lambda o: item(o["outcome"], o, F.array(o["outcome"])))
+    none = F.array().cast("array<struct<question_id:bigint,name:string,description:string,outcome_ids:array<bigint>>>")
+    return parsed.select("snapshot_id", "now_ns", F.inline(F.concat(F.coalesce(questions, none), F.coalesce(outcomes, none))))
 
 
 def choose_market(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -37,13 +42,36 @@ def choose_market(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(best.alias("m")).select(*keys, "m.*")
 
 
-def resolve_outcome_markets(listings: DataFrame, specs: DataFrame, include_fallback: bool = False) -> DataFrame:
-    """The market of each (snapshot, spec). specs: universe_id, market_class, spec_underlying, spec_period, include_perp."""
-    fields = candidates(listings, include_fallback).withColumn("fields", S.parse_description("description"))
+def _matched(found: DataFrame, specs: DataFrame) -> DataFrame:
+    """Candidates with the specs that their description matches, its fields and its expiry.
+
+    Specs are the settings of universes, so they are broadcast: a shuffle by underlying would give each one a single task.
+    """
+    fields = found.withColumn("fields", S.parse_description("description"))
     fields = fields.withColumn("__u", F.lower(F.try_element_at("fields", F.lit("underlying"))))
-    matched = fields.join(specs.withColumn("__u", F.lower("spec_underlying")), "__u").filter(S.matches_market("fields", F.col("market_class"), F.col("spec_underlying"), F.col("spec_period")))
-    expiry = S.expiry_ns(F.coalesce(F.try_element_at("fields", F.lit("expiry")), F.lit("")))
-    chosen = choose_market(matched.withColumn("expiration_ns", expiry).drop("__u"), ["snapshot_id", "universe_id"])
+    matched = fields.join(F.broadcast(specs.withColumn("__u", F.lower("spec_underlying"))), "__u").filter(S.matches_market("fields", F.col("market_class"), F.col("spec_underlying"), F.col("spec_period")))
+    return matched.withColumn("expiration_ns", S.expiry_ns(F.coalesce(F.try_element_at("fields", F.lit("expiry")), F.lit("")))).drop("__u")
+
+
+def _shortlist(matched: DataFrame, keys: list[str]) -> DataFrame:
+    """(snapshot_id, question_id) of the questions that choose_market may choose; numbers alone decide, and combine before their shuffle."""
+    timed = matched.groupBy(*keys, "now_ns", "expiration_ns").agg(F.min("question_id").alias("low"), F.max("question_id").alias("high"))
+    known, future = F.col("expiration_ns") > 0, (F.col("expiration_ns") > 0) & (F.col("expiration_ns") >= F.col("now_ns"))
+    place = lambda q: F.struct("expiration_ns", F.col(q).alias("question_id"))
+    best = F.coalesce(F.min(F.when(future, place("low"))), F.max(F.when(known, place("high"))), F.max_by(place("high"), F.col("high")))
+    return timed.groupBy(*keys).agg(best.alias("w")).select("snapshot_id", "w.question_id").distinct()
+
+
+def resolve_outcome_markets(listings: DataFrame, specs: DataFrame, include_fallback: bool = False) -> DataFrame:
+    """The market of each (snapshot, spec). specs: universe_id, market_class, spec_underlying, spec_period, include_perp.
+
+    The shortlist of questions is kept, so that Spark knows its size; whole rows are made and compared of these alone.
+    """
+    keys = ["snapshot_id", "universe_id"]
+    found = candidates(listings, include_fallback)
+    listed = parked(_shortlist(_matched(found, specs), keys), "shortlist").alias("s")
+    same = F.col("c.snapshot_id").eqNullSafe(F.col("s.snapshot_id")) & (F.col("c.question_id") == F.col("s.question_id"))
+    chosen = choose_market(_matched(found.alias("c").join(listed, same, "left_semi"), specs), keys)
     outcomes = S.outcome_instruments("outcome_ids")
     perp = F.when(F.col("include_perp"), F.concat(F.upper("spec_underlying"), F.lit("-USD-PERP.HYPERLIQUID")))
     return chosen.select(

@@ -237,3 +237,22 @@ def test_smoothing_takes_no_ids(spark):
     python = [line for line in records._jdf.queryExecution().optimizedPlan().toString().splitlines() if "MapInPandas" in line]
     assert python and not any("instrument_ids" in line for line in python)
     assert [(r.event_kind, r.added_instrument_ids, r.rollover_reason) for r in records.orderBy("resolved_at_ns").collect()] == [("startup", [], None), ("refresh", ["b1"], "strike_window_shift"), ("refresh", ["b2"], "strike_window_shift")]
+
+
+def test_counted_live_options_equal_the_list(spark):
+    schema = "universe_id string, now_ns long, underlying string, settlement_currency string"
+    asked = spark.createDataFrame([("u", NOW, "BTC", None), ("v", E1, "BTC", "BTC"), ("w", NOW, "BTC", "USDC"), ("x", E2, "BTC", None)], schema)
+    found = universe.count_live_options(options(spark), asked)
+    keys = ["universe_id", "now_ns", "underlying"]
+    want = universe.live_options(options(spark), asked).groupBy(*keys).agg(F.count("*").alias("n"), F.min("instrument_id").alias("least"))
+    assert sorted(map(tuple, found.select(*keys, "n", "least").collect())) == sorted(map(tuple, want.collect())) == [("u", NOW, "BTC", 8, f"BTC-{E1}-64000-C.DERIBIT"), ("v", E1, "BTC", 2, f"BTC-{E2}-65000-C.DERIBIT")]
+
+
+def test_shortlist_of_questions_by_numbers(spark):
+    """Only numbers are compared before the shortlist: no row or description is sorted or shuffled for it."""
+    rows = [("a", 100, q, "n", f"d{q}", [q], "u", e) for q, e in ((1, 90), (2, 150), (3, 150), (4, 200))] + [("a", 100, 5, "n", "d", [5], "v", 90), ("a", 100, 6, "n", "d", [6], "v", 80), ("a", 100, 7, "n", "d", [7], "w", 0), ("a", 100, 8, "n", "d", [8], "w", 0)]
+    df = spark.createDataFrame(rows, "snapshot_id string, now_ns long, question_id long, name string, description string, outcome_ids array<long>, universe_id string, expiration_ns long")
+    listed = outcomes._shortlist(df, ["snapshot_id", "universe_id"])
+    assert sorted(r.question_id for r in listed.collect()) == [2, 5, 8]
+    chosen = outcomes.choose_market(df, ["snapshot_id", "universe_id"])
+    assert sorted(r.question_id for r in chosen.collect()) == [2, 5, 8]
