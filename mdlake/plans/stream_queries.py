@@ -126,16 +126,21 @@ def forward_price_log(spark: SparkSession, sf: str) -> DataFrame:
     return log.select("instrument_id", "ts_event_ns", F.round(F.col("forward_price").cast("double"), 6).alias("forward_price"), "source")
 
 
+#: Questions that a listing document holds on average at most: a few MB of text, as a venue's whole listing is.
+DOCUMENT = 20_000
+
+
 @query("listing_snapshots", f"WITH {MARKETS} SELECT snapshot_id, universe_id, question_id, expiration_ns, ids FROM market")
 def listing_snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    """Listings as documents in files of their own, at most a hundred questions each, read back whole and resolved by their month."""
+    """Listings as documents in files of their own, some 20,000 questions of a month each, read back whole and resolved by their month."""
     root = scratch(spark, "listings")
     month = F.trunc(F.timestamp_micros(S.whole("listed_ns", 1000)).cast("date"), "month")
     question = F.struct("question", F.lit("q").alias("name"), "description", F.col("named_outcomes").alias("namedOutcomes"), F.col("fallback_outcome").alias("fallbackOutcome"))
     rows = D.listings(spark, sf).withColumn("snapshot", F.date_format(month, "yyyy-MM"))
-    parts = max(1, rows.count() // 8000)
-    documents = rows.groupBy("snapshot", (F.xxhash64("question") % parts).alias("part")).agg(F.to_json(F.struct(F.collect_list(question).alias("questions"))).alias("value"))
-    documents.repartition("snapshot", "part").drop("part").write.option("maxRecordsPerFile", 1).partitionBy("snapshot").text(root)
+    largest = rows.groupBy("snapshot").count().agg(F.max("count")).first()[0] or 0
+    parts = -(-largest // DOCUMENT) or 1
+    documents = rows.groupBy("snapshot", F.pmod(F.xxhash64("question"), F.lit(parts)).alias("part")).agg(F.to_json(F.struct(F.collect_list(question).alias("questions"))).alias("value"))
+    documents.drop("part").write.option("maxRecordsPerFile", 1).partitionBy("snapshot").text(root)
     snapshot = F.regexp_extract("snapshot_id", "snapshot=([0-9-]+)", 1)
     read = catalog.read_listings(spark, root).withColumn("snapshot_id", snapshot)
     listed = read.withColumn("now_ns", F.unix_micros(F.date_add(F.to_date(F.concat("snapshot_id", F.lit("-01"))), 14).cast("timestamp")) * 1000)
