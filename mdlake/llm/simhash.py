@@ -15,8 +15,10 @@
 Near copies by similarity (`drop_near_copies`): 64 bits aren't selective at the distance that a similarity of 0.8
 asks for. There, shards are made of a document's least shingle hashes, of which similar texts share some however
 large the corpus is; in each shard a BK-tree of five-word SimHashes links every entry with an earlier one within a
-wide radius, and the exact similarity of both texts' shingles decides on each link. Links are at most one for each
-entry of a shard, so a large group of near copies costs no list of its pairs.
+wide radius, and the exact similarity of both texts' shingles decides on each link. A large group of near copies
+costs no list of its pairs: an entry is tried against one other first. Where that leaves candidates of a shard apart,
+the shard is searched again for pairs of different groups, with four times as many tries for an entry in each round,
+until every such pair was tried; only pairs of texts that stay apart are all compared.
 
 The trees stay where their shard's queries are; they are not broadcast, since the fingerprints of a corpus have
 no bound on their size.
@@ -50,6 +52,8 @@ SHARD_ENTRIES = 64
 SPLIT_ENTRIES = 1 << 16
 #: (query, node) pairs that a search holds at once.
 FRONTIER = 1 << 21
+#: Entries that an entry of a shard is tried against when the shard is searched again; later rounds take RETRIES times as many.
+RETRIES = 4
 #: Signature of a text for near copies: BANDS shards, each named by ROWS least shingle hashes.
 BANDS, ROWS = 12, 4
 #: Distance within which five-word SimHashes become candidates: 3 deviations over the mean at a similarity of 0.8.
@@ -165,7 +169,8 @@ def shards_of(reps: DataFrame, radius: int) -> DataFrame:
 class Forest:
     """BK-trees over the fingerprints of many shards, built level by level with numpy.
 
-    values: fingerprints; starts: where each shard begins. Within a shard the first entry is the root.
+    values: fingerprints; starts: where each shard begins. Within a shard the first entry is the root. Entries equal to
+    a node are leaves below it, side by side.
     """
 
     def __init__(self, values: np.ndarray, starts: np.ndarray):
@@ -178,11 +183,14 @@ class Forest:
         node = self.root[waiting]
         while len(waiting):
             apart = np.bitwise_count(values[waiting] ^ values[node]).astype(np.int64)
+            equal, other = waiting[apart == 0], apart > 0
+            parent[equal] = node[~other]
+            waiting, node, apart = waiting[other], node[other], apart[other]
             slot = node * 128 + apart
             slots, first, back = np.unique(slot, return_index=True, return_inverse=True)
             new = waiting[first]
             parent[new], edge[new] = slots >> 7, slots & 127
-            self.levels.append(new)
+            self.levels.append(np.concatenate([new, equal]))
             rest = np.ones(len(waiting), bool)
             rest[first] = False
             waiting, node = waiting[rest], new[back[rest]]
@@ -191,9 +199,13 @@ class Forest:
         order = np.argsort(keys)
         self.parent, self.children, self.keys = parent, children[order], keys[order]
 
-    def links(self, query: np.ndarray, radius: int, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (query, node) within the radius, without those in subtrees that wholly have the query's label."""
+    def links(self, query: np.ndarray, radius: int, label: np.ndarray, most: int | None = None, cut: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (query, node) within the radius, without those in subtrees that wholly have the query's label.
+
+        A query ends after `most` pairs; it is marked in `cut` if it may have more.
+        """
         low, high = label.copy(), label.copy()
+        found = np.zeros(len(label), np.int64)
         for level in self.levels[:0:-1]:
             np.minimum.at(low, self.parent[level], low[level])
             np.maximum.at(high, self.parent[level], high[level])
@@ -205,13 +217,25 @@ class Forest:
                 continue
             mixed = ~((low[node] == high[node]) & (low[node] == label[q]))
             q, node = q[mixed], node[mixed]
+            if most is not None:
+                ended = found[q] >= most
+                cut[q[ended]] = True
+                q, node = q[~ended], node[~ended]
             if not len(q):
                 continue
             apart = np.bitwise_count(self.values[q] ^ self.values[node]).astype(np.int64)
             near = (apart <= radius) & (label[q] != label[node])
             if near.any():
-                yield q[near], node[near]
-            a = np.searchsorted(self.keys, node * 128 + np.maximum(apart - radius, 1))
+                x, y = q[near], node[near]
+                if most is not None:
+                    order = np.argsort(x, kind="stable")
+                    x, y = x[order], y[order]
+                    kept = found[x] + np.arange(len(x)) - np.searchsorted(x, x) < most
+                    cut[x[~kept]] = True
+                    x, y = x[kept], y[kept]
+                    np.add.at(found, x, 1)
+                yield x, y
+            a = np.searchsorted(self.keys, node * 128 + np.maximum(apart - radius, 0))
             n = np.searchsorted(self.keys, node * 128 + apart + radius, side="right") - a
             at = np.repeat(a - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
             if len(at):
@@ -342,8 +366,11 @@ def signature(text: str | None, size: int = NEAR_SHINGLE) -> tuple[int, list[int
 _mixers_once = _mixers()
 
 
-def shard_links(values: np.ndarray, starts: np.ndarray, radius: int) -> np.ndarray:
-    """For each entry an earlier one of its shard within the radius, or itself; entries that are linked aren't searched again."""
+def shard_links(values: np.ndarray, starts: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each entry an earlier one of its shard within the radius, or itself, and the least entry that it reaches through candidates.
+
+    Entries that are linked aren't searched again, so the links needn't join all that reach each other.
+    """
     forest, label = Forest(values, starts), np.arange(len(values))
     rank, best, bound = np.arange(len(values)) - forest.root, np.arange(len(values)), 0
     while bound <= rank.max(initial=-1):
@@ -354,7 +381,30 @@ def shard_links(values: np.ndarray, starts: np.ndarray, radius: int) -> np.ndarr
                 np.minimum.at(best, np.maximum(a, b), np.minimum(a, b))
                 label = _unite(label, a, b)
         bound = upper
-    return best
+    return best, label
+
+
+def shard_retries(values: np.ndarray, starts: np.ndarray, radius: int, label: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (later, earlier) of different labels within the radius, and whether an entry of the pair may have more than `most`.
+
+    Of two labels one isn't the commonest of its shard, so the entries of that one need not ask.
+    """
+    sizes = np.diff(np.append(starts, len(values)))
+    shard = np.repeat(np.arange(len(starts)), sizes)
+    order = np.lexsort((label, shard))
+    first = _starts([shard[order], label[order]])
+    count, of = np.diff(np.append(first, len(order))), shard[order][first]
+    common = np.zeros(len(starts), np.int64)
+    by_count = np.argsort(count, kind="stable")
+    common[of[by_count]] = label[order][first][by_count]
+    cut, found = np.zeros(len(values), bool), []
+    asking = np.flatnonzero(label != common[shard])
+    for part in np.array_split(asking, len(asking) // FRONTIER + 1):
+        found += list(Forest(values, starts).links(part, radius, label, most, cut)) if len(part) else []
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+    return np.maximum(a, b), np.minimum(a, b), cut[a]
 
 
 def jaccard(a: set, b: set) -> float:
@@ -366,10 +416,10 @@ def shingle_set(text: str | None, size: int = NEAR_SHINGLE) -> set:
     return {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
 
 
-def similar_pairs(docs: DataFrame, similarity: float = NEAR_SIMILARITY, size: int = NEAR_SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(a, b): links between different rows whose texts are similar enough; a and b are structs of id and text hash.
+def similar_groups(docs: DataFrame, similarity: float = NEAR_SIMILARITY, size: int = NEAR_SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(node, component): the groups of rows that pairs of similar texts connect; a node is a struct of id and text hash.
 
-    Ids that are missing are the largest number. The links connect similar texts; they aren't all pairs of a group.
+    Ids that are missing are the largest number. Rows without a similar one are left out.
     """
     text = text_or_empty(text_col)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
@@ -383,10 +433,22 @@ def similar_pairs(docs: DataFrame, similarity: float = NEAR_SIMILARITY, size: in
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, id_, hash_, fp in _shards(batches, 1):
-            best = shard_links(fp.view(np.uint64), _starts([shard]), WIDE_RADIUS)
-            own = np.flatnonzero(best != np.arange(len(best)))
-            to = best[own]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (id_[own], hash_[own], id_[to], hash_[to])], names=["id", "hash", "id2", "hash2"])
+            best, label = shard_links(fp.view(np.uint64), _starts([shard]), WIDE_RADIUS)
+            own = np.flatnonzero(label != np.arange(len(label)))
+            to, least = best[own], label[own]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (shard[own], id_[own], hash_[own], id_[to], hash_[to], id_[least], hash_[least])], names=["shard", "id", "hash", "id2", "hash2", "id3", "hash3"])
+
+    def search_again(most: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for shard, id_, hash_, fp, group, group_hash in _shards(batches, 1):
+                order = np.lexsort((group_hash, group))
+                label = np.zeros(len(order), np.int64)
+                label[order[_starts([group[order], group_hash[order]])[1:]]] = 1
+                label[order] = np.cumsum(label[order])
+                a, b, cut = shard_retries(fp.view(np.uint64), _starts([shard]), WIDE_RADIUS, label, most)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (shard[a], id_[a], hash_[a], id_[b], hash_[b], cut)], names=["shard", "id", "hash", "id2", "hash2", "cut"])
+
+        return run
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, set()
@@ -398,20 +460,41 @@ def similar_pairs(docs: DataFrame, similarity: float = NEAR_SIMILARITY, size: in
                 good[i] = jaccard(shingle_set(a.as_py(), size), held) >= similarity
             yield pa.RecordBatch.from_arrays(batch.columns[:4], names=batch.schema.names[:4]).filter(pa.array(good))
 
-    signed = text_batches(rows).mapInArrow(sign, "id long, hash long, fp long, shards array<long>")
-    routed = signed.select(F.explode("shards").alias("shard"), "id", "hash", "fp").repartition("shard").sortWithinPartitions("shard", "id", "hash")
-    pairs = park(routed.mapInArrow(search, "id long, hash long, id2 long, hash2 long").distinct(), "candidates")
-    both = pairs.select("id", "hash").union(pairs.select(F.col("id2").alias("id"), F.col("hash2").alias("hash"))).distinct()
-    texts = rows.join(bounded(park(both, "involved"), 1 << 20), ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"])
-    held = park(texts, "involved-texts")
-    joined = pairs.join(held, ["id", "hash"]).join(held.select(F.col("id").alias("id2"), F.col("hash").alias("hash2"), F.col("text").alias("text2")), ["id2", "hash2"])
-    found = joined.select("id", "hash", "id2", "hash2", "text", "text2").mapInArrow(verify, "id long, hash long, id2 long, hash2 long")
-    return found.select(F.struct("id", "hash").alias("a"), F.struct(F.col("id2").alias("id"), F.col("hash2").alias("hash")).alias("b"))
+    pair = ["id", "hash", "id2", "hash2"]
+    node = lambda n="": F.struct(F.col(f"id{n}").alias("id"), F.col(f"hash{n}").alias("hash"))
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        """(a, b): those of the pairs whose texts are similar enough."""
+        both = pairs.select("id", "hash").union(pairs.select(F.col("id2").alias("id"), F.col("hash2").alias("hash"))).distinct()
+        texts = rows.join(bounded(park(both, "involved"), 1 << 20), ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"])
+        held = park(texts, "involved-texts")
+        joined = pairs.join(held, ["id", "hash"]).join(held.select(F.col("id").alias("id2"), F.col("hash").alias("hash2"), F.col("text").alias("text2")), ["id2", "hash2"])
+        return joined.select(*pair, "text", "text2").mapInArrow(verify, "id long, hash long, id2 long, hash2 long").select(node().alias("a"), node("2").alias("b"))
+
+    signed = park(text_batches(rows).mapInArrow(sign, "id long, hash long, fp long, shards array<long>"), "signed")
+    entries = signed.select(F.explode("shards").alias("shard"), "id", "hash", "fp")
+    routed = entries.repartition("shard").sortWithinPartitions("shard", "id", "hash")
+    found = park(routed.mapInArrow(search, "shard long, id long, hash long, id2 long, hash2 long, id3 long, hash3 long"), "candidates")
+    tried = park(found.select(*pair).filter("id <> id2 OR hash <> hash2").distinct(), "tried")
+    groups = connected_components(similar(tried))
+    # A shard is settled if all that reach each other through candidates are of one group; other shards are searched again.
+    of = lambda n: groups.select(F.col("node").alias(f"node{n}"), F.col("component").alias(f"group{n}"))
+    placed = found.select("shard", node().alias("node1"), node("3").alias("node3")).join(of(1), "node1", "left").join(of(3), "node3", "left")
+    unsettled = park(placed.filter(F.coalesce("group1", "node1") != F.coalesce("group3", "node3")).select("shard").distinct(), "open-shards")
+    most = RETRIES
+    while not unsettled.isEmpty():
+        again = entries.join(bounded(unsettled), "shard", "left_semi").withColumn("node", node()).join(groups, "node", "left").withColumn("g", F.coalesce("component", "node"))
+        routed = again.select("shard", "id", "hash", "fp", F.col("g.id").alias("g"), F.col("g.hash").alias("g_hash")).repartition("shard").sortWithinPartitions("shard", "id", "hash")
+        found = park(routed.mapInArrow(search_again(most), "shard long, id long, hash long, id2 long, hash2 long, cut boolean"), "candidates")
+        fresh = park(found.select(*pair).distinct().join(tried, pair, "left_anti"), "tried")
+        groups = connected_components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(similar(fresh)))
+        tried, unsettled, most = tried.union(fresh), park(found.filter("cut").select("shard").distinct(), "open-shards"), most * RETRIES
+    return groups
 
 
 def drop_near_copies(docs: DataFrame, similarity: float = NEAR_SIMILARITY, size: int = NEAR_SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay: of each group of similar texts the document with the smallest id."""
-    groups = connected_components(similar_pairs(docs, similarity, size, id_col, text_col))
+    groups = similar_groups(docs, similarity, size, id_col, text_col)
     id_, hash_ = (f"{name}_{uuid.uuid4().hex}" for name in ("id", "hash"))
     gone = park(groups.filter("node <> component").select(F.col("node.id").alias(id_), F.col("node.hash").alias(hash_)), "near-copies")
     own = (F.coalesce(docs[id_col].cast("long"), F.lit(_LAST)) == F.col(id_)) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col(hash_))

@@ -162,3 +162,35 @@ def test_long_shards_over_many_batches():
     assert all((np.diff(np.concatenate([g[k] for g in got])) >= 0).all() for k in (0, 1)) and sum(len(g[0]) for g in got) == 5000
     ends = [set(g[0].tolist()) for g in got]
     assert all(not a & b for i, a in enumerate(ends) for b in ends[i + 1 :])
+
+
+def test_an_entry_is_tried_against_all_of_its_shard(spark, monkeypatch):
+    """All texts are in one shard and within the radius, but only neighbours of each chain are similar; some fingerprints are equal."""
+    monkeypatch.setattr(module, "signature", lambda text, size: (len(text) % 7, [1]))
+    rng = random.Random(5)
+    texts = {}
+    for chain in range(3):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(330)]
+        texts |= {chain + 3 * k: " ".join(words[12 * k : 12 * k + 150]) for k in range(4)}
+    ids = rng.sample(range(100), len(texts))
+    docs = {i: texts[k] for i, k in zip(ids, sorted(texts), strict=True)}
+    sets = {i: module.shingle_set(t) for i, t in docs.items()}
+    links = [(a, b) for a in docs for b in docs if a < b and module.jaccard(sets[a], sets[b]) >= 0.8]
+    least = {i: i for i in docs}
+    for _ in docs:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    kept = drop_near_copies(spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(least.values())) and len(set(least.values())) == 3
+
+
+def test_retries_find_every_pair_of_different_labels():
+    rng = np.random.default_rng(8)
+    values = rng.integers(0, 2**64, 90, dtype=np.uint64) & np.uint64(0xFFFFFFFFFF)
+    starts, label = np.array([0, 40, 41]), rng.integers(0, 5, 90)
+    shard = np.searchsorted(starts, np.arange(90), side="right")
+    want = {(i, j) for i in range(90) for j in range(i) if shard[i] == shard[j] and label[i] != label[j] and int(values[i] ^ values[j]).bit_count() <= 18}
+    a, b, cut = module.shard_retries(values, starts, 18, label, 1000)
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == want and want and not cut.any()
+    a, b, cut = module.shard_retries(values, starts, 18, label, 2)
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) < want and cut.any()
