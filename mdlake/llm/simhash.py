@@ -18,7 +18,9 @@ large the corpus is; in each shard a BK-tree of five-word SimHashes links every
 wide radius, and the exact similarity of both texts' shingles decides on each link. A large group of near copies
 costs no list of its pairs: an entry is tried against one other first. Where that leaves candidates of a shard apart,
 the shard is searched again for pairs of different groups, with four times as many tries for an entry in each round,
-until every such pair was tried; only pairs of texts that stay apart are all compared.
+until every such pair was tried that can be similar: shingles that no text of another group in an open shard has can't
+be shared with one, and what is left is counted in BUCKETS by hash. Two texts share no more than the sum of the lesser
+counts, so most texts that edits keep apart from a large group are told by numbers and not compared with its members.
 
 The trees stay where their shard's queries are; they are not broadcast, since the fingerprints of a corpus have
 no bound on their size.
@@ -34,7 +36,7 @@ from __future__ import annotations
 import itertools
 import uuid
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +62,10 @@ BANDS, ROWS = 12, 4
 WIDE_RADIUS = 18
 NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
 _LAST = 2**63 - 1
+#: Counts by which a set of shingles is known when a bound on a similarity is asked.
+BUCKETS = 64
+#: What rounding may take from a similarity that is compared with a bound.
+_SLACK = 1e-9
 _CHUNK = 1 << 16
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _OFFSETS = (np.arange(8) * 256).astype(np.int64)
@@ -199,10 +205,10 @@ class Forest:
         order = np.argsort(keys)
         self.parent, self.children, self.keys = parent, children[order], keys[order]
 
-    def links(self, query: np.ndarray, radius: int, label: np.ndarray, most: int | None = None, cut: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def links(self, query: np.ndarray, radius: int, label: np.ndarray, most: int | None = None, cut: np.ndarray | None = None, fit: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs (query, node) within the radius, without those in subtrees that wholly have the query's label.
 
-        A query ends after `most` pairs; it is marked in `cut` if it may have more.
+        A query ends after `most` pairs; it is marked in `cut` if it may have more. Pairs that don't fit aren't counted.
         """
         low, high = label.copy(), label.copy()
         found = np.zeros(len(label), np.int64)
@@ -225,6 +231,8 @@ class Forest:
                 continue
             apart = np.bitwise_count(self.values[q] ^ self.values[node]).astype(np.int64)
             near = (apart <= radius) & (label[q] != label[node])
+            if fit is not None:
+                near[near] = fit(q[near], node[near])
             if near.any():
                 x, y = q[near], node[near]
                 if most is not None:
@@ -384,23 +392,56 @@ def shard_links(values: np.ndarray, starts: np.ndarray, radius: int) -> tuple[np
     return best, label
 
 
-def shard_retries(values: np.ndarray, starts: np.ndarray, radius: int, label: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def most_similar(n: np.ndarray, other: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The greatest Jaccard similarity of sets of n and `other` elements that have at most `common` in common."""
+    shared = np.minimum(np.minimum(common, n), other)
+    return shared / np.maximum(n + other - shared, 1)
+
+
+def may_link(shard: np.ndarray, n: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether an entry's set can be similar to one of the sizes in its shard, of which it has at most `common` elements.
+
+    The best size is the nearest to `common` on either side.
+    """
+    wide = np.int64(1) << 40
+    sizes = np.sort(shard * wide + n)
+    at = np.searchsorted(sizes, shard * wide + common)
+    found = np.zeros(len(n), bool)
+    for near in (np.minimum(at, len(n) - 1), np.maximum(at - 1, 0)):
+        found |= (sizes[near] // wide == shard) & (most_similar(n, sizes[near] % wide, common) >= similarity - _SLACK)
+    return found
+
+
+def shard_retries(
+    values: np.ndarray, starts: np.ndarray, radius: int, label: np.ndarray, most: int, sizes: tuple[np.ndarray, np.ndarray] | None = None, similarity: float = NEAR_SIMILARITY
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs (later, earlier) of different labels within the radius, and whether an entry of the pair may have more than `most`.
 
-    Of two labels one isn't the commonest of its shard, so the entries of that one need not ask.
+    Of two labels one isn't the commonest of its shard, so the entries of that one need not ask. sizes: of each entry
+    how many shingles it has and, by bucket, how many of them texts of other labels may have; pairs that these keep apart
+    are left out.
     """
-    sizes = np.diff(np.append(starts, len(values)))
-    shard = np.repeat(np.arange(len(starts)), sizes)
+    fit = None
+    if sizes is not None:
+        n, counts = sizes
+
+        def fit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            shared = [np.minimum(counts[x], counts[y]).sum(1, dtype=np.int64) for x, y in zip(*(np.array_split(i, len(a) // _CHUNK + 1) for i in (a, b)), strict=True)]
+            return most_similar(n[a], n[b], np.concatenate(shared)) >= similarity - _SLACK
+
+    shard = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(values))))
     order = np.lexsort((label, shard))
     first = _starts([shard[order], label[order]])
     count, of = np.diff(np.append(first, len(order))), shard[order][first]
-    common = np.zeros(len(starts), np.int64)
+    commonest = np.zeros(len(starts), np.int64)
     by_count = np.argsort(count, kind="stable")
-    common[of[by_count]] = label[order][first][by_count]
+    commonest[of[by_count]] = label[order][first][by_count]
     cut, found = np.zeros(len(values), bool), []
-    asking = np.flatnonzero(label != common[shard])
+    asking = np.flatnonzero(label != commonest[shard])
+    if sizes is not None:
+        asking = asking[may_link(shard, n, counts.sum(1, dtype=np.int64), similarity)[asking]]
     for part in np.array_split(asking, len(asking) // FRONTIER + 1):
-        found += list(Forest(values, starts).links(part, radius, label, most, cut)) if len(part) else []
+        found += list(Forest(values, starts).links(part, radius, label, most, cut, fit)) if len(part) else []
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
     a, b = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -440,16 +481,36 @@ def similar_groups(docs: DataFrame, similarity: float = NEAR_SIMILARITY, size: i
 
     def search_again(most: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for shard, id_, hash_, fp, group, group_hash in _shards(batches, 1):
+            for shard, id_, hash_, fp, group, group_hash, n, counts in _shards(batches, 1):
+                sizes = n, np.frombuffer(b"".join(counts), "<u4").reshape(-1, BUCKETS)
                 order = np.lexsort((group_hash, group))
                 label = np.zeros(len(order), np.int64)
                 label[order[_starts([group[order], group_hash[order]])[1:]]] = 1
                 label[order] = np.cumsum(label[order])
-                a, b, cut = shard_retries(fp.view(np.uint64), _starts([shard]), WIDE_RADIUS, label, most)
+                a, b, cut = shard_retries(fp.view(np.uint64), _starts([shard]), WIDE_RADIUS, label, most, sizes, similarity)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (shard[a], id_[a], hash_[a], id_[b], hash_[b], cut)], names=["shard", "id", "hash", "id2", "hash2", "cut"])
 
         return run
 
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 64):
+                part = batch.slice(at, 64)
+                texts = [t.as_py() for t in part.column(4)]
+                hashes = [np.unique(np.concatenate([np.zeros(0, "<u8"), *(_shingle_hashes(w, size) if (w := _words(t)) else [])])).view(np.int64) for t in texts]
+                counts = pa.array([len(shingle_set(t, size)) for t in texts], pa.int64())
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], counts, pa.array(hashes, pa.list_(pa.int64()))], names=["id", "hash", "g", "g_hash", "n", "shingles"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_bucket = lambda hashes: np.bincount(hashes.values.to_numpy().view(np.uint64) % np.uint64(BUCKETS), minlength=BUCKETS) if hashes.is_valid else 0
+        for batch in batches:
+            counts = []
+            for n, hashes, own in zip(*batch.columns[2:], strict=True):
+                # Should hashes of a text be equal, its counts bound nothing.
+                all_known = n.as_py() == len(hashes.values)
+                counts.append((by_bucket(hashes) - by_bucket(own) if all_known else np.full(BUCKETS, n.as_py())).astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(counts, pa.binary())], names=["id", "hash", "n", "counts"])
+
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, set()
         for batch in batches:
@@ -471,6 +532,18 @@ def similar_groups(docs: DataFrame, similarity: float = NEAR_SIMILARITY, size: i
         joined = pairs.join(held, ["id", "hash"]).join(held.select(F.col("id").alias("id2"), F.col("hash").alias("hash2"), F.col("text").alias("text2")), ["id2", "hash2"])
         return joined.select(*pair, "text", "text2").mapInArrow(verify, "id long, hash long, id2 long, hash2 long").select(node().alias("a"), node("2").alias("b"))
 
+    def sizes_of(open_entries: DataFrame, groups: DataFrame) -> DataFrame:
+        """(id, hash, n, counts): how many shingles a text in an open shard has, and by bucket those that texts of other groups there have."""
+        there = open_entries.select("id", "hash").distinct().withColumn("node", node()).join(groups, "node", "left").withColumn("g", F.coalesce("component", "node"))
+        there = park(there.select("id", "hash", F.col("g.id").alias("g"), F.col("g.hash").alias("g_hash")), "open-texts")
+        texts = rows.join(bounded(there, 1 << 20), ["id", "hash"]).dropDuplicates(["id", "hash"]).select("id", "hash", "g", "g_hash", "text")
+        sets = park(texts.mapInArrow(shingled, "id long, hash long, g long, g_hash long, n long, shingles array<long>"), "open-shingles")
+        each = sets.select("id", "hash", "g", "g_hash", F.explode("shingles").alias("shingle"))
+        spread = each.groupBy("shingle").agg(F.min("g").alias("a"), F.max("g").alias("b"), F.min("g_hash").alias("c"), F.max("g_hash").alias("d"))
+        own = bounded(park(spread.filter("a = b AND c = d").select("shingle"), "own-shingles"), 1 << 20)
+        owned = each.join(own, "shingle", "left_semi").groupBy("id", "hash").agg(F.collect_list("shingle").alias("own"))
+        return park(sets.join(owned, ["id", "hash"], "left").select("id", "hash", "n", "shingles", "own").mapInArrow(counted, "id long, hash long, n long, counts binary"), "open-sizes")
+
     signed = park(text_batches(rows).mapInArrow(sign, "id long, hash long, fp long, shards array<long>"), "signed")
     entries = signed.select(F.explode("shards").alias("shard"), "id", "hash", "fp")
     routed = entries.repartition("shard").sortWithinPartitions("shard", "id", "hash")
@@ -481,10 +554,13 @@ def similar_groups(docs: DataFrame, similarity: float = NEAR_SIMILARITY, size: i
     of = lambda n: groups.select(F.col("node").alias(f"node{n}"), F.col("component").alias(f"group{n}"))
     placed = found.select("shard", node().alias("node1"), node("3").alias("node3")).join(of(1), "node1", "left").join(of(3), "node3", "left")
     unsettled = park(placed.filter(F.coalesce("group1", "node1") != F.coalesce("group3", "node3")).select("shard").distinct(), "open-shards")
-    most = RETRIES
+    # Groups only grow together, so what no other group has at first is in no other later.
+    most, sizes = RETRIES, None
     while not unsettled.isEmpty():
-        again = entries.join(bounded(unsettled), "shard", "left_semi").withColumn("node", node()).join(groups, "node", "left").withColumn("g", F.coalesce("component", "node"))
-        routed = again.select("shard", "id", "hash", "fp", F.col("g.id").alias("g"), F.col("g.hash").alias("g_hash")).repartition("shard").sortWithinPartitions("shard", "id", "hash")
+        again = entries.join(bounded(unsettled), "shard", "left_semi")
+        sizes = bounded(sizes_of(again, groups)) if sizes is None else sizes
+        again = again.join(sizes, ["id", "hash"]).withColumn("node", node()).join(groups, "node", "left").withColumn("g", F.coalesce("component", "node"))
+        routed = again.select("shard", "id", "hash", "fp", F.col("g.id").alias("g"), F.col("g.hash").alias("g_hash"), "n", "counts").repartition("shard").sortWithinPartitions("shard", "id", "hash")
         found = park(routed.mapInArrow(search_again(most), "shard long, id long, hash long, id2 long, hash2 long, cut boolean"), "candidates")
         fresh = park(found.select(*pair).distinct().join(tried, pair, "left_anti"), "tried")
         groups = connected_components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(similar(fresh)))

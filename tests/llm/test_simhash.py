@@ -194,3 +194,50 @@ def test_retries_find_every_pair_of_different_labels():
     assert set(zip(a.tolist(), b.tolist(), strict=True)) == want and want and not cut.any()
     a, b, cut = module.shard_retries(values, starts, 18, label, 2)
     assert set(zip(a.tolist(), b.tolist(), strict=True)) < want and cut.any()
+
+
+def test_texts_apart_from_a_large_group_are_not_compared_with_it(spark, monkeypatch):
+    """Sixty texts share a base with a group of near copies but have too many edits of their own to be similar to any."""
+    rng = random.Random(12)
+    base = rng.choices([f"{a}{b}" for a in WORDS for b in WORDS], k=150)
+
+    def edited(name, places):
+        words = list(base)
+        for at in places:
+            words[at] = f"{name}-{at}"
+        return " ".join(words)
+
+    docs = {i: edited(i, rng.sample(range(150), 1)) for i in range(100)} | {1000 + i: edited(i, [5, 25, 45, 65, rng.randrange(80, 150)]) for i in range(60)}
+    docs |= {2000: docs[1007] + " end", 2001: docs[1020] + " end"}
+    sets = {i: module.shingle_set(t) for i, t in docs.items()}
+    least = {i: min(j for j in docs if j == i or i < 1000 and j < 1000 or module.jaccard(sets[i], sets[j]) >= 0.8) for i in docs}
+    monkeypatch.setattr(module, "signature", lambda text, size: (len(text) % 3, [1]))
+    tried, park = [], module.park
+
+    def counting(df, name):
+        found = park(df, name)
+        if name == "tried":
+            tried.append(found.count())
+        return found
+
+    monkeypatch.setattr(module, "park", counting)
+    kept = drop_near_copies(spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i in docs if least[i] == i) and len(set(least.values())) == 61
+    assert sum(tried) < 3 * len(docs)
+
+
+def test_bounds_keep_every_similar_pair():
+    rng = np.random.default_rng(3)
+    core = rng.integers(0, 2**63, 150)
+    sets = [set(rng.choice(core, 150 - (k := int(rng.integers(0, 30))), replace=False).tolist()) | set(rng.integers(0, 2**63, k).tolist()) for _ in range(80)]
+    shared = {h for h in set().union(*sets) if sum(h in s for s in sets) > 1}
+    n = np.array([len(s) for s in sets])
+    counts = np.array([np.bincount([h % module.BUCKETS for h in s & shared], minlength=module.BUCKETS) for s in sets], np.uint32)
+    starts, label = np.array([0, 30]), np.arange(80)
+    values, shard = np.zeros(80, np.uint64), np.repeat([0, 1], [30, 50])
+    a, b, cut = module.shard_retries(values, starts, 18, label, 1000, (n, counts), 0.8)
+    similar = {(i, j) for i in range(80) for j in range(i) if shard[i] == shard[j] and module.jaccard(sets[i], sets[j]) >= 0.8}
+    pairs = set(zip(a.tolist(), b.tolist(), strict=True))
+    every = 30 * 29 // 2 + 50 * 49 // 2
+    assert similar and similar <= pairs and len(pairs) < every / 2 and not cut.any()
+    assert module.may_link(shard, n, counts.sum(1), 0.8)[list({i for p in similar for i in p})].all()
