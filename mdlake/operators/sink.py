@@ -74,10 +74,13 @@ def partition_stats(df: DataFrame, keys: tuple[str, ...] = PARTITION, family: st
 
 
 def write_limited(df: DataFrame, root: str, family: str, file_rows: int) -> None:
-    """Write partitions as files of at most file_rows rows each."""
+    """Write partitions as files of at most file_rows rows each.
+
+    Small files take time by their number, not their bytes, so the number of tasks is named and not left to the size of the rows.
+    """
     good, _ = quarantined(df)
     dated = good if "seal_date" in good.columns else with_seal_date(good).drop("seal_end_ns")
-    dated.repartition(*PARTITION).write.mode("append").option("maxRecordsPerFile", file_rows).partitionBy(*PARTITION).parquet(f"{root}/{family}")
+    dated.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *PARTITION).write.mode("append").option("maxRecordsPerFile", file_rows).partitionBy(*PARTITION).parquet(f"{root}/{family}")
 
 
 def flushes(files: DataFrame, file_rows: int) -> DataFrame:

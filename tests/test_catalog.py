@@ -206,6 +206,13 @@ def test_files_of_a_few_rows(spark, tmp_path):
     assert sorted((r.family, r.rule) for r in sink.metrics_ok(active).collect()) == [("q", "active"), ("s", "active")]
 
 
+def test_files_of_a_few_rows_are_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(400).select(F.concat("id", F.lit(".X")).alias("instrument_id"), F.lit(START).alias("ts_init_ns"), F.lit("2026-06-21").cast("date").alias("seal_date"))
+    sink.write_limited(rows, f"file://{tmp_path}", "trades", 4)
+    files = [os.path.basename(f) for f in glob.glob(f"{tmp_path}/trades/*/*/*.parquet")]
+    assert len(files) == 400 and len({f.split("-")[1] for f in files}) >= spark.sparkContext.defaultParallelism
+
+
 def test_definitions_and_rows_that_cannot_be_placed(spark, tmp_path):
     root = f"file://{tmp_path}"
     columns = [c.split()[0] for c in catalog.SCHEMAS["instruments"].split(", ") if "seal_date" not in c and c != "10)"]
