@@ -70,24 +70,26 @@ class Members:
 class StoredMembers(Members):
     """Members in the state of a stream: a record is read when it is first touched and written back if it changed.
 
-    members: records by id; at: ids by strike; index: the sorted strikes, which change only with the members.
+    members: records by id; at: ids by strike; index: the sorted strikes, which change only with the members. Without
+    an index there are no members, so nothing is asked of the store, to which each call takes long.
     """
 
     def __init__(self, members, at, index):
         super().__init__()
         self.stored, self.stored_at, self.index = members, at, index
-        self.strikes = list(index.get()[0]) if index.exists() else []
+        self.empty = not index.exists()
+        self.strikes = [] if self.empty else list(index.get()[0])
         self.dirty: set[str] = set()
         self.dirty_at: set[float] = set()
 
     def get(self, id_: str) -> dict | None:
         if id_ not in self.by_id:
-            self.by_id[id_] = dict(zip(_FIELDS, self.stored.getValue((id_,)), strict=True)) if self.stored.containsKey((id_,)) else None
+            self.by_id[id_] = dict(zip(_FIELDS, self.stored.getValue((id_,)), strict=True)) if not self.empty and self.stored.containsKey((id_,)) else None
         return self.by_id[id_]
 
     def ids(self, strike: float) -> list[str]:
         if strike not in self.ids_at:
-            self.ids_at[strike] = list(self.stored_at.getValue((strike,))[0]) if self.stored_at.containsKey((strike,)) else []
+            self.ids_at[strike] = list(self.stored_at.getValue((strike,))[0]) if not self.empty and self.stored_at.containsKey((strike,)) else []
         return self.ids_at[strike]
 
     def changed(self, id_: str) -> None:
@@ -99,7 +101,7 @@ class StoredMembers(Members):
 
     def clear(self) -> None:
         super().clear()
-        self.dirty, self.dirty_at = set(), set()
+        self.empty, self.dirty, self.dirty_at = True, set(), set()
         for state in (self.stored, self.stored_at, self.index):
             state.clear()
 

@@ -99,6 +99,24 @@ def test_a_batch_touches_only_its_members():
     assert state[2].value[0][0] == 99.0 and state[1][(350.0,)] == (["o501"],) and s.s["ready"] == 2 and s.s["count"] == 1000
 
 
+def test_a_universe_without_members_asks_nothing_of_the_store():
+    class Asked(FakeMap):
+        def containsKey(self, key):
+            self.reads.append(key[0])
+            return super().containsKey(key)
+
+    state = Asked(), Asked(), FakeValue()
+    for again in range(2):
+        s = Surface(StoredMembers(*state))
+        s.take("reset", "PERP", None, None, None, None, None, None, 0, 10)
+        for i in range(100):
+            s.take("member", f"o{again}{i}", 100 + i // 2, "CP"[i % 2], None, None, None, None, 0, 10)
+        s.take("greek", "unknown", None, None, None, None, 0.5, 0.5, 1, 10)
+        s.members.flush()
+    assert not state[0].reads and not state[1].reads
+    assert len(state[0]) == 100 and len(state[1]) == 50 and ("o00",) not in state[0]
+
+
 def test_stream_equals_replay(rocksdb, tmp_path):
     spark = rocksdb
     events = surface_events(spark, SF).filter("universe_id LIKE 'BTC:%'")
