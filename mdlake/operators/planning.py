@@ -21,10 +21,11 @@ OUTCOME_SCOPES = {"instruments": "all", "quotes": "outcomes", "trades": "outcome
 
 
 def _expand(resolutions: DataFrame, scopes: dict[str, str], ids: dict[str, str], families: list[str] | None) -> DataFrame:
-    """Ids are exploded once for each scope that a chosen family has, and the resolutions are gone through once."""
+    """The resolutions are gone through once; lists that many of them share are exploded once for each scope that a chosen family has."""
     chosen = {scope: [f for f, s in scopes.items() if s == scope and (families is None or f in families)] for scope in ids}
     lists = [F.struct(F.array(*map(F.lit, chosen[scope])).alias("families"), F.col(source).alias("ids")) for scope, source in ids.items() if chosen[scope]]
-    each = resolutions.select(F.explode(F.array(*lists)).alias("s")).select("s.families", F.explode("s.ids").alias("instrument_id")).distinct()
+    shared = resolutions.select(F.explode(F.array(*lists)).alias("s")).select("s.families", "s.ids").distinct()
+    each = shared.select("families", F.explode("ids").alias("instrument_id")).distinct()
     plan = each.select(F.explode("families").alias("family"), "instrument_id")
     book = F.when(F.col("family") == "book_deltas", "L2_MBP")
     null = F.lit(None).cast("string")

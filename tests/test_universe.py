@@ -256,3 +256,17 @@ def test_shortlist_of_questions_by_numbers(spark):
     assert sorted(r.question_id for r in listed.collect()) == [2, 5, 8]
     chosen = outcomes.choose_market(df, ["snapshot_id", "universe_id"])
     assert sorted(r.question_id for r in chosen.collect()) == [2, 5, 8]
+
+
+def _leaves(df):
+    return df._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+
+
+def test_requests_are_gone_through_once(spark):
+    """Requests came up twice in their expiries, and with them all that they come from."""
+    rows = [("u", NOW, "BTC", None, 45), ("v", NOW, "ETH", None, 45), ("w", NOW, "BTC", "USD", 45), ("x", E2, "BTC", None, 45), ("y", NOW, "BTC", "BTC", 1), ("z", E1, "BTC", "BTC", 45)]
+    requests = spark.createDataFrame(rows, "universe_id string, now_ns long, underlying string, settlement_currency string, days_max int")
+    found = universe.expiries(options(spark), requests)
+    got = {r.universe_id: (r.expiration_ns, r.any_live) for r in found.collect()}
+    assert got == {"u": (E1, True), "v": (None, False), "w": (None, False), "x": (None, False), "y": (None, True), "z": (E2, True)}
+    assert _leaves(found) == 2
