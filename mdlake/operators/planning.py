@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PLAN = ("family", "instrument_id", "bar_type", "data_type", "book_type", "depth")
@@ -50,15 +50,26 @@ def plan_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     return a.join(b, same, "left_anti")
 
 
+def _spec_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(spec, __l, __r): how often each plan has a spec; counts combine before their shuffle, and each plan is gone through once."""
+    side = lambda df, l, r: df.select(*PLAN, F.lit(l).alias("__l"), F.lit(r).alias("__r"))
+    return side(left, 1, 0).union(side(right, 0, 1)).groupBy(*PLAN).agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
+
+
+def _times(n: Column) -> Column:
+    """Rows as often as n says."""
+    return F.explode(F.array_repeat(F.lit(0), n.cast("int"))).alias("__n")
+
+
 def plan_delta(previous: DataFrame, following: DataFrame) -> DataFrame:
-    """(change, spec): what to add and to remove."""
-    added, removed = plan_difference(following, previous), plan_difference(previous, following)
-    return added.select(F.lit("add").alias("change"), *PLAN).union(removed.select(F.lit("remove").alias("change"), *PLAN))
+    """(change, spec): what to add and to remove, as often as the plan has it."""
+    alone = _spec_counts(previous, following).filter("__l = 0 OR __r = 0")
+    return alone.select(F.when(F.col("__l") == 0, "add").otherwise("remove").alias("change"), *PLAN, _times(F.col("__l") + F.col("__r"))).drop("__n")
 
 
 def merge_plans(base: DataFrame, additions: DataFrame) -> DataFrame:
     """base as it is, duplicates included, and each new spec once."""
-    return base.select(*PLAN).union(plan_difference(additions, base).select(*PLAN).distinct())
+    return _spec_counts(base, additions).select(*PLAN, _times(F.greatest(F.col("__l"), F.lit(1)))).drop("__n")
 
 
 def effective_plan(static: DataFrame, options: DataFrame | None, outcomes: DataFrame | None, supplemental: DataFrame | None = None) -> DataFrame:

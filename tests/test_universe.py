@@ -270,3 +270,12 @@ def test_requests_are_gone_through_once(spark):
     got = {r.universe_id: (r.expiration_ns, r.any_live) for r in found.collect()}
     assert got == {"u": (E1, True), "v": (None, False), "w": (None, False), "x": (None, False), "y": (None, True), "z": (E2, True)}
     assert _leaves(found) == 2
+
+
+def test_plans_are_gone_through_once(spark):
+    """Plans came up three times in their merger and four times in their delta."""
+    spec = lambda *ids: spark.createDataFrame([("quotes", i, None, None, None, None) for i in ids], planning.PLAN_SCHEMA)
+    merged, delta = planning.merge_plans(spec("a", "a", "b"), spec("b", "c", "c")), planning.plan_delta(spec("a", "a", "b"), spec("b", "c", "c"))
+    assert sorted(r.instrument_id for r in merged.collect()) == ["a", "a", "b", "c"]
+    assert sorted((r.change, r.instrument_id) for r in delta.collect()) == [("add", "c"), ("add", "c"), ("remove", "a"), ("remove", "a")]
+    assert (_leaves(merged), _leaves(delta)) == (2, 2)
